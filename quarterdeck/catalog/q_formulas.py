@@ -45,7 +45,7 @@ INDICATOR_SQL = {
 }
 
 
-LARGE = ("Market Cap", "Enterprise Value(EV)")
+PLACES = {"Market Cap": 2, "Enterprise Value(EV)": 2, "SMA200": 8}
 
 
 def _latest_sql() -> str:
@@ -70,9 +70,9 @@ CROSS JOIN LATERAL (SELECT CASE WHEN t.symbol IS NOT NULL THEN t."netIncome" / n
 
 @query(
     "F1_financial_indicators",
-    "SELECT symbol, " + ", ".join(f'round("{n}", {2 if n in LARGE else 6}) AS "{n}"' for n in R.INDICATORS) + f" FROM ({INDICATORS})",
+    "SELECT symbol, " + ", ".join(f'round("{n}", {PLACES.get(n, 6)}) AS "{n}"' for n in R.INDICATORS) + f" FROM ({INDICATORS})",
     "ind fin finr ttm shares",
-    coarse=LARGE,
+    places=PLACES,
 )
 def f1(spark, sf):
     px = B.adjusted(spark, sf).groupBy("symbol").agg(F.max_by("close", "date").alias("Price"))

@@ -189,7 +189,37 @@ def holdings_pairs(spark, sf):
     return lines, master.groupBy("symbol").agg(F.min_by("p_name", "p_partkey").alias("name"))
 
 
-@query("J10_blocked_fuzzy_match")
+# Token-set score in SQL. Word lists become sorted texts; the common subsequence is counted with one bit per
+# character of the first text (all texts here are shorter than 60 characters).
+def _lcs(a: str, b: str) -> str:
+    return f"""(length({a}) - bit_count(list_reduce(list_prepend((1::BIGINT << length({a})) - 1, list_transform(string_split({b}, ''),
+      lambda ch: list_sum(list_transform(range(0, length({a})), lambda i: CASE WHEN substr({a}, (i + 1)::INT, 1) = ch THEN 1::BIGINT << i::INT ELSE 0 END))::BIGINT)),
+      lambda r, m: ((r + (r & m)) | (r - (r & m))) & ((1::BIGINT << length({a})) - 1))))"""
+
+
+RESOLVED = f"""
+WITH part_codes AS (SELECT *, upper(left(p_type, 2)) || p_size AS code, substr(p_brand, 7, 1) AS tail FROM part),
+lines AS (SELECT DISTINCT ' ' || code || tail AS ticker, p_name AS name FROM part_codes),
+master AS (SELECT symbol, arg_min(p_name, p_partkey) AS cand FROM (SELECT code || CASE WHEN p_retailprice > 950 THEN '.' WHEN p_retailprice > 930 THEN '-' ELSE '' END || tail AS symbol, p_name, p_partkey FROM part_codes) GROUP BY symbol),
+keyed AS (SELECT *, regexp_replace(symbol, '[^A-Z0-9]', '', 'g') AS k FROM master),
+sizes AS (SELECT k, count(*) AS n, min(symbol) AS one FROM keyed GROUP BY k),
+base AS (SELECT l.*, upper(trim(ticker)) AS t, e.symbol AS exact, s.k, s.n, s.one FROM lines l LEFT JOIN master e ON e.symbol = upper(trim(ticker)) LEFT JOIN sizes s ON s.k = regexp_replace(upper(ticker), '[^A-Z0-9]', '', 'g')),
+pairs AS (SELECT b.ticker, b.name, m.symbol, list_sort(list_intersect(x, y)) AS both_words, list_sort(list_filter(x, lambda w: NOT list_contains(y, w))) AS ra, list_sort(list_filter(y, lambda w: NOT list_contains(x, w))) AS rb
+  FROM base b JOIN keyed m ON m.k = b.k CROSS JOIN LATERAL (SELECT list_distinct(string_split(b.name, ' ')) AS x, list_distinct(string_split(m.cand, ' ')) AS y) w WHERE b.exact IS NULL AND b.n > 1),
+texts AS (SELECT *, array_to_string(both_words, ' ') AS sh, trim(array_to_string(list_concat(both_words, ra), ' ')) AS fa, trim(array_to_string(list_concat(both_words, rb), ' ')) AS fb FROM pairs),
+scored AS (SELECT ticker, name, symbol, CASE WHEN len(both_words) > 0 AND (len(ra) = 0 OR len(rb) = 0) THEN 100.0
+   WHEN len(both_words) = 0 THEN 200.0 * {_lcs("fa", "fb")} / (length(fa) + length(fb))
+   ELSE greatest(200.0 * {_lcs("fa", "fb")} / (length(fa) + length(fb)), 200.0 * length(sh) / (length(sh) + length(fa)), 200.0 * length(sh) / (length(sh) + length(fb))) END AS score FROM texts),
+best AS (SELECT ticker, name, max(CASE WHEN r = 1 THEN symbol END) AS sym, max(CASE WHEN r = 1 THEN score END) AS top, max(CASE WHEN r = 2 THEN score END) AS second
+  FROM (SELECT *, row_number() OVER (PARTITION BY ticker, name ORDER BY score DESC, symbol) AS r FROM scored) GROUP BY ticker, name),
+kinds AS (SELECT b.*, x.sym, x.top, CASE WHEN exact IS NOT NULL THEN 'EXACT' WHEN n IS NULL THEN 'REJECT' WHEN n = 1 THEN 'NORMALIZED' WHEN top >= 90 AND top - second >= 5 THEN 'NAME_FUZZY' ELSE 'AMBIGUOUS' END AS kind
+  FROM base b LEFT JOIN best x ON x.ticker = b.ticker AND x.name = b.name)
+SELECT ticker, name, CASE kind WHEN 'EXACT' THEN t WHEN 'NORMALIZED' THEN one WHEN 'NAME_FUZZY' THEN sym ELSE '' END AS ticker_fixed, kind AS match_type,
+  CASE WHEN kind IN ('NAME_FUZZY', 'AMBIGUOUS') THEN round(top::DOUBLE, 6) END AS match_score, CASE kind WHEN 'EXACT' THEN 1 WHEN 'REJECT' THEN 0 ELSE n END::BIGINT AS candidate_count,
+  CASE kind WHEN 'REJECT' THEN 'no_symbol_match' WHEN 'AMBIGUOUS' THEN 'fuzzy_tie_or_low_score' END AS reason FROM kinds"""
+
+
+@query("J10_blocked_fuzzy_match", RESOLVED)
 def j10(spark, sf):
     lines, master = holdings_pairs(spark, sf)
     return M.resolve_tickers(lines, master, "ticker", "name")

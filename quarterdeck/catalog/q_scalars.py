@@ -228,7 +228,13 @@ def p18(spark, sf):
     return _lines(spark, sf).select("date", P.prev_trade_date("date").alias("prev")).distinct()
 
 
-@query("P19_shard_filter")
+# CRC-32 by its definition: xor each byte in, then eight shifts (operations below 0) with the fixed polynomial.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(symbol) + 1),
+    lambda i: list_prepend(ascii(substr(symbol, i, 1))::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda c, op: CASE WHEN op >= 0 THEN xor(c, op) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+@query("P19_shard_filter", f"SELECT symbol, {_CRC} % 4 = 1 AS in_shard, true AS in_one FROM (SELECT DISTINCT symbol FROM li)", "li")
 def p19(spark, sf):
     s = _lines(spark, sf).select("symbol").distinct()
     return s.select("symbol", P.shard_filter("symbol", 4, 1).alias("in_shard"), P.shard_filter("symbol", 1, 0).alias("in_one"))

@@ -79,7 +79,7 @@ def holdings_files(spark, sf):
             F.array(
                 F.lit("﻿Fund holdings"),
                 F.lit(""),
-                F.concat_ws(F.lit(""), F.lit("Ticker"), "sep", F.lit("Security Name"), "sep", F.lit("Asset Class"), "sep", F.lit("Weight (%)\r")),
+                F.concat(F.lit("Ticker"), "sep", F.lit("Security Name"), "sep", F.lit("Asset Class"), "sep", F.lit("Weight (%)\r")),
             )
         ).alias("pos", "line"),
     )
@@ -170,8 +170,8 @@ def s9(spark, sf):
 @query(
     "S10_read_cik_map",
     """
-SELECT ticker, arg_max(cik, at) AS cik FROM (
-  SELECT 'T' || s_nationkey AS ticker, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik, s_suppkey * 2 AS at FROM supplier
+SELECT ticker, arg_max(cik, seq) AS cik FROM (
+  SELECT 'T' || s_nationkey AS ticker, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik, s_suppkey * 2 AS seq FROM supplier
   UNION ALL SELECT 'U' || s_nationkey, lpad(CAST(s_suppkey + 7 AS VARCHAR), 10, '0'), s_suppkey * 2 + 1 FROM supplier) GROUP BY ticker""",
 )
 def s10(spark, sf):

@@ -15,16 +15,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def tidy(df: DataFrame, digits: int = 6, coarse: tuple[str, ...] = ()) -> DataFrame:
+def tidy(df: DataFrame, digits: int = 6, places: dict[str, int] | None = None) -> DataFrame:
     """Dates as ISO text and doubles rounded, so two engines can be compared value by value.
 
-    `coarse` columns are large amounts, where six digits would pass the precision of a double.
+    `places` sets other digits per column: fewer for large amounts, where six would pass the precision of a
+    double, more where exact results end in a five at the seventh digit.
     """
     out = []
     for f in df.schema.fields:
         c = F.col(q(f.name))
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 2 if f.name in coarse else digits) + F.lit(0.0)
+            c = F.round(c.cast("double"), (places or {}).get(f.name, digits)) + F.lit(0.0)
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("date").cast("string")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
@@ -53,11 +54,11 @@ def sql(text: str, ctes: str = "") -> str:
     return _with(ctes.split()) + text.strip()
 
 
-def query(name: str, text: str | None = None, ctes: str = "", digits: int = 6, coarse: tuple[str, ...] = ()):
+def query(name: str, text: str | None = None, ctes: str = "", digits: int = 6, places: dict[str, int] | None = None):
     """Register a query under its inventory id, with the SQL that must give the same rows."""
 
     def add(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, sf, _f=fn: tidy(_f(spark, sf), digits, coarse)
+        QUERIES[name] = lambda spark, sf, _f=fn: tidy(_f(spark, sf), digits, places)
         if text is not None:
             ORACLES[name] = sql(text, ctes)
         return fn

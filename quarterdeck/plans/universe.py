@@ -18,7 +18,7 @@ OUTPUT = ["ticker_raw", "name_raw", "ticker_fixed", "match_type", "match_score",
 
 
 def holdings_lines(rows: DataFrame) -> DataFrame:
-    """(file, pos, cells) rows to typed holdings lines."""
+    """(file, pos, names, cells) rows to typed holdings lines."""
     return rows.select(
         "file",
         "pos",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions import fixed
 from quarterdeck.functions.scalars import col
 
-_MAX_COLUMNS = 64
+_QUOTE = '"'
 
 
 def is_header(line: Column | str) -> Column:
@@ -33,14 +33,21 @@ def separator(header: Column | str) -> Column:
     )
 
 
-def _cells(line: Column, sep: str) -> Column:
-    schema = ", ".join(f"c{i} string" for i in range(_MAX_COLUMNS))
-    parsed = F.from_csv(line, F.lit(schema), {"sep": sep, "mode": "PERMISSIVE"})
-    return F.array(*[parsed[f"c{i}"] for i in range(_MAX_COLUMNS)])
+def cells_of(line: Column, sep: str) -> Column:
+    """Cells of one CSV line; quotes protect separators and a doubled quote is a quote. Blank cells are NULL.
+
+    Each match starts at a separator, so one is put in front of the line.
+    """
+    quoted = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f'{sep}("(?:[^"]|"")*"|[^{sep}]*)'), 1)
+    bare = lambda c: F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit(_QUOTE))
+    return F.transform(
+        quoted,
+        lambda c: F.nullif(F.when(c.startswith(_QUOTE) & c.endswith(_QUOTE) & (F.length(c) > 1), bare(c)).otherwise(c), F.lit("")),
+    )
 
 
 def holdings_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line: str = "line") -> DataFrame:
-    """Data rows of many holdings files as (file, pos, cells map).
+    """Data rows of many holdings files as (file, pos, lower-case header names, cells).
 
     `lines` holds one row per physical line. The header is the first matching line among the leading ones of
     each file; files without one give no rows. The header table has one row per file and joins back on file,
@@ -57,16 +64,16 @@ def holdings_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line:
     body = clean.join(heads, file).filter((F.col(pos) > F.col("_head_pos")) & (F.trim(F.col(line)) != ""))
 
     def by_sep(c: Column) -> Column:
-        return F.when(F.col("_sep") == ",", _cells(c, ",")).when(F.col("_sep") == ";", _cells(c, ";")).otherwise(_cells(c, "\t"))
-
-    names = F.filter(F.transform(by_sep(F.col("_head")), lambda x: F.trim(x)), lambda x: x.isNotNull())
-    # A line with more filled cells than the header is malformed and skipped.
-    wide = body.select(file, pos, names.alias("_names"), by_sep(F.col(line)).alias("_values"))
-    n = F.size("_names")
-    spill = F.exists(F.slice(F.col("_values"), n + 1, _MAX_COLUMNS), lambda x: x.isNotNull())
-    return wide.filter(~spill).select(
-        file, pos, F.map_from_arrays(F.col("_names"), F.slice(F.col("_values"), F.lit(1), n)).alias("cells")
-    )
+        return (
+            F.when(F.col("_sep") == ",", cells_of(c, ","))
+            .when(F.col("_sep") == ";", cells_of(c, ";"))
+            .otherwise(cells_of(c, "\t"))
+        )
+
+    names = F.transform(by_sep(F.col("_head")), lambda x: F.lower(F.trim(F.coalesce(x, F.lit("")))))
+    wide = body.select(file, pos, names.alias("names"), by_sep(F.col(line)).alias("cells"))
+    # A line with more cells than the header is malformed and skipped; a short one is padded by lookup.
+    return wide.filter(F.size("cells") <= F.size("names"))
 
 
 def read_holdings(spark: SparkSession, path: str) -> DataFrame:
@@ -75,7 +82,8 @@ def read_holdings(spark: SparkSession, path: str) -> DataFrame:
     return holdings_rows(raw.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "line")))
 
 
-def cell(candidates: list[str], cells: str = "cells") -> Column:
-    """First candidate column of a row, ignoring case."""
-    low = F.transform_keys(F.col(cells), lambda k, _: F.lower(k))
-    return F.coalesce(*[F.try_element_at(low, F.lit(c.lower())) for c in dict.fromkeys(candidates)])
+def cell(candidates: list[str]) -> Column:
+    """Value of the first candidate column that the file has, ignoring case."""
+    wanted = list(dict.fromkeys(c.strip().lower() for c in candidates))
+    at = F.coalesce(*[F.nullif(F.array_position("names", c), F.lit(0)) for c in wanted]).cast("int")
+    return F.try_element_at(F.col("cells"), at)
