@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarterdeck.plans.factors import FactorInputs
+from quarterdeck.session import materialise
 from quarterdeck.sources.payloads import payload_rows
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag", "l_discount"]
@@ -53,8 +54,19 @@ def adjusted(spark: SparkSession, sf: str) -> DataFrame:
     return prices(spark, sf).withColumn("close", F.coalesce("adjClose", "close"))
 
 
+def stored_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The price table as jobs find it: written once below the shared folder."""
+    return materialise(prices(spark, sf), "prices")
+
+
+def market_of(px: DataFrame) -> DataFrame:
+    """Mean adjusted close of all symbols per day."""
+    daily = px.groupBy("date").agg(F.avg(F.coalesce("adjClose", "close")).alias("close"))
+    return daily.select(F.lit("^GSPC").alias("symbol"), "date", "close")
+
+
 def market(spark: SparkSession, sf: str) -> DataFrame:
-    return adjusted(spark, sf).groupBy("date").agg(F.avg("close").alias("close")).select(F.lit("^GSPC").alias("symbol"), "date", "close")
+    return market_of(prices(spark, sf))
 
 
 def quarter_end(d: str = "date") -> Column:
@@ -202,8 +214,9 @@ def membership(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def factor_inputs(spark: SparkSession, sf: str) -> FactorInputs:
+    px = stored_prices(spark, sf)
     return FactorInputs(
-        prices=prices(spark, sf), market=market(spark, sf), financials=financials(spark, sf), dividends=dividends(spark, sf),
+        prices=px, market=market_of(px), financials=financials(spark, sf), dividends=dividends(spark, sf),
         shares=shares(spark, sf), membership=membership(spark, sf), targets=targets(spark, sf), company_facts=company_facts(spark, sf),
         holdings=holdings(spark, sf), transactions=transactions(spark, sf), estimates=estimates(spark, sf),
         estimates_quarterly=estimates_quarterly(spark, sf),

@@ -10,8 +10,8 @@ from quarterdeck.catalog.registry import query
 from quarterdeck.operators import aggregates as A
 from quarterdeck.operators import formulas as R
 from quarterdeck.operators import joins as J
+from quarterdeck.operators.fundamentals import fundamental_features
 from quarterdeck.plans import company_facts as C
-from quarterdeck.plans import factors as P
 from quarterdeck.schemas import q
 
 # Row formulas over: latest l, trailing block t, previous quarter p, price x, snapshot shares s.
@@ -77,7 +77,7 @@ CROSS JOIN LATERAL (SELECT CASE WHEN t.symbol IS NOT NULL THEN t."netIncome" / n
 def f1(spark, sf):
     px = B.adjusted(spark, sf).groupBy("symbol").agg(F.max_by("close", "date").alias("Price"))
     sh = A.latest_composite_row(B.shares(spark, sf), "symbol", "asOfDate", ["sharesOutstanding"]).select("symbol", F.col("sharesOutstanding").alias("snap"))
-    rows = J.feature_assembly(px, [P._fundamentals(B.financials(spark, sf)), sh], "symbol")
+    rows = J.feature_assembly(px, [fundamental_features(B.financials(spark, sf)), sh], "symbol")
     rows = rows.withColumn("shares_out", R.resolved_shares("snap", "l_sharesOutstanding"))
     return R.financial_indicators(rows).select("symbol", *[q(c) for c in R.INDICATORS])
 
@@ -122,7 +122,7 @@ SELECT symbol, this_y, next_y, CASE WHEN g IS NOT NULL THEN greatest(-50, least(
 
 def growth_rows(spark, sf):
     est = A.latest_composite_row(B.estimates(spark, sf), "symbol", "asOfDate", ["epsThisY", "epsNextY"]).drop("asOfDate")
-    g = P._growth_points(B.financials(spark, sf)).join(est, "symbol", "left")
+    g = fundamental_features(B.financials(spark, sf)).join(est, "symbol", "left")
     return g.withColumn("growth", R.growth_blend("epsThisY", "epsNextY", "eps_now", "eps_5y", "eps_3y"))
 
 

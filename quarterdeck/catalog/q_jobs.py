@@ -287,7 +287,7 @@ FROM prices p JOIN (SELECT symbol, avg(CASE WHEN "adjClose" IS NULL THEN 1 ELSE
 )
 def c5_backfill(spark, sf):
     """Chunks of prices, filled from the adjusted feed, published to the monthly table and read back."""
-    p = B.prices(spark, sf)
+    p = B.stored_prices(spark, sf)
     chunks = p.withColumn("chunk", F.lit(1)).union(p.filter("date > date '2000-01-01'").withColumn("chunk", F.lit(2)))
     feed = B.landed(p.filter("volume > 20"), ["symbol"], date=F.col("date").cast("string"), adjClose=F.col("open") * 0.5)
     div = I.dividends_by_date(B.dividends(spark, sf), [*B.ORDER, "dividend"])
@@ -307,7 +307,7 @@ SELECT symbol, CAST(date AS VARCHAR) AS date, round(close, 6) AS close, round("a
     "prices",
 )
 def c5_daily(spark, sf):
-    p = B.prices(spark, sf)
+    p = B.stored_prices(spark, sf)
     folder = scratch_path(spark, "daily")
     stored = p.filter("date < date '2000-06-01'")
     I.publish(spark, folder, "prices_eod", stored)
@@ -459,7 +459,7 @@ FROM (SELECT symbol, arg_min("exDate", o) AS d FROM divs WHERE dividend > 0.05 G
     "prices fin divs",
 )
 def c6(spark, sf):
-    p, f = B.prices(spark, sf), B.financials(spark, sf)
+    p, f = B.stored_prices(spark, sf), B.financials(spark, sf)
     ev = B.dividends(spark, sf).withColumn("pos", F.struct(*B.ORDER))
     tables = {"prices_eod": p, "earnings_events": None, "financials_quarterly": f}
     return Q.report(p, tables, f, ev.filter("dividend > 0.05"), ev, F.lit("2001-11-12").cast("date"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarterdeck.catalog import bindings as B
 from quarterdeck.catalog.registry import query
 from quarterdeck.operators import payloads as N
+from quarterdeck.session import materialise
 from quarterdeck.sources.payloads import payload_rows
 
 _AT = [*B.ORDER, "pos"]
@@ -214,8 +215,11 @@ LEFT JOIN ({CASH_FLOW}) o2 ON o2.symbol = f.symbol AND o2.fd = f.fd AND o2.per =
 )
 def n8(spark, sf):
     items = _items(spark, sf)
-    f = N.enrich_nulls(merged_financials(spark, sf), N.extract_dividends_paid(items, _AT), "dividendsPaid")
-    f = N.enrich_nulls(f, N.extract_operating_cash_flow(items, _AT), "operatingCashFlow")
+    # Each extract is looked up twice (by period and by date), so it is written once.
+    paid = materialise(N.extract_dividends_paid(items, _AT), "dividends-paid")
+    cash = materialise(N.extract_operating_cash_flow(items, _AT), "cash-flow")
+    f = N.enrich_nulls(merged_financials(spark, sf), paid, "dividendsPaid")
+    f = N.enrich_nulls(f, cash, "operatingCashFlow")
     return f.select("symbol", "fiscalDate", "period", "dividendsPaid", "operatingCashFlow")
 
 

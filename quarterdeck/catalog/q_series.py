@@ -8,6 +8,7 @@ from quarterdeck.catalog import bindings as B
 from quarterdeck.catalog.registry import query
 from quarterdeck.operators import series as W
 from quarterdeck.operators.xbrl import quarter_values
+from quarterdeck.sources.tables import adjusted_close
 
 _w = W.by_key()
 
@@ -141,7 +142,8 @@ def w11(spark, sf):
     "betas",
 )
 def w12(spark, sf):
-    return W.beta(B.adjusted(spark, sf), B.market(spark, sf))
+    px = B.stored_prices(spark, sf)
+    return W.beta(adjusted_close(px), B.market_of(px))
 
 
 @query("W13_rolling_ttm_ratio", 'SELECT symbol, CAST("fiscalDate" AS VARCHAR) AS "fiscalDate", round(eps_ttm, 6) AS eps_ttm FROM eps', "eps")

@@ -174,8 +174,9 @@ def _extract(rows: DataFrame, order: list[str], rank: Column, prefer: list[Colum
     items = _as_reported(rows, order).withColumn("rank", rank).filter(F.col("rank").isNotNull())
     key = ["symbol", "fiscalDate", "period"]
     best = items.groupBy(*key, "at").agg(F.min_by("value", F.struct("rank", *prefer, "i_pos")).alias("value"))
-    blank = best.filter(F.col("period") != "").withColumn("period", F.lit(""))
-    return best.unionByName(blank).groupBy(*key).agg(F.max_by("value", "at").alias("value"))
+    # One pass: a row with a period also counts for the empty period.
+    both = best.withColumn("period", F.explode(F.array_distinct(F.array("period", F.lit("")))))
+    return both.groupBy(*key).agg(F.max_by("value", "at").alias("value"))
 
 
 def extract_dividends_paid(rows: DataFrame, order: list[str]) -> DataFrame:

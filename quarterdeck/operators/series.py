@@ -95,7 +95,7 @@ def rsi_latest(df: DataFrame, key: str = "symbol", date: str = "date", close: st
     """
     w = Window.partitionBy(key).orderBy(date)
     d = df.select(key, date, close, (F.col(close) - F.lag(close).over(w)).alias("_d"), F.row_number().over(w).alias("_rn"))
-    d = d.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    d = d.withColumn("_n", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     up = F.when(F.col("_d") > 0, F.col("_d")).when(F.col("_d") <= 0, 0.0)
     down = F.when(F.col("_d") < 0, -F.col("_d")).when(F.col("_d") >= 0, 0.0)
     agg = d.groupBy(key).agg(
@@ -178,45 +178,63 @@ def beta(
 ) -> DataFrame:
     """Five-year monthly beta at the newest date of each key, else one-year daily beta; two decimals.
 
-    The market is one row per date; its own returns for the common dates of each stock need the joined
-    series, so the market close joins once and everything else is per key.
+    The market calendar joins the stock rows once. Month ends, common days and their ranks come from one
+    window order, and one aggregate takes both slopes.
     """
-    mk = market.select(date, F.col(close).alias("_m")).filter(F.col("_m").isNotNull())
-    st = stock.filter(F.col(close).isNotNull()).select(key, date, close)
-    sm = month_returns(month_end_close(st, key, date, close), key, close)
-    mm = month_returns(month_end_close(mk.withColumnRenamed("_m", close), None, date, close), None, close)
-    # Market months are cut at the stock's newest date: its running month uses the market close of that date.
-    last = st.groupBy(key).agg(F.max(date).alias("_last"))
-    pairs = sm.join(mm.select("month", F.col("ret").alias("_mret")), "month").join(last, key)
-    cut = _market_cut(last, mk, key, date)
-    pairs = pairs.join(cut, key, "left").withColumn(
-        "_mret",
-        F.when(F.col("month") == F.trunc("_last", "month"), F.col("_cut_ret")).otherwise(F.col("_mret")),
+    days_of = market_calendar(market, date, close)
+    w = Window.partitionBy(key).orderBy(date)
+    before, whole = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    month = F.trunc(date, "month")
+    # One exchange and one sort by (key, date); every window below shares that order.
+    st = stock.filter(F.col(close).isNotNull()).select(key, date, close).join(days_of, date, "left")
+    st = st.select(
+        "*",
+        month.alias("_month"),
+        F.last(date).over(whole).alias("_last"),
+        F.coalesce(F.trunc(F.lead(date).over(w), "month") != month, F.lit(True)).alias("_end"),
+        F.last(F.when(F.col("_m").isNotNull(), F.struct(F.col(close).alias("c"), F.col("_m").alias("m"))), ignorenulls=True).over(before).alias("_day"),
     )
-    usable = pairs.filter(F.col("ret").isNotNull() & F.col("_mret").isNotNull())
-    w = Window.partitionBy(key).orderBy(F.col("month").desc())
-    newest = usable.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= months)
-    monthly = newest.groupBy(key).agg(F.when(F.count(F.lit(1)) >= min_months, beta_of("ret", "_mret")).alias("_bm"))
-
-    common = st.join(mk, date)
-    wd = Window.partitionBy(key).orderBy(date)
-    daily = common.withColumn("_s", returns(close, wd)).withColumn("_r", returns("_m", wd))
-    daily = daily.filter(F.col("_s").isNotNull() & F.col("_r").isNotNull())
-    ranked = daily.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))).filter(F.col("_rn") <= days)
-    fallback = ranked.groupBy(key).agg(F.when(F.count(F.lit(1)) >= min(min_days, days), beta_of("_s", "_r")).alias("_bd"))
-    out = last.select(key).join(monthly, key, "left").join(fallback, key, "left")
-    return out.select(key, F.round(F.coalesce("_bm", "_bd"), 2).alias("beta"))
-
-
-def _market_cut(last: DataFrame, mk: DataFrame, key: str, date: str) -> DataFrame:
-    """Market return of each stock's running month, using no market close after the stock's newest date."""
-    dates = last.select("_last").distinct()
-    recent = mk.join(dates, (F.trunc(F.col(date), "month") == F.trunc("_last", "month")) & (F.col(date) <= F.col("_last")))
-    now = recent.groupBy("_last").agg(F.max_by("_m", date).alias("_now"))
-    months = mk.groupBy(F.trunc(date, "month").alias("_pm")).agg(F.max_by("_m", date).alias("_prev"))
-    pair = now.join(months, F.col("_pm") == F.add_months(F.trunc("_last", "month"), -1), "left")
-    ret = pair.select("_last", (safe_div("_now", "_prev") - 1.0).alias("_cut_ret"))
-    return last.join(ret, "_last", "left").select(key, "_cut_ret")
+    prev = F.last(F.when(F.col("_end"), F.struct(F.col("_month").alias("mon"), F.col(close).alias("c"))), ignorenulls=True).over(before)
+    st = st.withColumn("_prev", prev)
+    running = month == F.trunc("_last", "month")
+    adjacent = F.col("_prev.mon") == F.add_months("_month", -1)
+    st = st.select(
+        key, date,
+        F.when(F.col("_end") & adjacent, safe_div(close, "_prev.c") - 1.0).alias("_sm"),
+        F.when(running, F.col("_cut")).otherwise(F.col("_full")).alias("_mm"),
+        (safe_div(close, "_day.c") - 1.0).alias("_sd"),
+        (safe_div("_m", "_day.m") - 1.0).alias("_md"),
+    )
+
+    def back_rank(stock_ret: str, market_ret: str) -> Column:
+        """Rank from the newest usable pair back; NULL for rows without a pair."""
+        usable = F.when(F.col(stock_ret).isNotNull() & F.col(market_ret).isNotNull(), 1)
+        upto = F.count(usable).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        return F.when(usable == 1, F.count(usable).over(whole) - upto + 1)
+
+    st = st.select("*", back_rank("_sm", "_mm").alias("_km"), back_rank("_sd", "_md").alias("_kd"))
+
+    def slope(s: str, m: str, k: str, most: int, least: int) -> Column:
+        keep = F.col(k) <= most
+        return F.when(F.count(F.when(keep, 1)) >= least, beta_of(F.when(keep, F.col(s)), F.when(keep, F.col(m))))
+
+    out = st.groupBy(key).agg(F.coalesce(slope("_sm", "_mm", "_km", months, min_months), slope("_sd", "_md", "_kd", days, min(min_days, days))).alias("beta"))
+    return out.withColumn("beta", F.round("beta", 2))
+
+
+def market_calendar(market: DataFrame, date: str = "date", close: str = "close") -> DataFrame:
+    """One row per calendar day of every market month: close of the day, return of the month so far and of the whole month.
+
+    The market is one series, so this table has as many rows as days and its windows hold one month each. A
+    month without a market month before it has no return.
+    """
+    m = market.select(date, F.col(close).alias("_m")).filter(F.col("_m").isNotNull())
+    closes = m.groupBy(F.trunc(date, "month").alias("_mon")).agg(F.max_by("_m", date).alias("_end"))
+    before = closes.select(F.add_months("_mon", 1).alias("_mon"), F.col("_end").alias("_start"))
+    months = closes.join(before, "_mon", "left")
+    grid = months.select("*", F.explode(F.sequence("_mon", F.last_day("_mon"))).alias(date)).join(m, date, "left")
+    so_far = F.last("_m", ignorenulls=True).over(Window.partitionBy("_mon").orderBy(date).rowsBetween(Window.unboundedPreceding, 0))
+    return grid.select(date, "_m", (safe_div(so_far, "_start") - 1.0).alias("_cut"), (safe_div("_end", "_start") - 1.0).alias("_full"))
 
 
 def rolling_ttm_ratio(
@@ -281,14 +299,15 @@ def latest_price_indicators(df: DataFrame, key: str = "symbol", date: str = "dat
     cost is linear in the rows and no sliding frame of 250 rows is evaluated for dates nobody asks for.
     """
     w = Window.partitionBy(key).orderBy(F.col(date).desc())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     older = F.lead("close").over(w)
     k = F.col("_k")
     d = df.select(
         key, date, "high", "low", "close", "volume",
         F.row_number().over(w).alias("_k"),
         older.alias("_prev"),
-        F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_n"),
-        F.max(date).over(Window.partitionBy(key)).alias("_last"),
+        F.count(F.lit(1)).over(whole).alias("_n"),
+        F.first(date).over(whole).alias("_last"),
     )
     ret = safe_div("close", "_prev") - 1.0
     prev_tr = F.when(k <= 14, F.col("_prev")).otherwise(F.col("close"))

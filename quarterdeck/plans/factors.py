@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.scalars import format_pair, own_pct, trans_pct
+from quarterdeck.functions.scalars import format_pair, own_pct, safe_div, trans_pct
 from quarterdeck.operators import aggregates as A
 from quarterdeck.operators import formulas as R
 from quarterdeck.operators import joins as J
 from quarterdeck.operators import series as W
+from quarterdeck.operators.fundamentals import fundamental_features
 from quarterdeck.schemas import FACTORS, TABLES, conform
 from quarterdeck.sinks.upsert import merge_last_wins, swap_in
 from quarterdeck.sinks.writers import write_pair
@@ -56,52 +57,60 @@ def read_inputs(spark: SparkSession, folder: str, index_symbol: str = "SP500") -
     )
 
 
-def _fundamentals(fin: DataFrame) -> DataFrame:
-    """Newest composite quarter, previous quarter and trailing block side by side."""
-    ties = ["period"]
-    latest = A.latest_composite_row(fin, _KEY, "fiscalDate", R.LATEST, ties)
-    latest = latest.select(_KEY, F.col("fiscalDate").alias("financials_date"), F.lit(True).alias("has_latest"), *[F.col(c).alias(f"l_{c}") for c in R.LATEST])
-    prev = A.nth_row(fin, _KEY, "fiscalDate", 2, ties).select(_KEY, *[F.col(c).alias(f"p_{c}") for c in R.PREVIOUS])
-    ttm = A.ttm_block(fin, _KEY, "fiscalDate", ties)
-    ttm = ttm.select(_KEY, F.lit(True).alias("has_ttm"), *[F.col(c).alias(f"t_{c}") for c in ttm.columns if c != _KEY])
-    return J.feature_assembly(latest, [prev, ttm], _KEY)
+def _event_features(probe: DataFrame, dividends: DataFrame) -> DataFrame:
+    """Dividend sums and the next or previous ex-date: one join, one aggregate."""
+    hit = dividends.select(_KEY, "exDate", "dividend").join(probe, _KEY)
+    ex, t = F.col("exDate"), F.col("price_date")
+    sums = [F.sum(F.when(ex.between(lo, hi), F.col("dividend"))).alias(n) for n, (lo, hi) in J.dividend_windows("price_date").items()]
+    return hit.groupBy(_KEY).agg(*sums, F.coalesce(F.min(F.when(ex > t, ex)), F.max(F.when(ex <= t, ex))).alias("Dividend Ex-Date"))
+
+
+def _share_features(probe: DataFrame, shares: DataFrame) -> DataFrame:
+    """Newest shares, and shares now against about a year ago: one join, one aggregate."""
+    hit = shares.select(_KEY, "asOfDate", "sharesOutstanding", "sharesFloat").join(probe, _KEY)
+    day, t = F.col("asOfDate"), F.col("price_date")
+    # The row itself counts, NULL value or not, so the value is boxed.
+    value = F.struct(F.col("sharesOutstanding").alias("v"))
+    year_ago = day <= F.date_sub(t, 365)
+    g = hit.groupBy(_KEY).agg(
+        F.expr("max_by(sharesOutstanding, asOfDate) filter (where sharesOutstanding is not null)").alias("_snap_shares"),
+        F.expr("max_by(sharesFloat, asOfDate) filter (where sharesFloat is not null)").alias("Shs Float"),
+        F.max_by(value, F.when(day <= t, day)).alias("_now"),
+        F.max_by(value, F.when(year_ago, day)).alias("_ago"),
+        F.max(F.when(year_ago, F.datediff(F.date_sub(t, 365), day) * -1)).alias("_age"),
+    )
+    ago = F.when(F.col("_age") >= -120, F.col("_ago.v"))
+    return g.select(_KEY, "_snap_shares", "Shs Float", (safe_div("_now.v", ago) - 1.0).alias("Share Dilution"))
 
 
-def _growth_points(fin: DataFrame) -> DataFrame:
-    """Trailing EPS at the newest fiscal date and three and five years earlier."""
-    series = W.rolling_ttm_ratio(fin, _KEY, "fiscalDate", ["period"]).filter("eps_ttm is not null").select(_KEY, "fiscalDate", "eps_ttm")
-    last = fin.groupBy(_KEY).agg(F.max("fiscalDate").alias("_fd"))
-    hit = series.join(last, _KEY)
-    picks = []
-    for name, target in (("eps_now", F.col("_fd")), ("eps_3y", F.add_months("_fd", -36)), ("eps_5y", F.add_months("_fd", -60))):
-        gap = F.abs(F.datediff("fiscalDate", target))
-        picks.append(F.min_by(F.when(gap <= 180, F.col("eps_ttm")), F.when(gap <= 180, F.struct(gap, "fiscalDate"))).alias(name))
-    return hit.groupBy(_KEY).agg(*picks)
+def _holding_features(probe: DataFrame, holdings: DataFrame) -> DataFrame:
+    """Insider holdings at the price date and ninety days before."""
+    held = A.dedupe_max_then_sum(holdings, [_KEY, "asOfDate"], "reportingName", "securitiesOwned").join(probe, _KEY)
+    day, t = F.col("asOfDate"), F.col("price_date")
+    return held.groupBy(_KEY).agg(
+        F.max_by("securitiesOwned", F.when(day <= t, day)).alias("_held_now"),
+        F.max_by("securitiesOwned", F.when(day <= F.date_sub(t, 90), day)).alias("_held_prev"),
+    )
 
 
 def factor_rows(inp: FactorInputs) -> DataFrame:
     """The factor table of this run.
 
-    Prices, financials, snapshots and events each shuffle once by symbol; everything afterwards is one row per
-    symbol, so the left joins of the assembly carry small sides.
+    Each input table is read once and shuffled once by symbol; after its aggregate it has one row per symbol,
+    so the left joins of the assembly only carry small sides. The probe (newest price date per symbol) is a
+    partial aggregate over two columns of the prices.
     """
     px = adjusted_close(inp.prices)
+    probe = inp.prices.groupBy(_KEY).agg(F.max("date").alias("price_date"))
     indicators = W.latest_price_indicators(px).filter(F.col("Price").isNotNull())
-    market = resolve_market_series(inp.market)
-    beta = W.beta(px, market).withColumnRenamed("beta", "Beta")
+    beta = W.beta(px, resolve_market_series(inp.market)).withColumnRenamed("beta", "Beta")
     fin = inp.financials.filter(F.col("fiscalDate").isNotNull())
 
-    probe = indicators.select(_KEY, "price_date")
-    shares = A.latest_composite_row(inp.shares, _KEY, "asOfDate", ["sharesOutstanding", "sharesFloat"])
-    shares = shares.select(_KEY, F.col("sharesOutstanding").alias("_snap_shares"), F.col("sharesFloat").alias("Shs Float"))
     targets = A.latest_composite_row(inp.targets, _KEY, "asOfDate", ["targetPrice"]).select(_KEY, F.col("targetPrice").alias("Target Price"))
     member = A.latest_membership(inp.membership).select(F.col("memberSymbol").alias(_KEY), F.col("isMember").alias("Index"))
     est = A.latest_composite_row(inp.estimates, _KEY, "asOfDate", ["epsThisY", "epsNextY"])
     est = est.select(_KEY, F.col("epsThisY").alias("EPS This Y"), F.col("epsNextY").alias("EPS Next Y"))
     est_q = A.latest_composite_row(inp.estimates_quarterly, _KEY, "asOfDate", ["epsNextQ"]).select(_KEY, F.col("epsNextQ").alias("EPS Next Q"))
-
-    div = J.range_sum(probe, inp.dividends, _KEY, "price_date", "exDate", "dividend", J.dividend_windows("price_date")).drop("price_date")
-    ex = J.next_or_previous_event(probe, inp.dividends, _KEY, "price_date", "exDate", "Dividend Ex-Date").drop("price_date")
     facts = J.asof_step_back(
         probe, inp.company_facts, _KEY, "price_date", "asOfDate",
         ["ipoDate", "sharesOutstanding_shares", "sharesOutstanding_profile"], "employees", F.col("employees") >= 0,
@@ -109,28 +118,19 @@ def factor_rows(inp: FactorInputs) -> DataFrame:
         _KEY, F.col("employees").alias("Employees"), F.col("ipoDate").alias("IPO (Date)"),
         R.facts_shares("sharesOutstanding_shares", "sharesOutstanding_profile").alias("_facts_shares"),
     )
-    held = A.dedupe_max_then_sum(inp.holdings, [_KEY, "asOfDate"], "reportingName", "securitiesOwned")
-    held_now = J.asof_backward(probe, held, _KEY, "price_date", "asOfDate", ["securitiesOwned"]).select(_KEY, F.col("securitiesOwned").alias("_held_now"))
-    held_prev = J.asof_backward(probe, held, _KEY, "price_date", "asOfDate", ["securitiesOwned"], 90).select(_KEY, F.col("securitiesOwned").alias("_held_prev"))
     net = J.range_signed_sum(
         probe, inp.transactions, _KEY, "price_date", "transactionDate", "securitiesTransacted", "acquisitionOrDisposition", "transactionType"
     ).select(_KEY, F.col("net_shares").alias("_net"))
 
-    ties = ["period"]
-    growth = [
-        A.ttm_yoy(fin, "revenue", "Revenue YoY", ties=ties),
-        A.ttm_yoy(fin, "operatingCashFlow", "OCF YoY", positive_base=False, ties=ties),
-        A.ttm_ratio(fin, "operatingCashFlow", "netIncome", "OCF/NI", ties=ties),
-        A.eps_yoy(fin, "EPS YoY", ties=ties),
-        A.share_dilution_features(probe, inp.shares, _KEY, "price_date", "asOfDate", "sharesOutstanding", "Share Dilution"),
-        A.interest_coverage(fin, first_present_column(fin), "Interest Coverage", ties=ties),
-        A.margin_volatility(fin, "OPM volatility", ties=ties),
-    ]
-    rows = J.feature_assembly(
-        indicators,
-        [beta, _fundamentals(fin), shares, targets, member, est, est_q, div, ex, facts, held_now, held_prev, net, _growth_points(fin), *growth],
-        _KEY,
-    )
+    features = [
+        beta,
+        fundamental_features(fin, first_present_column(fin)),
+        _share_features(probe, inp.shares),
+        _event_features(probe, inp.dividends),
+        _holding_features(probe, inp.holdings),
+        targets, member, est, est_q, facts, net,
+    ]
+    rows = J.feature_assembly(indicators, features, _KEY)
     rows = rows.withColumns(
         {
             "has_latest": F.coalesce("has_latest", F.lit(False)),

@@ -19,7 +19,8 @@ def build_session(app: str = "quarterdeck", master: str | None = None, shuffle_p
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
     )
     if master:
-        b = b.master(master).config("spark.ui.enabled", "false")
+        # Local mode: the driver is the only executor, so it gets the memory.
+        b = b.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", os.environ.get("LOCAL_MEMORY", "12g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()
