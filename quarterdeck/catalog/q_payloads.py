@@ -12,7 +12,10 @@ from quarterdeck.sources.payloads import payload_rows
 
 _AT = [*B.ORDER, "pos"]
 _KEEP = ["symbol", *B.ORDER]
-_A, _N, _R = (F.col("l_returnflag") == x for x in "ANR")
+
+
+def _is(flag):
+    return F.col("l_returnflag") == flag
 
 
 def _t(c):
@@ -40,10 +43,10 @@ def n1(spark, sf):
     rows = B.landed(
         _lines(spark, sf), _KEEP,
         date=F.when(F.col("l_linenumber") != 7, _day()),
-        open=F.when(_A, _t("l_extendedprice")).otherwise(F.lit(" ")), Open=F.col("l_extendedprice"),
-        high=F.when(_R, F.lit("high")).otherwise(_t("l_extendedprice")), High=F.lit(1),
+        open=F.when(_is("A"), _t("l_extendedprice")).otherwise(F.lit(" ")), Open=F.col("l_extendedprice"),
+        high=F.when(_is("R"), F.lit("high")).otherwise(_t("l_extendedprice")), High=F.lit(1),
         Close=F.col("l_extendedprice") * (1 - F.col("l_discount")),
-        adjClose=F.when(_A, F.col("l_tax")), adj_close=F.when(_N, _t("l_discount")),
+        adjClose=F.when(_is("A"), F.col("l_tax")), adj_close=F.when(_is("N"), _t("l_discount")),
         Volume=_t("l_quantity"),
     )
     return N.build_prices(rows)
@@ -57,25 +60,25 @@ WHERE l_returnflag <> 'R' AND date BETWEEN DATE '1996-01-01' AND DATE '2000-06-3
     "li",
 )
 def n2(spark, sf):
-    rows = B.landed(_lines(spark, sf), _KEEP, date=_day(), adjustedClose=F.when(~_R, F.col("l_extendedprice")))
+    rows = B.landed(_lines(spark, sf), _KEEP, date=_day(), adjustedClose=F.when(~_is("R"), F.col("l_extendedprice")))
     return N.build_adjclose(rows, "1996-01-01", "2000-06-30")
 
 
 def _statement_rows(spark, sf, line, **fields):
     li = _lines(spark, sf, f"l_linenumber = {line}").withColumn("q", B.quarter_end())
-    period = F.when(~_N, F.concat(F.lit("Q"), F.quarter("q")))
+    period = F.when(~_is("N"), F.concat(F.lit("Q"), F.quarter("q")))
     return B.landed(li, _KEEP, date=_day("q"), period=period, **fields)
 
 
 def statements(spark, sf):
     inc = _statement_rows(
-        spark, sf, 1, revenue=F.when(_A, _t("l_extendedprice")), Revenue=F.col("l_quantity"), netIncome=F.col("l_tax"),
+        spark, sf, 1, revenue=F.when(_is("A"), _t("l_extendedprice")), Revenue=F.col("l_quantity"), netIncome=F.col("l_tax"),
         weightedAverageShsOutDil=F.when(F.col("l_quantity") > 25, F.col("l_quantity")),
     )
     bal = _statement_rows(spark, sf, 2, totalAssets=F.col("l_extendedprice"), netReceivables=F.lit(""), receivables=F.col("l_quantity"))
     cash = _statement_rows(
-        spark, sf, 3, operatingCashFlow=F.when(_A, F.col("l_extendedprice")), cashFromOperations=F.when(_R, F.col("l_tax")),
-        weightedAverageSharesDiluted=F.col("l_linenumber") * 1000, cashDividendsPaid=F.when(~_R, -F.col("l_quantity")),
+        spark, sf, 3, operatingCashFlow=F.when(_is("A"), F.col("l_extendedprice")), cashFromOperations=F.when(_is("R"), F.col("l_tax")),
+        weightedAverageSharesDiluted=F.col("l_linenumber") * 1000, cashDividendsPaid=F.when(~_is("R"), -F.col("l_quantity")),
     )
     return inc, bal, cash
 
@@ -141,8 +144,8 @@ def _items(spark, sf):
         *_KEEP,
         F.concat(
             F.lit('[{"date":"'), _t("q"), F.lit('","period":'),
-            F.when(~_N, F.concat(F.lit('"Q'), F.quarter("q"), F.lit('"'))).otherwise(F.lit("null")),
-            F.lit(',"data":'), F.when(_A, as_map).otherwise(as_list), F.lit("}]"),
+            F.when(~_is("N"), F.concat(F.lit('"Q'), F.quarter("q"), F.lit('"'))).otherwise(F.lit("null")),
+            F.lit(',"data":'), F.when(_is("A"), as_map).otherwise(as_list), F.lit("}]"),
         ).alias("body"),
     )
     return payload_rows(plain, "body", _KEEP)
@@ -232,21 +235,21 @@ def _dividend_fields():
         "dividend": _t("l_tax"),
         "adjustedDividend": F.col("l_discount"),
         "recordDate": _day(F.date_add("date", 1)),
-        "paymentDate": F.when(_N, F.lit("")).otherwise(_day(F.date_add("date", 14))),
+        "paymentDate": F.when(_is("N"), F.lit("")).otherwise(_day(F.date_add("date", 14))),
         "declarationDate": F.lit("unknown"),
-        "frequency": F.when(_R, F.lit(" Monthly ")),
+        "frequency": F.when(_is("R"), F.lit(" Monthly ")),
         "dividendYield": F.col("l_quantity"),
     }
 
 
 @query("N9_build_dividends", f"SELECT symbol, CAST(date AS VARCHAR) AS \"exDate\", {_DIV_SQL} FROM li WHERE date >= DATE '1998-01-01'", "li")
 def n9(spark, sf):
-    rows = B.landed(_lines(spark, sf), _KEEP, date=F.when(_A, _day()), exDividendDate=F.when(_N, _day()), exDate=_day(), **_dividend_fields())
+    rows = B.landed(_lines(spark, sf), _KEEP, date=F.when(_is("A"), _day()), exDividendDate=F.when(_is("N"), _day()), exDate=_day(), **_dividend_fields())
     return N.build_dividends(rows, "1998-01-01")
 
 
 def _ticker_fields():
-    return {"symbol": F.when(_A, F.lit(" ")), "ticker": F.lower(F.concat(F.lit(" "), F.col("symbol")))}
+    return {"symbol": F.when(_is("A"), F.lit(" ")), "ticker": F.lower(F.concat(F.lit(" "), F.col("symbol")))}
 
 
 @query(
@@ -256,7 +259,7 @@ def _ticker_fields():
 )
 def n10(spark, sf):
     li = _lines(spark, sf)
-    rows = B.landed(li, B.ORDER, **_ticker_fields(), date=F.when(_A, _day()), exDate=_day(), **_dividend_fields())
+    rows = B.landed(li, B.ORDER, **_ticker_fields(), date=F.when(_is("A"), _day()), exDate=_day(), **_dividend_fields())
     return N.build_dividends_from_calendar(rows, B.universe(spark, sf))
 
 
@@ -266,7 +269,7 @@ _EARN_SQL = """CASE WHEN l_returnflag = 'A' THEN l_tax ELSE l_discount END AS "e
 
 def _earning_fields():
     return {
-        "epsActual": F.when(_A, _t("l_tax")),
+        "epsActual": F.when(_is("A"), _t("l_tax")),
         "eps": F.col("l_discount"),
         "estimatedEps": F.col("l_quantity"),
         "revenueActual": F.col("l_extendedprice"),
@@ -276,14 +279,14 @@ def _earning_fields():
 
 @query("N11_build_earnings", f"SELECT symbol, CAST(date AS VARCHAR) AS \"earningsDate\", {_EARN_SQL} FROM li WHERE date >= DATE '1997-01-01'", "li")
 def n11(spark, sf):
-    rows = B.landed(_lines(spark, sf), _KEEP, date=F.when(_A, _day()), earningsDate=_day(), **_earning_fields())
+    rows = B.landed(_lines(spark, sf), _KEEP, date=F.when(_is("A"), _day()), earningsDate=_day(), **_earning_fields())
     return N.build_earnings(rows, "1997-01-01")
 
 
 def calendar_rows(spark, sf):
     li = _lines(spark, sf)
     stamp = F.concat(_t(F.date_add("date", 1)), F.lit(" 10:00:00.000000000 and more"))
-    return B.landed(li, B.ORDER, **_ticker_fields(), date=_day(), **_earning_fields(), updated=F.when(_A, stamp), lastUpdated=F.when(_N, stamp))
+    return B.landed(li, B.ORDER, **_ticker_fields(), date=_day(), **_earning_fields(), updated=F.when(_is("A"), stamp), lastUpdated=F.when(_is("N"), stamp))
 
 
 @query(
@@ -305,7 +308,7 @@ def as_of():
 
 
 def _forecast_rows(spark, sf):
-    return B.landed(_lines(spark, sf), _KEEP, fillingDate=_day(), epsAvg=F.when(_A, _t("l_quantity")), estimatedEpsAvg=F.when(_N, F.col("l_tax")), eps=F.lit("n/a"))
+    return B.landed(_lines(spark, sf), _KEEP, fillingDate=_day(), epsAvg=F.when(_is("A"), _t("l_quantity")), estimatedEpsAvg=F.when(_is("N"), F.col("l_tax")), eps=F.lit("n/a"))
 
 
 _FORECAST = f"""(SELECT symbol, CASE l_returnflag WHEN 'A' THEN l_quantity WHEN 'N' THEN l_tax END AS eps, row_number() OVER (PARTITION BY symbol ORDER BY date, o) AS k FROM li WHERE date > DATE '{_AS_OF}')"""
@@ -340,7 +343,7 @@ SELECT u.symbol, '{_AS_OF}' AS "asOfDate", t.v AS "targetPrice" FROM uni u LEFT
     "uni li",
 )
 def n15(spark, sf):
-    rows = B.landed(_lines(spark, sf), _KEEP, targetConsensus=F.when(_A, F.col("l_quantity")), median=F.when(_N, _t("l_tax")))
+    rows = B.landed(_lines(spark, sf), _KEEP, targetConsensus=F.when(_is("A"), F.col("l_quantity")), median=F.when(_is("N"), _t("l_tax")))
     return N.target_snapshot(rows, B.universe(spark, sf), as_of(), _AT)
 
 
@@ -366,9 +369,9 @@ def insider_rows(spark, sf):
     return B.landed(
         _lines(spark, sf, "l_linestatus = 'F'"), _KEEP,
         transactionDate=F.when(F.col("l_linenumber") != 6, _day()),
-        shares=_t("l_quantity"), price=F.when(~_R, F.col("l_extendedprice")), value=F.when(_A, F.lit(1)),
-        cik=F.when(_A, _t("l_partkey")), reportingName=F.concat(F.lit("Person "), F.floor(F.col("l_partkey") / 100)),
-        url=F.when(_N, F.lit("http://x/y")), type=F.lit("S-Sale"), securitiesOwned=F.when(~_N, F.col("l_quantity") * 10),
+        shares=_t("l_quantity"), price=F.when(~_is("R"), F.col("l_extendedprice")), value=F.when(_is("A"), F.lit(1)),
+        cik=F.when(_is("A"), _t("l_partkey")), reportingName=F.concat(F.lit("Person "), F.floor(F.col("l_partkey") / 100)),
+        url=F.when(_is("N"), F.lit("http://x/y")), type=F.lit("S-Sale"), securitiesOwned=F.when(~_is("N"), F.col("l_quantity") * 10),
         securityName=F.when(F.col("l_linenumber") <= 3, F.lit("Class A common stock")).otherwise(F.lit("Option")),
         form=F.lit("4"), acquisitionOrDisposition=F.col("l_returnflag"),
     )
