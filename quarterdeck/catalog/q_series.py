@@ -10,8 +10,6 @@ from quarterdeck.operators import series as W
 from quarterdeck.operators.xbrl import quarter_values
 from quarterdeck.sources.tables import adjusted_close
 
-_w = W.by_key()
-
 
 @query(
     "W1_price_series",
@@ -27,7 +25,7 @@ def w1(spark, sf):
 
 @query("W2_prev_close_change", "SELECT symbol, CAST(date AS VARCHAR) AS date, round(close, 6) AS close, round(prev, 6) AS prev_close, round((close - prev) / nullif(prev, 0), 6) AS change FROM ind", "ind")
 def w2(spark, sf):
-    return W.prev_close_change(B.adjusted(spark, sf), _w).select("symbol", "date", "close", "prev_close", "change")
+    return W.prev_close_change(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "close", "prev_close", "change")
 
 
 @query(
@@ -38,7 +36,7 @@ SELECT symbol, CAST(date AS VARCHAR) AS date, round(av, 6) AS avg_volume, round(
     "ind",
 )
 def w3(spark, sf):
-    return W.volume_ratio(B.adjusted(spark, sf), _w).select("symbol", "date", "avg_volume", "rel_volume")
+    return W.volume_ratio(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "avg_volume", "rel_volume")
 
 
 @query(
@@ -52,7 +50,7 @@ def w3(spark, sf):
     digits=8,
 )
 def w4(spark, sf):
-    return W.sma(B.adjusted(spark, sf), _w).select("symbol", "date", "sma20", "sma50", "sma200")
+    return W.sma(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "sma20", "sma50", "sma200")
 
 
 @query(
@@ -64,7 +62,7 @@ FROM ind WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 249 PRECEDING)""",
     "ind",
 )
 def w5(spark, sf):
-    return W.high_low(B.adjusted(spark, sf), _w).select("symbol", "date", "high_n", "low_n")
+    return W.high_low(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "high_n", "low_n")
 
 
 @query(
@@ -75,7 +73,7 @@ FROM ind WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 62 PRECEDING)""",
     "ind",
 )
 def w6(spark, sf):
-    return W.volatility(B.adjusted(spark, sf), _w).select("symbol", "date", "volatility")
+    return W.volatility(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "volatility")
 
 
 @query(
@@ -88,7 +86,7 @@ FROM (SELECT *, CASE WHEN prev IS NOT NULL THEN greatest(high - low, abs(high -
     "ind",
 )
 def w7(spark, sf):
-    return W.atr(B.adjusted(spark, sf), _w).select("symbol", "date", "atr")
+    return W.atr(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "atr")
 
 
 @query(
@@ -113,7 +111,7 @@ def w8(spark, sf):
     "ind",
 )
 def w9(spark, sf):
-    return W.perf(B.adjusted(spark, sf), _w).select("symbol", "date", *[f"perf_{k}" for k in W.PERF_ROWS])
+    return W.perf(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", *[f"perf_{k}" for k in W.PERF_ROWS])
 
 
 @query(
