@@ -71,17 +71,22 @@ def resolve_tickers(lines: DataFrame, master: DataFrame, ticker: str, name: str,
     sizes = blocks.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_sym").alias("_one"))
 
     d = d.join(exact, F.col("_t") == F.col("_exact"), "left").join(sizes, "_k", "left")
-    unclear = d.filter(F.col("_exact").isNull() & (F.col("_n") > 1)).select(ticker, name, "_k")
-    scored = unclear.join(blocks, "_k").withColumn("_score", token_set_ratio(F.trim(F.coalesce(F.col(name), F.lit(""))), F.trim(F.coalesce("_cand", F.lit("")))))
-    w = Window.partitionBy(ticker, name).orderBy(F.col("_score").desc(), "_sym")
+    # A score depends on the two names alone, so copies collapse before names meet: one row per distinct line
+    # name and one per distinct candidate name of a block, with the number of symbols that carry it.
+    unclear = d.filter(F.col("_exact").isNull() & (F.col("_n") > 1)).select("_k", F.trim(F.coalesce(F.col(name), F.lit(""))).alias("_line"))
+    cands = blocks.groupBy("_k", F.trim(F.coalesce("_cand", F.lit(""))).alias("_cand")).agg(F.min("_sym").alias("_sym"), F.count(F.lit(1)).alias("_c"))
+    scored = unclear.distinct().join(cands, "_k").withColumn("_score", token_set_ratio("_line", "_cand"))
+    w = Window.partitionBy("_k", "_line").orderBy(F.col("_score").desc(), "_sym")
     ranked = scored.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
-    best = ranked.groupBy(ticker, name).agg(
-        F.max(F.when(F.col("_rn") == 1, F.col("_sym"))).alias("_best"),
-        F.max(F.when(F.col("_rn") == 1, F.col("_score"))).alias("_top"),
-        F.max(F.when(F.col("_rn") == 2, F.col("_score"))).alias("_second"),
+    first = F.col("_rn") == 1
+    best = ranked.groupBy("_k", "_line").agg(
+        F.max(F.when(first, F.col("_sym"))).alias("_best"),
+        F.max(F.when(first, F.col("_score"))).alias("_top"),
+        # Two symbols with the best name tie with each other.
+        F.max(F.when(~first | (F.col("_c") > 1), F.col("_score"))).alias("_second"),
     )
-    b = best.withColumnsRenamed({ticker: "_bt", name: "_bn"})
-    j = d.join(b, F.col(ticker).eqNullSafe(F.col("_bt")) & F.col(name).eqNullSafe(F.col("_bn")), "left")
+    lined = d.withColumn("_line", F.trim(F.coalesce(F.col(name), F.lit(""))))
+    j = lined.join(best, ["_k", "_line"], "left")
     sure = (F.col("_top") >= accept) & (F.col("_top") - F.col("_second") >= lead)
     kind = (
         F.when(F.coalesce(F.col("_t"), F.lit("")) == "", F.lit("REJECT"))

@@ -29,10 +29,13 @@ def build_session(app: str = "quarterdeck", master: str | None = None, shuffle_p
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach: `spark.checkpoint.dir`.
 
-    A local folder is made only where the setting is absent, which is the single-machine test case.
+    A local folder is made only where the setting is absent and the master is local, which is the test case; a
+    cluster without the setting is an error, because executors do not share a machine's folders.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="spark-", dir="/tmp" if os.path.isdir("/tmp") else None)
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf
