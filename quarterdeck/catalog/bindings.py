@@ -226,8 +226,15 @@ def factor_inputs(spark: SparkSession, sf: str) -> FactorInputs:
 # ---- landed payloads ---------------------------------------------------------------------------------------
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a file too small to be split, spread over the cores; input with enough splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def landed(df: DataFrame, keep: list[str], **fields: Column) -> DataFrame:
     """One JSON payload (a list of one object) per input row, parsed back to payload rows."""
+    df = spread(df)
     body = F.to_json(F.array(F.struct(*[c.alias(n) for n, c in fields.items()])))
     return payload_rows(df.select(*keep, body.alias("body")), "body", keep)
 

@@ -140,7 +140,7 @@ def _items(spark, sf):
         )
     )
     # The nested document goes in as JSON, not as quoted text.
-    plain = li.select(
+    plain = B.spread(li).select(
         *_KEEP,
         F.concat(
             F.lit('[{"date":"'), _t("q"), F.lit('","period":'),

@@ -149,7 +149,7 @@ def flatten_line_items(rows: DataFrame, keep: list[str]) -> DataFrame:
 
     from_map = F.transform(as_map, lambda e: F.struct(F.trim(e["key"]).alias("name"), to_number(e["value"]).alias("value"), F.lit(True).alias("is_map")))
     from_list = F.transform(as_list, lambda it: F.struct(named(it).alias("name"), valued(it).alias("value"), F.lit(False).alias("is_map")))
-    ex = rows.select(*keep, F.posexplode(F.coalesce(from_map, from_list)).alias("i_pos", "i"))
+    ex = rows.select(*keep, F.posexplode_outer(F.coalesce(from_map, from_list)).alias("i_pos", "i"))
     out = ex.select(*keep, "i_pos", "i.name", "i.value", "i.is_map")
     return out.filter(F.col("name").isNotNull() & (F.col("name") != "") & F.col("value").isNotNull())
 

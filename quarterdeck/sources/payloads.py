@@ -26,7 +26,8 @@ def payload_array(body: Column | str) -> Column:
 
 def payload_rows(df: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
     """One row per payload object: kept columns, `pos` in the payload and the field map `r`."""
-    exploded = df.select(*(keep or []), F.posexplode(payload_array(body)).alias("pos", "r"))
+    # The outer form: for a plain explode Spark infers a size filter that would parse the body again.
+    exploded = df.select(*(keep or []), F.posexplode_outer(payload_array(body)).alias("pos", "r"))
     return exploded.filter(F.col("r").isNotNull())
 
 
@@ -60,7 +61,7 @@ def cik_map(df: DataFrame, body: str = "body", order: str | None = None) -> Data
     listed = F.transform(payload_array(b), lambda r: r)
     mapped = F.map_values(F.from_json(b, f"map<string,{_ROW}>"))
     rows = F.when(b.startswith("{"), F.coalesce(mapped, listed)).otherwise(listed)
-    ex = df.select(*([order] if order else []), F.posexplode(rows).alias("pos", "r"))
+    ex = df.select(*([order] if order else []), F.posexplode_outer(rows).alias("pos", "r"))
     cik = F.coalesce(field("cik_str"), field("cik"))
     picked = ex.select(
         norm_symbol(field("ticker")).alias("ticker"),

@@ -40,16 +40,17 @@ def explode_xbrl_facts(docs: DataFrame, body: str = "body", doc_pos: str | None
 
     `src_pos` keeps document order (namespace, unit, list position) and `doc_pos` the order of several
     documents of one company; later ties need both. The document explodes inside the task that parsed it,
-    before any shuffle, so one huge company spreads over the following exchanges.
+    before any shuffle, so one huge company spreads over the following exchanges. The explodes are outer ones,
+    since a plain explode infers a size filter that parses the document again; the last filter drops the NULLs.
     """
     order = F.col(doc_pos).cast("long") if doc_pos else F.lit(0).cast("long")
     d = docs.select(F.from_json(F.col(body), _DOCUMENT).alias("d"), order.alias("doc_pos"))
     cik = F.lpad(F.col("d.cik"), 10, "0")
-    ns = d.select(cik.alias("cik"), "doc_pos", F.explode("d.facts").alias("ns", "tags"))
+    ns = d.select(cik.alias("cik"), "doc_pos", F.explode_outer("d.facts").alias("ns", "tags"))
     ns = ns.filter(F.col("ns").isin(fixed.NAMESPACES))
-    tags = ns.select("cik", "doc_pos", "ns", F.explode("tags").alias("tag", "t"))
-    units = tags.select("cik", "doc_pos", "ns", "tag", F.posexplode(F.map_entries("t.units")).alias("u_pos", "u"))
-    facts = units.select("cik", "doc_pos", "ns", "tag", "u_pos", F.col("u.key").alias("unit"), F.posexplode("u.value").alias("pos", "f"))
+    tags = ns.select("cik", "doc_pos", "ns", F.explode_outer("tags").alias("tag", "t"))
+    units = tags.select("cik", "doc_pos", "ns", "tag", F.posexplode_outer(F.map_entries("t.units")).alias("u_pos", "u"))
+    facts = units.select("cik", "doc_pos", "ns", "tag", "u_pos", F.col("u.key").alias("unit"), F.posexplode_outer("u.value").alias("pos", "f"))
     ns_rank = F.when(F.col("ns") == fixed.NAMESPACES[0], 0).otherwise(1).cast("long")
     src = ns_rank * _SRC_NS + F.col("u_pos").cast("long") * _SRC_UNIT + F.col("pos")
     out = facts.select("cik", "ns", "tag", "unit", "doc_pos", src.alias("src_pos"), *_fact_columns())
@@ -63,9 +64,9 @@ def read_concept_records(docs: DataFrame, body: str = "body", tags: list[str] |
     units = d.select(
         F.lpad(F.col("d.cik"), 10, "0").alias("cik"),
         F.col("d.tag").alias("tag"),
-        F.posexplode(F.map_entries("d.units")).alias("u_pos", "u"),
+        F.posexplode_outer(F.map_entries("d.units")).alias("u_pos", "u"),
     ).filter(F.col("tag").isin(wanted) & unit_matches("u.key", ["USD"], ["shares"]))
-    facts = units.select("cik", "tag", F.posexplode("u.value").alias("src_pos", "f"))
+    facts = units.select("cik", "tag", F.posexplode_outer("u.value").alias("src_pos", "f"))
     rank = F.array_position(F.array(*[F.lit(t) for t in wanted]), F.col("tag")) - 1
     out = facts.select("cik", "tag", rank.cast("int").alias("tag_rank"), F.col("src_pos").cast("long").alias("src_pos"), *_fact_columns())
     return out.filter(F.col("val").isNotNull() & F.col("end").isNotNull())
