@@ -5,8 +5,9 @@ from compare import compare
 from conftest import SF
 
 import __spark_entry__ as entry
+from quarterdeck.catalog import load
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = load()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -19,6 +20,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_holds_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_inventory_is_covered():
     ids = {n.split("_", 1)[0] for n in QUERIES}
     counts = {"S": 11, "K": 14, "P": 26, "N": 20, "J": 17, "A": 25, "W": 16, "O": 5, "F": 8, "C": 6}
