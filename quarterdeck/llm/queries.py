@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, pii
+from quarterdeck.llm import bpe, pii, quality_rules, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
 TOKENIZERS = "/opt/tokenizers"
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_quality_rules", quality_rules.oracle_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 @query("op3_pii")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
