@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, pii, quality_rules, toxicity
+from quarterdeck.llm import bpe, pii, quality_rules, substring_dedup, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
@@ -29,3 +29,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")
