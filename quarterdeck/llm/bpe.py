@@ -28,7 +28,7 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 _NEVER = 1 << 40
 #: The pattern's classes depend on a library's Unicode version from here on.
 _LATER = regex.compile("[԰-\U0010ffff]")
-_CACHE_BYTES = 32 << 20
+_CACHE_BYTES = 160 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -50,14 +50,18 @@ class Vocabulary:
         self.bytes_of = {i: bytes(letters[c] for c in k) for k, i in vocab.items()}
         self.id_of = {b: i for i, b in self.bytes_of.items()}
         self.bytes_of |= {i: a.encode() for a, i in self.added.items()}
-        self.longest = max(map(len, self.id_of))
+        self.longest: dict[bytes, int] = {}
+        for b in self.id_of:
+            self.longest[b[:2]] = max(len(b), self.longest.get(b[:2], 1))
         size = max(self.bytes_of) + 1
         left, right, born = np.full(size, -1), np.full(size, -1), np.full(size, -1, np.int64)
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.product: list[int] = []
         for r, m in enumerate(spec["model"]["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             a, b, ab = vocab[a], vocab[b], vocab[a + b]
-            self.rank[a, b] = (r, ab)
+            self.rank[a, b] = r
+            self.product.append(ab)
             if born[ab] < 0:
                 left[ab], right[ab], born[ab] = a, b, r
         self.right_chain, self.right_end = self._chains(right, born)
@@ -66,7 +70,7 @@ class Vocabulary:
         keys = np.array([a * size + b for a, b in self.rank], np.int64)
         order = np.argsort(keys)
         self.size, self.pair_keys = size, keys[order]
-        self.pair_ranks = np.array([r for r, _ in self.rank.values()], np.int64)[order]
+        self.pair_ranks = np.fromiter(self.rank.values(), np.int64, len(self.rank))[order]
         self.valid_token: dict[int, bool] = {}
         self.valid_pair: dict[int, bool] = {}
         self.text_of = {i: str(i) for i in self.bytes_of}
@@ -86,32 +90,54 @@ class Vocabulary:
     def merged(self, word: bytes) -> list[int]:
         """Exact merging: lowest rank first, leftmost of equals."""
         ids = [self.id_of[word[i : i + 1]] for i in range(len(word))]
+        return self._merged_short(ids) if len(ids) <= 64 else self._merged_long(ids)
+
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        get = self.rank.get
+        ranks = [get(p, _NEVER) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (low := min(ranks)) < _NEVER:
+            i = ranks.index(low)
+            ids[i : i + 2] = [self.product[low]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), _NEVER)
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), _NEVER)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same in n log n steps, with a heap and linked neighbours."""
         before, after = list(range(-1, len(ids) - 1)), list(range(1, len(ids) + 1))
-        heap = [(self.rank[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]
+        heap = [(self.rank[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            low, i, pair = heapq.heappop(heap)
             j = after[i]
             if ids[i] != pair[0] or j >= len(ids) or ids[j] != pair[1]:
                 continue
-            ids[i], ids[j] = self.rank[pair][1], -1
+            ids[i], ids[j] = self.product[low], -1
             after[i] = after[j]
             if after[i] < len(ids):
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
                 if a >= 0 and b < len(ids) and (ids[a], ids[b]) in self.rank:
-                    heapq.heappush(heap, (self.rank[ids[a], ids[b]][0], a, (ids[a], ids[b])))
+                    heapq.heappush(heap, (self.rank[ids[a], ids[b]], a, (ids[a], ids[b])))
         return [i for i in ids if i >= 0]
 
     def proposed(self, word: bytes) -> list[int]:
         """Longest token at each place."""
-        out, at, get = [], 0, self.id_of.get
-        while at < len(word):
-            for n in range(min(self.longest, len(word) - at), 0, -1):
-                if (i := get(word[at : at + n])) is not None:
-                    out.append(i)
-                    at += n
-                    break
+        get = self.id_of.get
+        if (whole := get(word)) is not None:
+            return [whole]
+        out, at, longest, size = [], 0, self.longest.get, len(word)
+        while at < size:
+            end = at + longest(word[at : at + 2], 1)
+            if end > size:
+                end = size
+            while (i := get(word[at:end])) is None:
+                end -= 1
+            out.append(i)
+            at = end
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,15 +166,13 @@ class Vocabulary:
         proposals = [self.proposed(w) for w in words]
         for t in {t for p in proposals for t in p} - self.valid_token.keys():
             self.valid_token[t] = self.merged(self.bytes_of[t]) == [t]
-        pairs = {a * self.size + b for p in proposals for a, b in zip(p, p[1:], strict=False)} - self.valid_pair.keys()
-        if pairs:
-            keys = np.fromiter(pairs, np.int64, len(pairs))
+        pairs = [[a * self.size + b for a, b in zip(p, p[1:], strict=False)] for p in proposals]
+        if new := {k for ks in pairs for k in ks} - self.valid_pair.keys():
+            keys = np.fromiter(new, np.int64, len(new))
             self.valid_pair.update(zip(keys.tolist(), self.compatible(keys // self.size, keys % self.size).tolist(), strict=True))
-        out = []
-        for w, p in zip(words, proposals, strict=True):
-            good = all(self.valid_token[t] for t in p) and all(self.valid_pair[a * self.size + b] for a, b in zip(p, p[1:], strict=False))
-            out.append(p if good else self.merged(w))
-        if len(self.valid_pair) > 2_000_000:
+        token, pair = self.valid_token.__getitem__, self.valid_pair.__getitem__
+        out = [p if all(map(token, p)) and all(map(pair, ks)) else self.merged(w) for w, p, ks in zip(words, proposals, pairs, strict=True)]
+        if len(self.valid_pair) > 1_000_000:
             self.valid_pair.clear()
         return out
 
