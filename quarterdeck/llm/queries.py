@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, near_dedup, pii, quality_rules, substring_dedup, toxicity
+from quarterdeck.llm import bpe, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
@@ -31,6 +31,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")

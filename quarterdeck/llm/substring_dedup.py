@@ -1,11 +1,9 @@
 """Substring dedup: a count-min sketch finds the windows that may repeat, exact grouping decides them.
 
-Pass 1 hashes every window of `WINDOW` words and counts it in two rows of counters that saturate at two. Partition sketches are sparse: for every block of 65,536 counters a list of
-offsets. A shuffle by block adds them up, and what is left is one bit per counter: counted twice or more. The
-bits number about eight per window, 2**30 (128 MB) at most; beyond that more windows pass the filter and no
-window is lost. Pass 2 sends only windows whose bits are set in both rows as (hash, doc_id), finds the smallest
-doc_id of each, and returns to each document the hashes that start in a smaller one. A last pass over the texts
-removes what those windows cover.
+Pass 1 counts all windows of `WINDOW` words in partition sketches and merges them (sketch.py). Pass 2 sends only
+windows that the merged sketch estimates repeated as (hash, doc_id), finds the smallest doc_id of each, and
+returns to each document the hashes that start in a smaller one. A last pass over the texts removes what those
+windows cover.
 """
 
 from __future__ import annotations
@@ -19,95 +17,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.arrow_text import Words, column, pieces
+from quarterdeck.llm.sketch import Sketch
 from quarterdeck.session import materialise
 
 WINDOW = 13
-#: Counters per window that the sketch aims at, and the most it may have: the bound of what is broadcast.
-COUNTERS_PER_WINDOW = 8
-MOST_COUNTERS = 1 << 30
-_BLOCK = 16
-ROWS = 2
 _U = np.uint64
-_SALT = [_U(0x9FB21C651E98DF25), _U(0xD6E8FEB86659FD93)]
-
-
-def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
-    """Counter of each hash in one row of the sketch; rows lie one after the other."""
-    g = h * _SALT[row]
-    return ((g ^ (g >> _U(29))) * _SALT[1 - row] >> _U(64 - bits)) + (_U(row) << _U(bits))
-
-
-def _bits(windows: int) -> int:
-    """Log of the counters in a row."""
-    want = min(max(windows * COUNTERS_PER_WINDOW, 1 << (_BLOCK + 2)), MOST_COUNTERS)
-    return (want - 1).bit_length() - 1
-
-
-def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
-    """One bit per counter: counted twice or more. At most MOST_COUNTERS / 8 bytes."""
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in pieces(batches, limit=8 << 20):
-            held = [Words(texts[i : i + 256]).windows(WINDOW)[0] for i in range(0, len(texts), 256)]
-            h = np.concatenate(held) if held else np.zeros(0, _U)
-            for row in range(ROWS):
-                cells = np.sort(_cells(h, row, bits))
-                block = (cells >> _U(_BLOCK)).astype(np.int64)
-                starts = np.flatnonzero(np.diff(block, prepend=-1))
-                offsets = (cells & _U((1 << _BLOCK) - 1)).astype(np.uint16)
-                parts = [o.tobytes() for o in np.split(offsets, starts[1:])] if len(starts) else []
-                for i in range(0, len(parts), 4096):
-                    yield pa.RecordBatch.from_arrays([pa.array(block[starts[i : i + 4096]], pa.int32()), pa.array(parts[i : i + 4096], pa.binary())], ["block", "offsets"])
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = counts.setdefault(b, np.zeros(1 << _BLOCK, np.uint8))
-                offsets = np.frombuffer(raw, np.uint16)
-                once = np.bincount(offsets, minlength=1 << _BLOCK) if len(offsets) > 4096 else None
-                if once is None:
-                    np.add.at(c, offsets, 1)
-                    np.minimum(c, 2, out=c)
-                else:
-                    np.minimum(c + np.minimum(once, 2), 2, out=c, casting="unsafe")
-        for b, c in counts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(c > 1, bitorder="little").tobytes()], pa.binary())], ["block", "twice"])
-
-    parts = docs.select("text").mapInArrow(partial, "block int, offsets binary")
-    rows = parts.repartition("block").mapInArrow(merged, "block int, twice binary").toArrow()
-    out = np.zeros(ROWS << (bits - 3), np.uint8)
-    size = 1 << (_BLOCK - 3)
-    for b, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-        out[b * size : (b + 1) * size] = np.frombuffer(raw, np.uint8)
-    return out
-
-
-def _maybe_repeated(h: np.ndarray, twice: np.ndarray, bits: int) -> np.ndarray:
-    ok = np.ones(len(h), bool)
-    for row in range(ROWS):
-        c = _cells(h, row, bits).astype(np.int64)
-        ok &= (twice[c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1
-    return h[ok]
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """doc_id and `hashes` (little-endian 64-bit): the windows of the document that also start in a smaller doc_id."""
-    spark = docs.sparkSession
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in pieces(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([int(np.maximum(Words(texts).counts() - WINDOW + 1, 0).sum())], pa.int64())], ["n"])
-
-    windows = docs.select("text").mapInArrow(count, "n bigint").agg(F.sum("n")).first()[0] or 0
-    bits = _bits(windows)
-    twice = spark.sparkContext.broadcast(_sketch(docs, bits))
+    sketch = Sketch.of(docs, lambda texts: Words(texts).windows(WINDOW)[0])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
             h, owner = Words(texts).windows(WINDOW)
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-            kept = [np.unique(_maybe_repeated(h[a:b], twice.value, bits)) for a, b in zip(bounds, bounds[1:], strict=False)]
+            ok = sketch.twice(h)
+            kept = [np.unique(h[a:b][ok[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False)]
             ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), pa.array(np.repeat(ids, [len(k) for k in kept]).astype(np.int64))], ["h", "doc_id"])
 

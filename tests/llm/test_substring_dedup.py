@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from quarterdeck.llm import substring_dedup
+from quarterdeck.llm import sketch, substring_dedup
 
 
 def plain(rows):
@@ -43,7 +43,7 @@ def test_against_plain(spark):
 
 
 def test_saturated_sketch_loses_nothing(spark, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "_bits", lambda n: 16)
+    monkeypatch.setattr(sketch, "bits_for", lambda n: 17)
     rows = [(d, " ".join(f"w{(d * 50 + i) % 9000}" for i in range(300))) for d in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = substring_dedup.remove(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
