@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
+from quarterdeck.llm import bpe, decontamination, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
@@ -31,6 +31,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query("op5_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_line_dedup", line_dedup.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
