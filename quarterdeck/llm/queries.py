@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, decontamination, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
+from quarterdeck.llm import bpe, chat_format, decontamination, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
@@ -46,6 +46,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query("op8_chat_format", chat_format.ORACLE)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.createDataFrame([(-7, 0, "user", chat_format.PLANTED), (-7, 1, "assistant", chat_format.PLANTED)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted))
+
+
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
