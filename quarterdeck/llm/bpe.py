@@ -17,14 +17,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
 from quarterdeck.llm.arrow_text import column, pieces
 
 #: Fixed value: the published pattern of this vocabulary family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string"
 _NEVER = 1 << 40
 #: The pattern's classes depend on a library's Unicode version from here on.
 _LATER = regex.compile("[԰-\U0010ffff]")
@@ -228,32 +227,13 @@ def _coder(text: str) -> Coder:
     return _CODERS[key]
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of `keep` with `ids` (array of int) and `decoded` (string) of every whole text.
+def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Per row of `docs`: doc_id, n_tokens, ids, decoded, and the digests of the decimal ids joined by commas and of `decoded`.
 
     `tokenizer` is the path of the vocabulary file on the driver; its text (a few MB) is broadcast. Null and empty
     texts give no ids and an empty string. Repeated rows give repeated rows; other columns are not read.
     """
     spark = docs.sparkSession
-    with open(tokenizer, encoding="utf-8") as f:
-        shared = spark.sparkContext.broadcast(f.read())
-    narrow = docs.select(*keep, F.col(text).alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared.value)
-        for batch, texts in pieces(batches, "_text"):
-            ids = coder.encode([(t or b"").decode() for t in texts])
-            yield pa.RecordBatch.from_arrays(
-                [*(column(batch, k) for k in keep), pa.array(ids, pa.list_(pa.int32())), pa.array([coder.decode(i) for i in ids], pa.string())], [*keep, "ids", "decoded"]
-            )
-
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.select(*keep).schema.fields)
-    return narrow.mapInArrow(run, f"{types}, ids array<int>, decoded string")
-
-
-def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Per row of `docs`: doc_id, number of tokens, digest of the decimal ids joined by commas, digest of the decoded text."""
-    spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
@@ -262,14 +242,21 @@ def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
         names = coder.v.text_of.__getitem__
         for batch, texts in pieces(batches):
             ids = coder.encode([(t or b"").decode() for t in texts])
+            decoded = [coder.decode(i) for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [
                     column(batch, "doc_id").cast(pa.int64()),
                     pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array(decoded, pa.string()),
                     pa.array([hashlib.sha256(",".join(map(names, i)).encode()).hexdigest() for i in ids]),
-                    pa.array([hashlib.sha256(coder.decode(i).encode()).hexdigest() for i in ids]),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded]),
                 ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                ["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+
+
+def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+    return encode(docs, tokenizer).drop("ids", "decoded")

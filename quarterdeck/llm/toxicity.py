@@ -179,6 +179,18 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     return narrow.mapInArrow(run, f"{types}, score double, predicted int")
 
 
+def reject(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs` that the model does not predict as toxic; columns as they were."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*shared.value)
+        for batch, texts in pieces(batches):
+            yield batch.filter(pa.array(m.scores(texts) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """Per row of `docs`: doc_id, held_out, score, predicted. A null doc_id has held_out false."""
     out = score(docs.select("doc_id", "text"), fit(docs, labels, per_class))

@@ -42,6 +42,6 @@ def test_rows_nulls_repeats_and_clashing_columns(spark):
     ids, back = _library(texts)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert got == sorted(((r[0], len(i), sha(",".join(map(str, i))), sha(b)) for r, i, b in zip(rows, ids, back, strict=True)), key=str)
-    full = bpe.encode(docs.drop("ids"), FILE).collect()
-    assert sorted(r.decoded for r in full) == sorted(texts)
+    full = bpe.encode(docs, FILE).collect()
+    assert sorted(r.decoded for r in full) == sorted(texts) and sorted(r.ids for r in full) == sorted(ids)
     assert bpe.digests(docs.limit(0), FILE).collect() == []
