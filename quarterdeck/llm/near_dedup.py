@@ -5,10 +5,11 @@ bin is the bin's value, and an empty bin takes the value of the first filled bin
 Bands of bins are bucket keys. Documents with equal sets are one class from the start, so a large group of copies is
 one bucket entry.
 
-In each bucket a hub is paired with the members that are not yet known to be connected to it (a star, so the pairs
-grow with the members); pairs are confirmed on the full sets. After `STAR_ROUNDS` rounds with different hubs, the
-few members of a bucket that still lie in different components are compared with each other, so no candidate
-pair between components stays untested.
+In each bucket a hub is paired with the members that are not yet connected to it (a star, so the pairs of a round
+grow with the members and not with their square); pairs are confirmed on the full sets. Rounds with new hubs follow
+until `ROUNDS` are done and a round confirms nothing more, so buckets of up to ROUNDS + 1 members are compared in
+full. In a larger bucket of documents around the threshold a link can stay untested; `exhaustive=True` then compares
+all members that still lie in different components.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ SHINGLE = 5
 BIN_BITS = 7
 #: 21 bands of 6 bins: a pair of similarity 0.85 shares a bucket with probability 0.9999, one of 0.8 with 0.998.
 BANDS, ROWS = 21, 6
-STAR_ROUNDS = 2
+ROUNDS = 4
 _U = np.uint64
 _BINS = 1 << BIN_BITS
 _SCHEMA = "doc_id bigint, n_shingles bigint, cls binary, bands array<bigint>"
@@ -137,7 +138,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.withColumn("_both", both).where(F.col("_both") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("_both"))).select("cls_a", "cls_b", "a", "b")
 
 
-def link(docs: DataFrame, percent: int = 85) -> DataFrame:
+def link(docs: DataFrame, percent: int = 85, exhaustive: bool = False) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id, kept, n_links.
 
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the smallest
@@ -152,18 +153,23 @@ def link(docs: DataFrame, percent: int = 85) -> DataFrame:
     shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     members = materialise(entries.join(shared, "key"), "members")
     sets = materialise(_sets(docs, members.select("cls", "doc")), "sets")
-    tested = links = labels = None
-    for turn in range(STAR_ROUNDS + 1):
+    tested = used = links = labels = None
+    turn, last = 0, False
+    while True:
         now = members.withColumn("component", F.col("doc")) if labels is None else members.join(labels, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        if turn < STAR_ROUNDS:
-            order = F.struct((F.col("doc") if turn == 0 else F.xxhash64(F.col("doc"), F.lit(turn))).alias("place"), "cls", "doc", "n", "component")
-            hubs = now.groupBy("key").agg(F.min(order).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            pairs = now.join(hubs, "key").where("component <> hub.component").select("cls", "doc", "n", F.col("hub.cls").alias("cls2"), F.col("hub.doc").alias("doc2"), F.col("hub.n").alias("n2"))
-        else:
+        if last:
             open_keys = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
             left = now.join(open_keys, "key")
             right = left.select("key", F.col("cls").alias("cls2"), F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
             pairs = left.join(right, "key").where("doc < doc2 AND component <> component2").select("cls", "doc", "n", "cls2", "doc2", "n2")
+        else:
+            fresh = now if used is None else now.join(used, ["key", "doc"], "left_anti")
+            order = F.struct((F.col("doc") if turn == 0 else F.xxhash64(F.col("doc"), F.lit(turn))).alias("place"), "cls", "doc", "n", "component")
+            spread = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+            hubs = materialise(fresh.join(spread, "key").groupBy("key").agg(F.min(order).alias("hub")), "hubs")
+            seen = hubs.select("key", F.col("hub.doc").alias("doc"))
+            used = seen if used is None else used.unionAll(seen)
+            pairs = now.join(hubs, "key").where("component <> hub.component").select("cls", "doc", "n", F.col("hub.cls").alias("cls2"), F.col("hub.doc").alias("doc2"), F.col("hub.n").alias("n2"))
         pairs = pairs.where(F.least("n", "n2") * 100 >= percent * F.greatest("n", "n2"))
         first = F.col("doc") < F.col("doc2")
         side = lambda x: [F.when(first, F.col(x)).otherwise(F.col(f"{x}2")), F.when(first, F.col(f"{x}2")).otherwise(F.col(x))]
@@ -171,14 +177,22 @@ def link(docs: DataFrame, percent: int = 85) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested.select("cls_a", "cls_b"), ["cls_a", "cls_b"], "left_anti")
         pairs = materialise(pairs, "pairs")
+        turn += 1
         if pairs.isEmpty():
-            if turn == 0:
-                links = pairs
-            continue
-        good = materialise(_confirmed(pairs, sets, percent), "confirmed")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        links = good if links is None else links.unionAll(good)
-        labels = components(links.where("a < b"))
+            more = turn < ROUNDS and not hubs.isEmpty() and not last
+        else:
+            good = materialise(_confirmed(pairs, sets, percent), "confirmed")
+            tested = pairs if tested is None else tested.unionAll(pairs)
+            more = not good.isEmpty() and not last
+            if more or last:
+                links = good if links is None else links.unionAll(good)
+                labels = components(links.where("a < b"))
+            more = more or turn < ROUNDS
+        if last or not (more or exhaustive):
+            break
+        last = not more
+    if links is None:
+        links = pairs.limit(0)
     if labels is not None:
         classes = classes.join(labels, "doc", "left")
     else:

@@ -54,6 +54,20 @@ def test_components_equal_all_pairs(spark):
         assert sorted(map(tuple, got)) == plain(rows, percent)
 
 
+def test_exhaustive_comparison_of_a_large_group(spark):
+    rnd = random.Random(5)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for d in range(60):
+        w = list(base)
+        for i in rnd.sample(range(120), rnd.choice([0, 1, 2, 3])):
+            w[i] = f"x{rnd.randint(0, 3)}"
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.link(docs, 85, exhaustive=True).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == plain(rows, 85)
+
+
 def test_odd_rows(spark):
     same = "a b c d e f g"
     docs = spark.createDataFrame([(1, same), (1, same), (2, same), (None, same), (None, None)], "doc_id long, text string")
