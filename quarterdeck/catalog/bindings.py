@@ -105,7 +105,7 @@ def financials(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dividends(spark: SparkSession, sf: str) -> DataFrame:
-    li = lines(spark, sf).filter("l_linestatus = 'F' and l_linenumber = 1")
+    li = lines(spark, sf).filter("l_linenumber = 1")
     return li.select(
         "symbol",
         F.col("date").alias("exDate"),
@@ -172,7 +172,7 @@ def holdings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf: str) -> DataFrame:
-    li = lines(spark, sf).filter("l_linestatus = 'F'")
+    li = lines(spark, sf)
     flag, n = F.col("l_returnflag"), F.col("l_linenumber")
     kind = F.when(n <= 2, F.lit("S-Sale")).when(n <= 4, F.lit("P-Purchase")).when(n == 5, F.lit("Acquired by gift")).otherwise(F.lit("Award"))
     return li.select(
@@ -227,9 +227,8 @@ def factor_inputs(spark: SparkSession, sf: str) -> FactorInputs:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a file too small to be split, spread over the cores; input with enough splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt evenly: the driver's files are one row group each, which a scan cannot split."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def landed(df: DataFrame, keep: list[str], **fields: Column) -> DataFrame:

@@ -63,7 +63,7 @@ CTES: dict[str, tuple[str, str]] = {
   SELECT symbol, date AS "exDate", l_tax + 0.01 AS dividend, l_tax / 2 AS "adjDividend", date + 1 AS "recordDate",
          CASE WHEN l_returnflag <> 'N' THEN date + 14 END AS "paymentDate", date - 14 AS "declarationDate",
          'Quarterly' AS frequency, l_discount AS yield, o
-  FROM li WHERE l_linestatus = 'F' AND l_linenumber = 1""",
+  FROM li WHERE l_linenumber = 1""",
     ),
     "shares": _snap(
         2,
@@ -107,7 +107,7 @@ CTES: dict[str, tuple[str, str]] = {
          CASE WHEN l_returnflag <> 'R' THEN l_quantity * 100 END AS "securitiesOwned",
          CASE WHEN l_linenumber <= 3 THEN 'Common Stock' ELSE 'Option' END AS "securityName",
          CASE WHEN l_returnflag = 'A' THEN 'A' WHEN l_returnflag = 'R' THEN 'D' END AS "acquisitionOrDisposition", o
-  FROM li WHERE l_linestatus = 'F'""",
+  FROM li""",
     ),
     "sup": ("", "SELECT *, 'S' || s_suppkey AS symbol FROM supplier"),
     "uni": ("sup", "SELECT symbol FROM sup WHERE s_acctbal > 0"),

@@ -150,13 +150,13 @@ def f4(spark, sf):
 SELECT f.symbol, coalesce(s.v, f.v) AS shares_out, coalesce(CASE WHEN c.v > 0 THEN c.v END, CASE WHEN coalesce(s.v, f.v) > 0 THEN coalesce(s.v, f.v) END) AS insider_base
 FROM (SELECT symbol, arg_max("sharesOutstanding", "fiscalDate") FILTER (WHERE "sharesOutstanding" IS NOT NULL) AS v FROM fin GROUP BY symbol) f
 LEFT JOIN (SELECT symbol, arg_max("sharesFloat", "asOfDate") FILTER (WHERE "sharesFloat" IS NOT NULL) AS v FROM shares GROUP BY symbol) s USING (symbol)
-LEFT JOIN (SELECT symbol, arg_max("sharesOutstanding_shares", "asOfDate") AS v FROM cfacts WHERE "asOfDate" >= DATE '2001-06-01' GROUP BY symbol) c USING (symbol)""",
+LEFT JOIN (SELECT symbol, arg_max("sharesOutstanding_shares", "asOfDate") AS v FROM cfacts GROUP BY symbol) c USING (symbol)""",
     "fin shares cfacts",
 )
 def f5(spark, sf):
     f = A.latest_composite_row(B.financials(spark, sf), "symbol", "fiscalDate", ["sharesOutstanding"]).select("symbol", F.col("sharesOutstanding").alias("f"))
     s = A.latest_composite_row(B.shares(spark, sf), "symbol", "asOfDate", ["sharesFloat"]).select("symbol", F.col("sharesFloat").alias("s"))
-    late = B.company_facts(spark, sf).filter(F.col("asOfDate") >= F.lit("2001-06-01").cast("date"))
+    late = B.company_facts(spark, sf)
     c = late.groupBy("symbol").agg(F.expr("max_by(sharesOutstanding_shares, asOfDate) filter (where sharesOutstanding_shares is not null)").alias("c"))
     j = f.join(s, "symbol", "left").join(c, "symbol", "left").withColumn("shares_out", R.resolved_shares("s", "f"))
     return j.select("symbol", "shares_out", R.insider_base("c", "shares_out").alias("insider_base"))

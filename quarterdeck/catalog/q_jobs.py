@@ -8,7 +8,7 @@ from quarterdeck.catalog import bindings as B
 from quarterdeck.catalog.q_aggregates import DILUTION, EPS_YOY
 from quarterdeck.catalog.q_formulas import DIVIDEND_SUMS, GROWTH, INDICATORS, PLACES, WIDE, growth_sql
 from quarterdeck.catalog.q_joins import RESOLVED, facts, holdings_pairs
-from quarterdeck.catalog.q_payloads import insider_rows
+from quarterdeck.catalog.q_payloads import TRANSACTIONS_SQL, insider_rows
 from quarterdeck.catalog.registry import query
 from quarterdeck.functions import fixed
 from quarterdeck.operators import formulas as R
@@ -260,6 +260,20 @@ def c4_counts(spark, sf):
     return C.outcome_counts(report(spark, sf))
 
 
+@query("C4_extraction_run", f"SELECT ticker, name, reason, coalesce(cik, '') AS cik FROM ({_REPORT})", "sup")
+def c4_run(spark, sf):
+    """The job over landed documents, some of them cut off or missing; its report is read back."""
+    cik = F.substring("symbol", 2, 9).cast("long")
+    docs = B.documents(spark, sf).withColumn("key", F.concat(F.lit("CIK"), F.lpad(cik.cast("string"), 10, "0"), F.lit(".json")))
+    docs = docs.filter(cik % 10 < 9).select("key", F.when(cik % 10 == 8, F.substring("body", 1, 60)).otherwise(F.col("body")).alias("body"))
+    # Companies that file nothing in these data count as landed empty documents.
+    silent = listing(spark, sf).filter(F.col("cik") % 10 < 8).select(F.concat(F.lit("CIK"), "cik").alias("key"), F.format_string('{"cik": %d, "facts": {}}', F.col("cik").cast("long")).alias("body"))
+    out = scratch_path(spark, "extraction")
+    C.run(spark, universe_lines(spark, sf), listing(spark, sf), docs.unionByName(silent), out, report_only=True)
+    back = spark.read.csv(f"{out}/universe_extraction_report", header=True)
+    return back.select("ticker", "name", "reason", F.coalesce("cik", F.lit("")).alias("cik"))
+
+
 @query(
     "C4_universe_extract_job",
     f"""
@@ -294,7 +308,7 @@ def c5_backfill(spark, sf):
     splits = p.select("symbol", "date", F.lit(1.0).alias("factor")).filter("date < date '1990-01-01'")
     rows = I.backfill_prices(chunks, feed, div, splits, "1990-01-01", "2010-01-01")
     folder = scratch_path(spark, "backfill")
-    I.publish(spark, folder, "prices_eod", rows)
+    I.publish(spark, folder, "prices_eod", rows, [])
     return _table(spark, folder, "prices_eod").select("symbol", "date", "adjClose", F.col("month").cast("string").alias("month"))
 
 
@@ -310,11 +324,11 @@ def c5_daily(spark, sf):
     p = B.stored_prices(spark, sf)
     folder = scratch_path(spark, "daily")
     stored = p.filter("date < date '2000-06-01'")
-    I.publish(spark, folder, "prices_eod", stored)
+    I.publish(spark, folder, "prices_eod", stored, [])
     new = p.withColumn("close", F.col("close") * 2)
     # 2001-07-02 is a Monday, so the target is the Friday before.
     today = F.lit("2001-07-02").cast("date")
-    I.publish(spark, folder, "prices_eod", I.daily_prices(new, _table(spark, folder, "prices_eod").drop("month"), today, "1995-01-01"))
+    I.publish(spark, folder, "prices_eod", I.daily_prices(new, _table(spark, folder, "prices_eod").drop("month"), today, "1995-01-01"), [])
     return _table(spark, folder, "prices_eod").select("symbol", "date", "close", "adjClose")
 
 
@@ -339,15 +353,12 @@ def c5_weekly(spark, sf):
     at = [*B.ORDER, "pos"]
     rows = B.landed(li, ["symbol", *B.ORDER], date=F.col("date").cast("string"), epsAvg=F.col("l_quantity"), targetConsensus=F.col("l_extendedprice"))
     u = B.universe(spark, sf)
-    parts = {
-        "estimates_snapshot": (N.estimates_annual(rows, u, _as_of(), at), "epsThisY"),
-        "estimates_quarterly_snapshot": (N.estimates_quarter(rows, u, _as_of(), at), "epsNextQ"),
-        "targets_snapshot": (N.target_snapshot(rows, u, _as_of(), at), "targetPrice"),
-    }
+    made = I.weekly(rows, rows, rows, u, _as_of(), at)
+    values = {"estimates_snapshot": "epsThisY", "estimates_quarterly_snapshot": "epsNextQ", "targets_snapshot": "targetPrice"}
     folder = scratch_path(spark, "weekly")
     out = None
-    for name, (df, value) in parts.items():
-        I.publish(spark, folder, name, df)
+    for name, value in values.items():
+        I.publish(spark, folder, name, made[name], [])
         t = _table(spark, folder, name).select(F.lit(name).alias("table_name"), "symbol", F.col(value).alias("v"))
         out = t if out is None else out.union(t)
     return out
@@ -358,17 +369,18 @@ def c5_weekly(spark, sf):
     f"""
 SELECT 'company_facts_snapshot' AS table_name, count(*) AS n_rows, round(sum(s_acctbal) * 2, 2) AS total FROM sup WHERE s_acctbal > 0
 UNION ALL SELECT 'index_membership', count(*), sum(CASE WHEN symbol IN (SELECT symbol FROM divs WHERE dividend > 0.08) THEN 1.0 ELSE 0 END) FROM uni
-UNION ALL SELECT 'insider_holdings_snapshot', count(*), sum(l_quantity * 10) FROM (SELECT l_quantity, row_number() OVER (PARTITION BY symbol, l_partkey, l_linenumber <= 3 ORDER BY date DESC, l_quantity) AS k
-   FROM li WHERE l_linestatus = 'F' AND l_returnflag = 'A' AND l_linenumber <= 3) WHERE k = 1""",
+UNION ALL SELECT 'insider_holdings_snapshot', count(*), sum(owned) FROM (SELECT owned, row_number() OVER (PARTITION BY symbol, person, sec ORDER BY date DESC, o) AS k
+   FROM ({TRANSACTIONS_SQL}) WHERE owned IS NOT NULL AND sec LIKE '%common stock%') WHERE k = 1""",
     "sup uni divs li",
     places={"total": 2},
 )
 def c5_monthly(spark, sf):
     s = B.suppliers(spark, sf)
     feed = B.landed(s, ["s_suppkey"], symbol=F.col("symbol"), outstandingShares=F.col("s_acctbal"), floatShares=F.col("s_acctbal"))
-    insider = insider_rows(spark, sf).filter("l_returnflag = 'A' and l_linenumber <= 3")
-    out = I.monthly(feed, feed, insider, B.dividends(spark, sf).filter("dividend > 0.08"), B.universe(spark, sf), _as_of())
-    out["insider_holdings_snapshot"] = N.insider_holdings_snapshot(N.insider_transactions(insider), _as_of(), order=["securitiesOwned"])
+    feed = feed.withColumn("at", F.struct("s_suppkey", "pos"))
+    insider = insider_rows(spark, sf)
+    insider = insider.withColumn("at", F.struct(*B.ORDER, "pos"))
+    out = I.monthly(feed, feed, insider, B.dividends(spark, sf).filter("dividend > 0.08"), B.universe(spark, sf), _as_of(), order=["at"])
     folder = scratch_path(spark, "monthly")
     values = {
         "company_facts_snapshot": F.col("sharesOutstanding_profile") + F.col("sharesOutstanding_shares"),
@@ -377,7 +389,7 @@ def c5_monthly(spark, sf):
     }
     parts = []
     for name, v in values.items():
-        I.publish(spark, folder, name, out[name], keep_on_empty=True)
+        I.publish(spark, folder, name, out[name], [], keep_on_empty=True)
         parts.append(_table(spark, folder, name).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(v).alias("total")).select(F.lit(name).alias("table_name"), "n_rows", "total"))
     return parts[0].union(parts[1]).union(parts[2])
 
@@ -385,14 +397,14 @@ def c5_monthly(spark, sf):
 @query(
     "C5_ingest_trigger",
     """
-SELECT 'earnings' AS what, symbol, count(*) AS n FROM li WHERE symbol IN (SELECT symbol FROM uni) AND date > DATE '2001-10-01' AND NOT (l_returnflag = 'A' AND date IN (SELECT q.date FROM li q WHERE q.symbol = li.symbol AND q.l_returnflag = 'N')) GROUP BY symbol
-UNION ALL SELECT 'dividends', symbol, count(*) FROM li WHERE symbol IN (SELECT symbol FROM uni) AND date > DATE '2001-10-01' GROUP BY symbol
-UNION ALL SELECT DISTINCT 'refresh', symbol, 1 FROM li WHERE symbol IN (SELECT symbol FROM uni) AND date > DATE '2001-10-01'""",
+SELECT 'earnings' AS what, symbol, count(*) AS n FROM li WHERE symbol IN (SELECT symbol FROM uni) AND NOT (l_returnflag = 'A' AND date IN (SELECT q.date FROM li q WHERE q.symbol = li.symbol AND q.l_returnflag = 'N')) GROUP BY symbol
+UNION ALL SELECT 'dividends', symbol, count(*) FROM li WHERE symbol IN (SELECT symbol FROM uni) GROUP BY symbol
+UNION ALL SELECT DISTINCT 'refresh', symbol, 1 FROM li WHERE symbol IN (SELECT symbol FROM uni)""",
     "li uni",
 )
 def c5_trigger(spark, sf):
     li = B.lines(spark, sf)
-    late = li.filter("date > date '2001-10-01'")
+    late = li
     stamp = F.when(F.col("l_returnflag") == "A", F.lit("2001-01-01 00:00")).otherwise(F.lit("2001-12-31 00:00"))
     cal = B.landed(late, B.ORDER, symbol=F.col("symbol"), date=F.col("date").cast("string"), eps=F.col("l_tax"), lastUpdated=stamp)
     stored = li.filter("l_returnflag = 'N'").select("symbol", F.col("date").alias("earningsDate"), F.lit("2001-06-01 00:00").alias("lastUpdated")).distinct()

@@ -118,7 +118,7 @@ def n3(spark, sf):
 
 def _items(spark, sf):
     """As-reported rows: a map of items for flag A, a list of item objects otherwise."""
-    li = _lines(spark, sf, "l_linenumber <= 4").withColumn("q", B.quarter_end())
+    li = _lines(spark, sf).withColumn("q", B.quarter_end())
     px, qty = F.col("l_extendedprice"), F.col("l_quantity")
     n = F.col("l_linenumber")
     as_map = F.to_json(
@@ -161,8 +161,7 @@ ITEMS = """
   UNION ALL SELECT 0, 'Dividends paid', -l_quantity, false WHERE l_returnflag <> 'A'
   UNION ALL SELECT 1, 'Payments of dividends', l_quantity * l_linenumber, false WHERE l_returnflag <> 'A'
   UNION ALL SELECT 2, 'Total shares outstanding', l_quantity, false WHERE l_returnflag <> 'A'
-  UNION ALL SELECT 3, 'Cash from operations, other', -l_extendedprice, false WHERE l_returnflag <> 'A') i
- WHERE l_linenumber <= 4)"""
+  UNION ALL SELECT 3, 'Cash from operations, other', -l_extendedprice, false WHERE l_returnflag <> 'A') i)"""
 
 
 @query("N4_flatten_line_items", f"SELECT symbol, l_orderkey, name, round(v, 6) AS value, m AS is_map FROM {ITEMS}", "li")
@@ -356,18 +355,20 @@ FULL JOIN (SELECT symbol, s_acctbal * 2 AS ss, s_acctbal / 2 AS fl FROM sup WHER
     "sup",
 )
 def n16(spark, sf):
-    s, k = B.suppliers(spark, sf), F.col("s_nationkey")
+    # Every symbol comes twice in either feed; the later payload counts.
+    s, k = B.suppliers(spark, sf).withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1)))), F.col("s_nationkey")
+    s = s.withColumn("s_acctbal", F.when(F.col("turn") == 1, F.col("s_acctbal")).otherwise(1.0))
     profile = B.landed(
-        s.filter("s_nationkey < 18"), ["s_suppkey"], symbol=F.lower("symbol"), sector=F.concat(F.lit(" N"), k), employees=F.when(k > 5, F.col("s_suppkey")),
+        s.filter("s_nationkey < 18"), ["s_suppkey", "turn"], symbol=F.lower("symbol"), sector=F.concat(F.lit(" N"), k), employees=F.when(k > 5, F.col("s_suppkey")),
         ipoDate=F.concat(F.lit("1990-01-0"), 1 + k % 9), outstandingShares=_t("s_acctbal"),
     )
-    shares = B.landed(s.filter("s_nationkey > 8"), ["s_suppkey"], ticker=F.col("symbol"), sharesOutstanding=F.col("s_acctbal") * 2, float=F.col("s_acctbal") / 2)
-    return N.company_facts_merge(profile, shares, B.universe(spark, sf), as_of())
+    shares = B.landed(s.filter("s_nationkey > 8"), ["s_suppkey", "turn"], ticker=F.col("symbol"), sharesOutstanding=F.col("s_acctbal") * 2, float=F.col("s_acctbal") / 2)
+    return N.company_facts_merge(profile, shares, B.universe(spark, sf), as_of(), ["turn", "pos"])
 
 
 def insider_rows(spark, sf):
     return B.landed(
-        _lines(spark, sf, "l_linestatus = 'F'"), _KEEP,
+        _lines(spark, sf), _KEEP,
         transactionDate=F.when(F.col("l_linenumber") != 6, _day()),
         shares=_t("l_quantity"), price=F.when(~_is("R"), F.col("l_extendedprice")), value=F.when(_is("A"), F.lit(1)),
         cik=F.when(_is("A"), _t("l_partkey")), reportingName=F.concat(F.lit("Person "), F.floor(F.col("l_partkey") / 100)),
@@ -381,7 +382,7 @@ TRANSACTIONS_SQL = """
 SELECT symbol, date, CASE WHEN l_returnflag = 'A' THEN CAST(l_partkey AS VARCHAR) ELSE 'H_' || left(sha1(nm || '|' || coalesce(lk, '')), 16) END AS person, nm, l_quantity AS qty,
   CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS price, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN l_extendedprice * l_quantity END AS value,
   CASE WHEN l_returnflag <> 'N' THEN l_quantity * 10 END AS owned, CASE WHEN l_linenumber <= 3 THEN 'Class A common stock' ELSE 'Option' END AS sec, l_returnflag AS ad, lk, o
-FROM (SELECT *, 'Person ' || CAST(floor(l_partkey / 100) AS BIGINT) AS nm, CASE WHEN l_returnflag = 'N' THEN 'http://x/y' END AS lk FROM li WHERE l_linestatus = 'F' AND l_linenumber <> 6)"""
+FROM (SELECT *, 'Person ' || CAST(floor(l_partkey / 100) AS BIGINT) AS nm, CASE WHEN l_returnflag = 'N' THEN 'http://x/y' END AS lk FROM li WHERE l_linenumber <> 6)"""
 
 
 @query(

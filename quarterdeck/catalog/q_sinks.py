@@ -55,6 +55,38 @@ def k1_partitioned(spark, sf):
     return spark.read.parquet(path).drop("year")
 
 
+@query("K1_upsert_null_partition", _UP, "od")
+def k1_null_partition(spark, sf):
+    """Partitions by a letter of the symbol, NULL for orders without one."""
+    first, second = _batches(spark, sf)
+    path = scratch_path(spark, "targets_by_letter")
+    by = {"letter": F.substring("symbol", 2, 1)}
+    K.upsert(spark, path, first, _TARGETS, pos=["o_orderkey"], partition_by=by)
+    K.upsert(spark, path, second, _TARGETS, pos=["o_orderkey"], partition_by=by)
+    return spark.read.parquet(path).drop("letter")
+
+
+@query("K1_upsert_recovery", _UP, "od")
+def k1_recovery(spark, sf):
+    """The second run stopped after staging and after removing the table; the third call finishes it."""
+    first, second = _batches(spark, sf)
+    path = scratch_path(spark, "targets_recovered")
+    K.upsert(spark, path, first, _TARGETS, pos=["o_orderkey"])
+    K.merge_last_wins(spark.read.parquet(path), second, _TARGETS.key, _TARGETS.schema, ["o_orderkey"]).write.parquet(K.staging(path))
+    K.remove_table(spark, path)
+    K.upsert(spark, path, second.limit(0), _TARGETS, pos=["o_orderkey"])
+    return spark.read.parquet(path)
+
+
+@query("K1_upsert_batch_order", _UP, "od")
+def k1_batch_order(spark, sf):
+    """Both batches as one: the order of the rows decides."""
+    first, second = (b.withColumn("turn", F.lit(i)) for i, b in enumerate(_batches(spark, sf)))
+    path = scratch_path(spark, "targets_ordered")
+    K.upsert(spark, path, second.unionByName(first), _TARGETS, pos=["turn", "o_orderkey"])
+    return spark.read.parquet(path)
+
+
 @query(
     "K2_upsert_keep_on_empty",
     'SELECT symbol, CAST("asOfDate" AS VARCHAR) AS "asOfDate", "sharesOutstanding", "sharesFloat" FROM shares',
@@ -62,8 +94,8 @@ def k1_partitioned(spark, sf):
 )
 def k2(spark, sf):
     s, path = B.shares(spark, sf), scratch_path(spark, "shares_snapshot")
-    K.upsert(spark, path, s, TABLES["shares_snapshot"], keep_on_empty=True)
-    K.upsert(spark, path, s.filter("sharesOutstanding < 0"), TABLES["shares_snapshot"], keep_on_empty=True)
+    K.upsert(spark, path, s, TABLES["shares_snapshot"], pos=[], keep_on_empty=True)
+    K.upsert(spark, path, s.filter("sharesOutstanding < 0"), TABLES["shares_snapshot"], pos=[], keep_on_empty=True)
     return spark.read.parquet(path)
 
 

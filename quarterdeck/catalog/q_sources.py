@@ -143,10 +143,10 @@ def s7(spark, sf):
     return rows.select("event_id", "pos", F.try_element_at("r", F.lit("k")).alias("k"))
 
 
-@query("S7_read_payload_files", "SELECT symbol, CAST(date AS VARCHAR) AS date, round(close, 6) AS close FROM px WHERE date >= DATE '2001-01-01'", "px")
+@query("S7_read_payload_files", "SELECT symbol, CAST(date AS VARCHAR) AS date, round(close, 6) AS close FROM px", "px")
 def s7_files(spark, sf):
     """The landed-folder reader: one line of JSON per payload object, stored as text and parsed back."""
-    px = B.adjusted(spark, sf).filter(F.col("date") >= F.lit("2001-01-01").cast("date"))
+    px = B.adjusted(spark, sf)
     path = scratch_path(spark, "landed")
     px.select(F.to_json(F.struct("symbol", "date", "close")).alias("value")).write.text(path)
     rows = payload_rows(spark.read.text(path), "value")

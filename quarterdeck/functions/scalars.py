@@ -19,10 +19,6 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def null() -> Column:
-    return F.lit(None)
-
-
 # ---- picking fields -------------------------------------------------------------------------------------
 
 
@@ -54,10 +50,6 @@ def to_number(c: Column | str) -> Column:
     return F.when(v.rlike(_NUMERIC), v.try_cast("double"))
 
 
-def no_nan(c: Column | str) -> Column:
-    return F.nullif(col(c), F.lit(float("nan")))
-
-
 def norm_period(c: Column | str) -> Column:
     """Reporting period with every spelling of missing mapped to the empty string."""
     t = F.trim(col(c).cast("string"), F.lit(_SPACES))

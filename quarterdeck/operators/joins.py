@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarterdeck.functions.scalars import col, safe_div, txn_sign
+from quarterdeck.sinks.upsert import last_per_key
 
 
 def asof_backward(
@@ -147,14 +148,15 @@ def next_or_previous_event(probes: DataFrame, events: DataFrame, key: str, at: s
 
 
 def fill_from_side_table(
-    rows: DataFrame, side: DataFrame, key: str, on: list[str], value: str, threshold: float
+    rows: DataFrame, side: DataFrame, key: str, on: list[str], value: str, threshold: float, side_order: list[str]
 ) -> DataFrame:
     """Fill NULLs of `value` from a side table, for keys whose missing share reaches the threshold.
 
-    The gate is one row per key from a partial aggregate.
+    Of several side rows for one place the last in `side_order` counts. The gate is one row per key from a partial
+    aggregate.
     """
     gate = rows.groupBy(key).agg((F.avg(F.col(value).isNull().cast("int")) >= threshold).alias("_gate"))
-    fill = side.select(*on, F.col(value).alias("_fill"))
+    fill = last_per_key(side, on, side_order).select(*on, F.col(value).alias("_fill"))
     return (
         rows.join(gate, key, "left")
         .join(fill, on, "left")
@@ -201,10 +203,6 @@ def calendar_consistency(calendar: DataFrame, events: DataFrame, key: str, cal_d
     return c.join(e, key, "full").withColumn("status", status)
 
 
-def share_dilution(now: Column | str, ago: Column | str) -> Column:
-    return safe_div(now, ago) - 1.0
-
-
 def feature_assembly(base: DataFrame, features: list[DataFrame], key: str) -> DataFrame:
     """Left join of keyed feature sets to the base rows; every side is unique on the key."""
     out = base

@@ -53,9 +53,10 @@ def build_prices(rows: DataFrame) -> DataFrame:
     ).filter(F.col("date").isNotNull())
 
 
-def build_adjclose(rows: DataFrame, cutoff: str, to_date: str) -> DataFrame:
+def build_adjclose(rows: DataFrame, cutoff: str, to_date: str, order: list[str] | None = None) -> DataFrame:
+    """Adjusted closes of the feed, with the columns of `order` if they are asked for."""
     out = rows.select(
-        norm_symbol("symbol").alias("symbol"), day("date").alias("date"), num("adjClose", "adjustedClose", "adj_close").alias("adjClose")
+        norm_symbol("symbol").alias("symbol"), day("date").alias("date"), num("adjClose", "adjustedClose", "adj_close").alias("adjClose"), *(order or [])
     )
     return out.filter(F.col("date").between(F.lit(cutoff).cast("date"), F.lit(to_date).cast("date")) & F.col("adjClose").isNotNull())
 
@@ -312,8 +313,9 @@ def target_snapshot(rows: DataFrame, universe: DataFrame, as_of: Column, order:
     return conform(out, TABLES["targets_snapshot"].schema)
 
 
-def company_facts_merge(profile: DataFrame, shares: DataFrame, universe: DataFrame, as_of: Column) -> DataFrame:
-    """Profile facts full outer share facts; a value of the profile comes first."""
+def company_facts_merge(profile: DataFrame, shares: DataFrame, universe: DataFrame, as_of: Column, order: list[str] | None = None) -> DataFrame:
+    """Profile facts full outer share facts, each the last payload of its symbol in `order`; a value of the profile comes first."""
+    order = order or ["pos"]
     u = universe.select("symbol").distinct()
     p = profile.select(
         row_symbol().alias("symbol"),
@@ -322,19 +324,23 @@ def company_facts_merge(profile: DataFrame, shares: DataFrame, universe: DataFra
         num("fullTimeEmployees", "employees", "employeeCount").alias("employees"),
         day("ipoDate", "date").alias("ipoDate"),
         num("sharesOutstanding", "outstandingShares", "commonStockSharesOutstanding").alias("sharesOutstanding_profile"),
+        *order,
     ).join(u, "symbol", "left_semi")
     s = shares.select(
         row_symbol().alias("symbol"),
         num("outstandingShares", "sharesOutstanding", "commonStockSharesOutstanding").alias("sharesOutstanding_shares"),
         num("floatShares", "sharesFloat", "float").alias("sharesFloat"),
+        *order,
     ).join(u, "symbol", "left_semi")
+    p, s = (last_per_key(d, ["symbol"], order).drop(*order) for d in (p, s))
     return conform(p.join(s, "symbol", "full").withColumn("asOfDate", as_of), TABLES["company_facts_snapshot"].schema)
 
 
 # ---- insiders, membership ---------------------------------------------------------------------------------------
 
 
-def insider_transactions(rows: DataFrame) -> DataFrame:
+def insider_transactions(rows: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Insider trades of the feed; the columns of `order` stay, so that the last of a key can be told."""
     qty, price = num("securitiesTransacted", "shares", "quantity"), num("price")
     name, link = words("reportingName"), words("link", "url", "filingUrl")
     out = rows.select(
@@ -351,6 +357,7 @@ def insider_transactions(rows: DataFrame) -> DataFrame:
         words("formType", "form").alias("formType"),
         words("acquisitionOrDisposition").alias("acquisitionOrDisposition"),
         link.alias("link"),
+        *(order or []),
     )
     return out.filter(F.col("transactionDate").isNotNull())
 

@@ -351,7 +351,3 @@ def latest_price_indicators(df: DataFrame, key: str = "symbol", date: str = "dat
         (safe_div("Price", "_ytd") - 1.0).alias("Perf YTD"),
     )
     return out.drop("_n", "_ytd", *_SMOOTHED, *[f"_lag_{i}" for i in range(len(lags))])
-
-
-def chain(df: DataFrame, *steps) -> DataFrame:
-    return reduce(lambda d, s: s(d), steps, df)

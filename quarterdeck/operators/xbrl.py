@@ -78,12 +78,6 @@ def select_fact_for_slot(facts: DataFrame, slots: DataFrame, config: DataFrame)
     )
 
 
-def with_all_slots(selected: DataFrame, slots: DataFrame, metrics: list[str]) -> DataFrame:
-    """Slots x metrics with NULL where no fact was found."""
-    grid = slots.select("cik", "slot", F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric"))
-    return grid.join(selected, ["cik", "slot", "metric"], "left")
-
-
 def _interest_candidates(facts: DataFrame, slots: DataFrame) -> DataFrame:
     """Candidates of steps 1 to 6: own filing, same end, end within three days; P&L tags before cash-flow tags."""
     pnl, cash = fixed.INTEREST_PNL_TAGS, fixed.INTEREST_CASH_TAGS

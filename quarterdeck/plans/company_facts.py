@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import fixed
-from quarterdeck.functions.scalars import exclude_non_company, ticker_variants, zero_repair
+from quarterdeck.functions.scalars import exclude_non_company, pad_cik, ticker_variants, zero_repair
 from quarterdeck.operators import aggregates as A
 from quarterdeck.operators import xbrl as X
 from quarterdeck.operators.formulas import balance_check, derived_metrics
@@ -23,6 +23,12 @@ def metric_columns() -> list[str]:
     return [*fixed.METRICS, *[f"{m}_Quarter" for m in fixed.METRICS]]
 
 
+def used_tags() -> list[str]:
+    """Tags that slots, metrics and the interest cascade read; the other facts of a document are never stored."""
+    metrics = {t for groups in fixed.METRIC_TAGS.values() for g in groups for t in g}
+    return sorted(metrics | {*fixed.ANCHOR_TAGS, *fixed.INTEREST_CONCEPT_TAGS})
+
+
 def quarters(spark: SparkSession, facts: DataFrame, n_out: int = fixed.SLOTS_OUT) -> DataFrame:
     """Quarterly metrics of every company in `facts`: one row per (company, report period)."""
     slots = A.build_slots(facts, n_out + fixed.SLOTS_BACKFILL)
@@ -34,7 +40,7 @@ def quarters(spark: SparkSession, facts: DataFrame, n_out: int = fixed.SLOTS_OUT
 
 def quarters_of_documents(spark: SparkSession, docs: DataFrame, body: str = "body", doc_pos: str | None = None, n_out: int = fixed.SLOTS_OUT) -> DataFrame:
     """As `quarters`, from JSON documents. The parsed facts are written once, since slots and selection both read them."""
-    return quarters(spark, materialise(explode_xbrl_facts(docs, body, doc_pos), "facts"), n_out)
+    return quarters(spark, materialise(explode_xbrl_facts(docs, body, doc_pos, used_tags()), "facts"), n_out)
 
 
 def interest_quarters(facts: DataFrame, concepts: DataFrame | None = None, n: int = fixed.SLOTS_OUT + fixed.SLOTS_BACKFILL) -> DataFrame:
@@ -55,13 +61,15 @@ def extraction_report(resolved: DataFrame, known: DataFrame, broken: DataFrame |
     The first line of a company is `ok`, the later ones are duplicates; a failed company is never stored, so
     each of its lines reports the failure.
     """
-    r = resolved.join(known.select("cik", F.lit(True).alias("_known")).distinct(), "cik", "left")
+    # Lines without a company id get a key of their own, so they don't meet in one task.
+    r = resolved.withColumnRenamed("cik", "_cik").withColumn("cik", F.coalesce("_cik", F.concat(F.lit("none-"), F.col("pos"))))
+    r = r.join(known.select("cik", F.lit(True).alias("_known")).distinct(), "cik", "left")
     if broken is not None:
         r = r.join(broken.select("cik", F.lit(True).alias("_broken")).distinct(), "cik", "left")
     else:
         r = r.withColumn("_broken", F.lit(None).cast("boolean"))
-    firsts = r.filter(F.col("excluded").isNull() & F.col("cik").isNotNull()).groupBy("cik").agg(F.min("pos").alias("_first"))
-    r = r.join(firsts, "cik", "left")
+    firsts = r.filter(F.col("excluded").isNull() & F.col("_cik").isNotNull()).groupBy("cik").agg(F.min("pos").alias("_first"))
+    r = r.join(firsts, "cik", "left").drop("cik").withColumnRenamed("_cik", "cik")
     again = {"skip": "duplicate_cik_skip", "copy": "duplicate_cik_copy", "allow": "duplicate_cik_allow_reuse"}[strategy]
     reason = (
         F.when(F.col("excluded").isNotNull(), F.col("excluded"))
@@ -86,11 +94,22 @@ def outcome_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def document_ids(docs: DataFrame) -> DataFrame:
+    """(cik, bad) of landed documents: whether the JSON is broken, and the company id.
+
+    The id is the one in the document; a broken document takes it from the landed key (column `key`, such as a file
+    name: its digits), since it cannot be read from the body.
+    """
+    key = F.regexp_extract(F.col("key"), r"(\d+)", 1) if "key" in docs.columns else F.lit(None).cast("string")
+    cik = F.coalesce(F.get_json_object("body", "$.cik"), F.nullif(key, F.lit("")))
+    return docs.select(pad_cik(cik).alias("cik"), F.try_parse_json("body").isNull().alias("bad")).filter(F.col("cik").isNotNull())
+
+
 def run(spark: SparkSession, universe: DataFrame, ciks: DataFrame, docs: DataFrame, out: str, strategy: str = "copy", n_out: int = fixed.SLOTS_OUT, report_only: bool = False) -> None:
-    """Universe lines, ticker map and landed documents to the report and the quarterly CSV."""
-    facts = materialise(explode_xbrl_facts(docs), "facts")
+    """Universe lines, ticker map and landed documents (body, and key for broken ones) to the report and the quarterly CSV."""
+    facts = materialise(explode_xbrl_facts(docs, tags=used_tags()), "facts")
     names = resolve_companies(universe, ciks)
-    ids = docs.select(F.lpad(F.get_json_object("body", "$.cik"), 10, "0").alias("cik"), F.try_parse_json("body").isNull().alias("bad"))
+    ids = materialise(document_ids(docs), "documents")
     report = materialise(
         extraction_report(names, ids.filter(~F.col("bad")), ids.filter("bad"), strategy), "report"
     )

@@ -14,7 +14,7 @@ from quarterdeck.operators import joins as J
 from quarterdeck.operators import series as W
 from quarterdeck.operators.fundamentals import fundamental_features
 from quarterdeck.schemas import FACTORS, TABLES, conform
-from quarterdeck.sinks.upsert import merge_last_wins, swap_in
+from quarterdeck.sinks.upsert import merge_last_wins, publish_staged, recover, staging
 from quarterdeck.sinks.writers import write_pair
 from quarterdeck.sources.tables import adjusted_close, first_present_column, path_exists, read_table, resolve_market_series
 
@@ -93,17 +93,26 @@ def _holding_features(probe: DataFrame, holdings: DataFrame) -> DataFrame:
     )
 
 
+def _one_row_a_day(prices: DataFrame) -> DataFrame:
+    """Prices with one row per symbol and day: the last in `seq`, and without that column the largest row.
+
+    The rows are dealt by symbol first, which the windows after it need anyway.
+    """
+    order = ["seq"] if "seq" in prices.columns else [c for c in prices.columns if c not in (_KEY, "date")]
+    return W.price_series(prices.repartition(_KEY), order)
+
+
 def factor_rows(inp: FactorInputs) -> DataFrame:
     """The factor table of this run.
 
-    Each input table is read once and shuffled once by symbol; after its aggregate it has one row per symbol,
+    Prices are first reduced to one row per symbol and day (the later in `seq`, if the table has it). Each input table is read once and shuffled once by symbol; after its aggregate it has one row per symbol,
     so the left joins of the assembly only carry small sides. The probe (newest price date per symbol) is a
     partial aggregate over two columns of the prices.
     """
-    px = adjusted_close(inp.prices)
+    px = adjusted_close(_one_row_a_day(inp.prices))
     probe = inp.prices.groupBy(_KEY).agg(F.max("date").alias("price_date"))
     indicators = W.latest_price_indicators(px).filter(F.col("Price").isNotNull())
-    beta = W.beta(px, resolve_market_series(inp.market)).withColumnRenamed("beta", "Beta")
+    beta = W.beta(px, resolve_market_series(_one_row_a_day(inp.market))).withColumnRenamed("beta", "Beta")
     fin = inp.financials.filter(F.col("fiscalDate").isNotNull())
 
     targets = A.latest_composite_row(inp.targets, _KEY, "asOfDate", ["targetPrice"]).select(_KEY, F.col("targetPrice").alias("Target Price"))
@@ -164,12 +173,13 @@ def accumulate(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, folder: str, out: str, index_symbol: str = "SP500") -> None:
     """Read the tables, compute the factors, merge them into the stored snapshots, write Parquet and CSV."""
+    recover(spark, f"{out}.parquet")
     new = factor_rows(read_inputs(spark, folder, index_symbol))
     history = read_table(spark, f"{out}.parquet", FACTORS, f"{out}.csv")
     merged = accumulate(history, new).orderBy(*FACTORS.key)
     if path_exists(spark, f"{out}.parquet"):
-        merged.write.mode("overwrite").parquet(f"{out}__staging")
-        swap_in(spark, f"{out}__staging", f"{out}.parquet")
+        merged.write.parquet(staging(f"{out}.parquet"))
+        publish_staged(spark, f"{out}.parquet")
         spark.read.parquet(f"{out}.parquet").write.mode("overwrite").option("header", True).csv(f"{out}.csv")
     else:
         write_pair(merged, out)

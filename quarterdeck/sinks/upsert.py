@@ -9,7 +9,6 @@ from pyspark.sql.window import Window
 
 from quarterdeck.functions.scalars import pick_date
 from quarterdeck.schemas import Table, conform, q
-from quarterdeck.session import scratch_path
 from quarterdeck.sources.tables import path_exists
 
 
@@ -72,18 +71,66 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a finished staging folder in the place of the table; the old version goes last."""
-    fs, dst = _fs(spark, target)
-    _, src = _fs(spark, staged)
-    old = spark._jvm.org.apache.hadoop.fs.Path(target + "__old")
-    fs.delete(old, True)
-    if fs.exists(dst):
-        fs.rename(dst, old)
+def staging(path: str, parts: bool = False) -> str:
+    """Folder beside the table for finished rows: of the whole table, or of some of its partitions."""
+    return path.rstrip("/") + ("__staging_parts" if parts else "__staging")
+
+
+def _remove(fs, p) -> None:
+    if fs.exists(p) and not fs.delete(p, True):
+        raise OSError(f"could not remove {p}")
+
+
+def _move(fs, src, dst) -> None:
     if not fs.rename(src, dst):
-        fs.rename(old, dst)
-        raise OSError(f"could not publish {target}")
-    fs.delete(old, True)
+        raise OSError(f"could not publish {dst}")
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    _remove(*_fs(spark, path))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or forget what an interrupted publish of `path` left behind.
+
+    A staging folder with its success marker holds complete merged rows: it is published again from where it
+    stopped. One without the marker is a failed write and goes. An older layout kept the previous version beside
+    the table during a swap; it is put back if the table is absent.
+    """
+    fs, dst = _fs(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    for parts in (False, True):
+        if fs.exists(new(staging(path, parts) + "/_SUCCESS")):
+            publish_staged(spark, path, parts)
+        else:
+            _remove(fs, new(staging(path, parts)))
+    old = new(path.rstrip("/") + "__old")
+    if fs.exists(old):
+        if fs.exists(dst):
+            _remove(fs, old)
+        else:
+            _move(fs, old, dst)
+
+
+def publish_staged(spark: SparkSession, path: str, parts: bool = False) -> None:
+    """Put the finished staging folder of `path` into its place.
+
+    Every step can be repeated: the table or partition leaves the staging folder by the same rename that publishes
+    it, so until then its rows are complete in one place, and the success marker of the partitions goes last.
+    """
+    fs, dst = _fs(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    staged = new(staging(path, parts))
+    if not parts:
+        _remove(fs, dst)
+        _move(fs, staged, dst)
+        return
+    for f in fs.listStatus(staged):
+        if f.isDirectory():
+            at = new(dst, f.getPath().getName())
+            _remove(fs, at)
+            _move(fs, f.getPath(), at)
+    _remove(fs, staged)
 
 
 def upsert(
@@ -92,48 +139,36 @@ def upsert(
     new: DataFrame,
     table: Table,
     *,
-    pos: list[str] | None = None,
+    pos: list[str],
     keep_on_empty: bool = False,
     partition_by: dict[str, Column] | None = None,
 ) -> None:
     """Merge `new` into the stored table by primary key and publish the result.
 
-    Without partitions the table is merged into a staging folder and swapped in. With `partition_by` (one name
-    and one expression over key columns, such as the month of the date) only the partitions that the batch
-    touches are read and rewritten, so a daily batch against a table of many years stays small.
+    `pos` orders the rows of the batch: of one key the last row is stored. Without partitions the whole table is
+    merged; with `partition_by` (one name and one expression over key columns, such as the month of the date) only
+    the partitions that the batch touches are read and rewritten, the one of NULL included, so a daily batch against
+    a table of many years stays small. The merged rows are staged and then moved; `recover` finishes an interrupted
+    move at the next call.
     """
+    recover(spark, path)
     if keep_on_empty and new.isEmpty():
         return
     exists = path_exists(spark, path)
-    if not exists:
-        stored = spark.createDataFrame([], table.schema)
-    else:
-        stored = spark.read.parquet(path)
+    stored = spark.read.parquet(path) if exists else spark.createDataFrame([], table.schema)
     if not partition_by:
-        merged = merge_last_wins(stored, new, table.key, table.schema, pos)
-        staged = path + "__staging"
-        merged.write.mode("overwrite").parquet(staged)
-        swap_in(spark, staged, path)
+        merge_last_wins(stored, new, table.key, table.schema, pos).write.parquet(staging(path))
+        publish_staged(spark, path)
         return
     (part, expr), = partition_by.items()
-    batch = new.withColumn(part, expr)
-    touched = batch.select(part).distinct()
     base = stored.drop(part) if part in stored.columns else stored
     if exists:
         # `part` is the folder name, so the semi join prunes the stored partitions at run time.
-        base = stored.join(touched, part, "left_semi").drop(part)
+        touched = new.select(expr.alias("_touched")).distinct()
+        base = stored.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi").drop(part)
     merged = merge_last_wins(base, new, table.key, table.schema, pos).withColumn(part, expr)
-    # The table is read and rewritten, so the merged rows are written aside first.
-    staged = scratch_path(spark, f"stage-{table.name}")
-    merged.write.parquet(staged)
-    (
-        spark.read.parquet(staged)
-        .repartition(part, *[F.col(q(k)) for k in table.key[:1]])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
+    merged.repartition(part, F.col(q(table.key[0]))).write.partitionBy(part).parquet(staging(path, exists))
+    publish_staged(spark, path, exists)
 
 
 # ---- incremental loads --------------------------------------------------------------------------------------

@@ -109,7 +109,3 @@ def universe_filter(
     if only:
         df = df.filter(F.col(key).isin([s.strip().upper() for s in only]))
     return df.join(universe.select(key).distinct(), key, "left_semi")
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import fixed
-from quarterdeck.functions.scalars import text, unit_matches
+from quarterdeck.functions.scalars import pad_cik, text, unit_matches
 
 _FACT = "struct<start:string,end:string,val:string,accn:string,fy:string,fp:string,form:string,filed:string,frame:string>"
 _UNITS = f"map<string,array<{_FACT}>>"
@@ -35,8 +35,8 @@ def _fact_columns() -> list[Column]:
     ]
 
 
-def explode_xbrl_facts(docs: DataFrame, body: str = "body", doc_pos: str | None = None) -> DataFrame:
-    """Long facts of company documents.
+def explode_xbrl_facts(docs: DataFrame, body: str = "body", doc_pos: str | None = None, tags: list[str] | None = None) -> DataFrame:
+    """Long facts of company documents; with `tags` those tags only, dropped before their units are exploded.
 
     `src_pos` keeps document order (namespace, unit, list position) and `doc_pos` the order of several
     documents of one company; later ties need both. The document explodes inside the task that parsed it,
@@ -45,11 +45,13 @@ def explode_xbrl_facts(docs: DataFrame, body: str = "body", doc_pos: str | None
     """
     order = F.col(doc_pos).cast("long") if doc_pos else F.lit(0).cast("long")
     d = docs.select(F.from_json(F.col(body), _DOCUMENT).alias("d"), order.alias("doc_pos"))
-    cik = F.lpad(F.col("d.cik"), 10, "0")
+    cik = pad_cik("d.cik")
     ns = d.select(cik.alias("cik"), "doc_pos", F.explode_outer("d.facts").alias("ns", "tags"))
     ns = ns.filter(F.col("ns").isin(fixed.NAMESPACES))
-    tags = ns.select("cik", "doc_pos", "ns", F.explode_outer("tags").alias("tag", "t"))
-    units = tags.select("cik", "doc_pos", "ns", "tag", F.posexplode_outer(F.map_entries("t.units")).alias("u_pos", "u"))
+    tagged = ns.select("cik", "doc_pos", "ns", F.explode_outer("tags").alias("tag", "t"))
+    if tags is not None:
+        tagged = tagged.filter(F.col("tag").isin(tags))
+    units = tagged.select("cik", "doc_pos", "ns", "tag", F.posexplode_outer(F.map_entries("t.units")).alias("u_pos", "u"))
     facts = units.select("cik", "doc_pos", "ns", "tag", "u_pos", F.col("u.key").alias("unit"), F.posexplode_outer("u.value").alias("pos", "f"))
     ns_rank = F.when(F.col("ns") == fixed.NAMESPACES[0], 0).otherwise(1).cast("long")
     src = ns_rank * _SRC_NS + F.col("u_pos").cast("long") * _SRC_UNIT + F.col("pos")
@@ -62,7 +64,7 @@ def read_concept_records(docs: DataFrame, body: str = "body", tags: list[str] |
     wanted = tags or fixed.INTEREST_CONCEPT_TAGS
     d = docs.select(F.from_json(F.col(body), _CONCEPT).alias("d"))
     units = d.select(
-        F.lpad(F.col("d.cik"), 10, "0").alias("cik"),
+        pad_cik("d.cik").alias("cik"),
         F.col("d.tag").alias("tag"),
         F.posexplode_outer(F.map_entries("d.units")).alias("u_pos", "u"),
     ).filter(F.col("tag").isin(wanted) & unit_matches("u.key", ["USD"], ["shares"]))

@@ -19,8 +19,8 @@ def stream_upsert(
     table: Table,
     path: str,
     checkpoint: str,
+    pos: list[str],
     shape: Callable[[DataFrame], DataFrame] = lambda d: d,
-    pos: list[str] | None = None,
     partition_by: dict[str, Column] | None = None,
     file_format: str = "parquet",
     files_per_batch: int = 1000,
@@ -32,7 +32,11 @@ def stream_upsert(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert(spark, path, last_per_key(shape(batch), table.key, pos or []), table, pos=pos, keep_on_empty=True, partition_by=partition_by)
+        rows = last_per_key(shape(batch), table.key, pos).persist()  # read by the emptiness test, the partitions and the merge
+        try:
+            upsert(spark, path, rows, table, pos=pos, keep_on_empty=True, partition_by=partition_by)
+        finally:
+            rows.unpersist()
 
     source = spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files_per_batch).load(landing)
     return (

@@ -65,12 +65,14 @@ def test_universe_job(spark, tmp_path):
 def test_company_facts_job(spark, tmp_path):
     docs = B.documents(spark, SF)
     ciks = B.suppliers(spark, SF).select(F.col("symbol").alias("ticker"), F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("cik"))
-    names = [(0, "S1", "One", "x"), (1, "S1", "One again", "x"), (2, "USD", "Dollars", "x"), (3, "NONE", "Nobody", "x")]
+    names = [(5, "S2", "Two", "x"), (6, "S3", "Three", "x"), (0, "S1", "One", "x"), (1, "S1", "One again", "x"), (2, "USD", "Dollars", "x"), (3, "NONE", "Nobody", "x")]
     lines = spark.createDataFrame(names, "pos int, ticker string, name string, sector string")
     out = str(tmp_path / "out")
+    broken = spark.createDataFrame([('{"cik": 2, "facts": {"us-', "CIK0000000002.json")], "body string, key string")
+    docs = docs.select("body", F.lit(None).cast("string").alias("key")).filter("get_json_object(body, '$.cik') NOT IN (2, 3)").unionByName(broken)
     company_facts.run(spark, lines, ciks, docs, out)
     report = {r.name: r.reason for r in spark.read.csv(f"{out}/universe_extraction_report", header=True).collect()}
-    assert report == {"One": "ok", "One again": "duplicate_cik_copy", "Dollars": "excluded_currency_ticker", "Nobody": "no_cik"}
+    assert report == {"One": "ok", "One again": "duplicate_cik_copy", "Dollars": "excluded_currency_ticker", "Nobody": "no_cik", "Two": "parse_error", "Three": "fetch_error"}
     rows = spark.read.csv(f"{out}/universe_metrics_quarterly", header=True)
     assert rows.columns == [*company_facts.BASE, *company_facts.metric_columns(), *company_facts.CHECKS]
     assert rows.groupBy("name").count().collect()[0]["count"] == fixed.SLOTS_OUT and rows.count() == 2 * fixed.SLOTS_OUT

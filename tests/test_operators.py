@@ -1,6 +1,7 @@
 """Literal cases: NULLs, ties, window edges, and second formulas."""
 
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,20 +208,64 @@ def test_upsert_is_idempotent_and_nulls_are_one_key(rows, spark, tmp_path):
     b = rows("symbol string, asOfDate date, targetPrice double", (None, "2024-01-01", 3.0), ("B", "2024-01-01", 4.0))
     path = str(tmp_path / "t")
     for batch in (a, b, b):
-        K.upsert(spark, path, batch, t)
+        K.upsert(spark, path, batch, t, pos=[])
     got = {(r.symbol, r.targetPrice) for r in spark.read.parquet(path).collect()}
     assert got == {("A", 1.0), (None, 3.0), ("B", 4.0)}
-    K.upsert(spark, str(tmp_path / "none"), a.limit(0), t, keep_on_empty=True)
+    K.upsert(spark, str(tmp_path / "none"), a.limit(0), t, pos=[], keep_on_empty=True)
     assert not (tmp_path / "none").exists()
 
 
+def test_upsert_keeps_null_partitions_and_the_last_row_of_a_batch(rows, spark, tmp_path):
+    t, path = TABLES["targets_snapshot"], str(tmp_path / "n")
+    by = {"month": F.date_format("asOfDate", "yyyy-MM")}
+    batch = lambda *r: rows("symbol string, asOfDate date, targetPrice double, at int", *r)
+    K.upsert(spark, path, batch(("A", None, 1.0, 0), ("B", "2020-01-01", 1.0, 0)), t, pos=["at"], partition_by=by)
+    K.upsert(spark, path, batch(("C", None, 3.0, 1), ("C", None, 2.0, 0)), t, pos=["at"], partition_by=by)
+    assert {(r.symbol, r.targetPrice) for r in spark.read.parquet(path).collect()} == {("A", 1.0), ("B", 1.0), ("C", 3.0)}
+
+
+@pytest.mark.parametrize("state", ["staged", "table removed", "half of the partitions moved", "old layout", "failed write"])
+def test_upsert_resumes_from_every_half_done_state(rows, spark, tmp_path, state):
+    t, path = TABLES["targets_snapshot"], tmp_path / "t"
+    by = {"month": F.date_format("asOfDate", "yyyy-MM")} if "partitions" in state else None
+    batch = lambda *r: rows("symbol string, asOfDate date, targetPrice double", *r)
+    K.upsert(spark, str(path), batch(("A", "2024-01-01", 1.0), ("B", "2024-02-01", 1.0)), t, pos=[], partition_by=by)
+    want = {("A", 2.0), ("B", 2.0)}
+    done = batch(("A", "2024-01-01", 2.0), ("B", "2024-02-01", 2.0))
+    if state in ("staged", "table removed"):
+        done.write.parquet(K.staging(str(path)))
+        if state == "table removed":
+            shutil.rmtree(path)
+    elif by:
+        done.withColumn("month", by["month"]).write.partitionBy("month").parquet(K.staging(str(path), True))
+        shutil.rmtree(path / "month=2024-01")
+        (tmp_path / "t__staging_parts" / "month=2024-01").rename(path / "month=2024-01")
+        shutil.rmtree(path / "month=2024-02")
+    elif state == "old layout":
+        path.rename(tmp_path / "t__old")
+        want = {("A", 1.0), ("B", 1.0)}
+    else:
+        (tmp_path / "t__staging").mkdir()
+        want = {("A", 1.0), ("B", 1.0)}
+    K.upsert(spark, str(path), batch(("C", "2024-01-01", 5.0)), t, pos=[], partition_by=by)
+    assert {(r.symbol, r.targetPrice) for r in spark.read.parquet(str(path)).collect()} == want | {("C", 5.0)}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_side_tables_with_repeated_rows_multiply_nothing(rows):
+    p = rows("symbol string, date date, adjClose double", ("A", "2024-01-01", None), ("A", "2024-01-02", None))
+    side = rows("symbol string, date date, adjClose double, at int", ("A", "2024-01-01", 1.0, 0), ("A", "2024-01-01", 2.0, 1))
+    got = J.fill_from_side_table(p, side, "symbol", ["symbol", "date"], "adjClose", 0.05, ["at"]).collect()
+    assert sorted((r.adjClose for r in got), key=str) == [2.0, None]
+
+
 def test_partitioned_upsert_leaves_other_partitions_alone(rows, spark, tmp_path):
     t = TABLES["targets_snapshot"]
     path = str(tmp_path / "p")
     by = {"month": F.date_format("asOfDate", "yyyy-MM")}
-    K.upsert(spark, path, rows("symbol string, asOfDate date, targetPrice double", ("A", "2024-01-01", 1.0), ("A", "2024-02-01", 2.0)), t, partition_by=by)
+    K.upsert(spark, path, rows("symbol string, asOfDate date, targetPrice double", ("A", "2024-01-01", 1.0), ("A", "2024-02-01", 2.0)), t, pos=[], partition_by=by)
     before = {f.name for f in (tmp_path / "p" / "month=2024-01").glob("*.parquet")}
-    K.upsert(spark, path, rows("symbol string, asOfDate date, targetPrice double", ("A", "2024-02-01", 5.0)), t, partition_by=by)
+    K.upsert(spark, path, rows("symbol string, asOfDate date, targetPrice double", ("A", "2024-02-01", 5.0)), t, pos=[], partition_by=by)
     assert {f.name for f in (tmp_path / "p" / "month=2024-01").glob("*.parquet")} == before
     assert sorted(one(spark.read.parquet(path), "targetPrice")) == [1.0, 5.0]
 
