@@ -16,17 +16,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterdeck.llm.flags import flagged, only_flagged
 from quarterdeck.session import materialise
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 #: Counters of word rarity: the bytes of the literal.
-COUNTERS = 1 << 18
+COUNTERS = 1 << 20
 #: Similarity 4 / 5; lines of fewer words than LEAST match equal sets only.
 LEAST = 4
 _NO_ID = -(1 << 63)
-_BITMAP = 1 << 15
-MOST_FLAGS = 1 << 30
 
 
 def _words(line: Column) -> Column:
@@ -44,7 +43,8 @@ def rarity(docs: DataFrame) -> bytes:
 
 
 def lines(docs: DataFrame, table: bytes) -> DataFrame:
-    """did, th, line_no, n (distinct words), k1, k2 (128-bit name of the word set), prefix (codes of its rarest words)."""
+    """did, th, line_no, n (distinct words), k1, k2 (128-bit name of the word set), parity (bit i: whether an odd
+    number of its words has hash i modulo 64), prefix (codes of its rarest words)."""
     split = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"), F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     split = split.where(F.col("line").rlike(WORD))
     words = F.array_distinct(_words(F.col("line")))
@@ -57,6 +57,7 @@ def lines(docs: DataFrame, table: bytes) -> DataFrame:
         n.alias("n"),
         F.xxhash64("codes").alias("k1"),
         F.xxhash64(F.lit(1), "codes").alias("k2"),
+        F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int")))).alias("parity"),
         F.transform(F.slice("codes", 1, (n - F.ceil(n * 4 / 5) + 1).cast("int")), lambda c: F.hash(c)).alias("prefix"),
     )
 
@@ -69,30 +70,21 @@ def _rank(word: Column, table: bytes) -> Column:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of class ids that share a prefix word and pass the length and positional filters."""
-    rows = classes.where(F.col("n") >= LEAST).select("id", "n", F.posexplode("prefix").alias("p", "code"))
-    x = rows.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    y = rows.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
+    """Pairs (a, b) of class ids that share a prefix word and pass the length, positional and parity filters.
+
+    Two sets differ in at least as many words as their parity bits do, and at similarity 0.8 in (na + nb) / 9 at most.
+    """
+    rows = classes.where(F.col("n") >= LEAST).select("id", "n", "parity", F.posexplode("prefix").alias("p", "code"))
+    x = rows.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("parity").alias("qa"))
+    y = rows.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("parity").alias("qb"))
     need = "ceil((na + nb) * 4 / 9)"
     keep = f"""(na < nb OR (na = nb AND a < b)) AND 5 * na >= 4 * nb
       AND pa <= na - ceil(na * 8 / 9)
+      AND 9 * bit_count(qa ^ qb) <= na + nb
       AND least(pa, pb) + least(na - pa, nb - pb) >= {need}"""
     return x.join(y, "code").where(keep).select("a", "b").distinct()
 
 
-def _only_flagged(docs: DataFrame, wanted: DataFrame, n_docs: int) -> DataFrame:
-    """Rows of `docs` (did, th, …) whose key may be in `wanted`: a bitmap of about eight bits per document, broadcast.
-
-    The bitmap has `MOST_FLAGS` bits at most (128 MB); past that more rows pass and none is lost.
-    """
-    size = max(_BITMAP, min(MOST_FLAGS, 1 << (8 * max(1, n_docs) - 1).bit_length()))
-    at = F.pmod(F.xxhash64("did", "th"), F.lit(size))
-    bits = wanted.select(at.alias("at")).groupBy(F.floor(F.col("at") / _BITMAP).alias("bucket")).agg(F.bitmap_construct_agg(F.col("at") % _BITMAP).alias("bits"))
-    keyed = docs.withColumn("bucket", F.floor(at / _BITMAP)).withColumn("bit", (at % _BITMAP).cast("int"))
-    byte = F.expr("cast(conv(hex(substring(bits, cast(floor(bit / 8) as int) + 1, 1)), 16, 10) as int)")
-    return keyed.join(F.broadcast(bits), "bucket").where(byte.bitwiseAND(F.expr("cast(pow(2, bit % 8) as int)")) != 0).drop("bucket", "bit", "bits")
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "th": F.xxhash64("text")})
 
@@ -101,12 +93,12 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """did, th and `kept`: the numbers of the lines of a document that stay, wordless lines not counted."""
     docs = docs.select("doc_id", "text")
     found = lines(docs, rarity(docs))
-    classes = found.groupBy("k1", "k2").agg(F.min(F.struct("did", "th", "line_no", "n", "prefix")).alias("f"))
+    classes = found.groupBy("k1", "k2").agg(F.min(F.struct("did", "th", "line_no", "n", "parity", "prefix")).alias("f"))
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("id"), "f.*"), "line-classes")
     pairs = materialise(candidates(classes), "line-pairs")
     places = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "did", "th", "line_no"), "id")
     places = materialise(places, "line-places")
-    texts = _only_flagged(keyed(docs).select("did", "th", "text"), places, docs.count())
+    texts = only_flagged(keyed(docs).select("did", "th", "text"), places.select("did", "th").distinct(), ["did", "th"])
     words = texts.join(places.groupBy("did", "th").agg(F.collect_list(F.struct("id", "line_no")).alias("at")), ["did", "th"])
     words = words.select(F.split("text", "\n").alias("ls"), "at").select("ls", F.explode("at").alias("p"))
     words = words.select("p.id", "p.line_no", F.array_distinct(_words(F.get("ls", "p.line_no"))).alias("w"))
@@ -128,9 +120,16 @@ def remove(docs: DataFrame) -> DataFrame:
     order of documents; rows that repeat doc_id and text are one document and keep the same lines. A document
     may end up with an empty text.
     """
-    k = kept_lines(docs).select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("kept").alias("_kept"))
-    at = F.coalesce(docs["doc_id"].cast("long"), F.lit(_NO_ID))
-    joined = docs.join(k, (at == F.col("_did")) & (F.xxhash64(docs["text"]) == F.col("_th")), "left")
+    kept = materialise(kept_lines(docs), "kept-lines")
+    wordy = F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)))
+    every = keyed(docs.select("doc_id", "text")).select("did", "th", wordy.alias("n")).where("n > 0").distinct()
+    changed = every.join(kept.select("did", "th", F.size("kept").alias("m")), ["did", "th"], "left").where("m IS NULL OR m < n").select("did", "th")
+    # Only texts that change are shuffled; the others pass as they are.
+    k = kept.select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("kept").alias("_kept"))
+    marked = flagged(docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_hash": F.xxhash64("text")}), materialise(changed.toDF("_id", "_hash"), "changed"), ["_id", "_hash"])
+    same = marked.where("NOT _flag").select(*[F.col(f"`{c}`") for c in docs.columns])
+    touched = marked.where("_flag")
+    joined = touched.join(k, (F.col("_id") == F.col("_did")) & (F.col("_hash") == F.col("_th")), "left")
     # Lines and kept numbers in one sorted array: a line that stays follows its own number.
     merged = F.expr(
         f"""sort_array(concat(
@@ -142,7 +141,7 @@ def remove(docs: DataFrame) -> DataFrame:
     text = F.when(F.col("text").isNotNull(), F.array_join(F.transform(stay, lambda x: x["l"]), "\n"))
     out = step.withColumn("_text", text)
     cols = [F.col("_text").alias(c) if c == "text" else (F.length("_text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`")) for c, t in docs.dtypes]
-    return out.select(*cols)
+    return out.select(*cols).unionByName(same.select(*[F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes]))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.arrow_text import Words, column, mix, pieces
+from quarterdeck.llm.flags import only_flagged
 from quarterdeck.session import materialise
 
 SHINGLE = 5
@@ -106,7 +107,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = Words(texts, lower=True).shingles(SHINGLE)
             yield pa.RecordBatch.from_arrays([pa.array([_class(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cls", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted.select("doc").distinct(), "doc", "left_semi")
+    # Texts are not shuffled: a few more than wanted are hashed instead.
+    texts = only_flagged(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), wanted, ["doc"])
     got = texts.select("text").mapInArrow(run, "cls binary, shingles array<bigint>")
     return got.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
@@ -131,8 +133,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("cls").alias("cls_a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("cls").alias("cls_b"), F.col("shingles").alias("sb"))
+    side = lambda x: only_flagged(sets.select(F.col("cls").alias(f"cls_{x}"), F.col("shingles").alias(f"s{x}")), pairs.select(f"cls_{x}").distinct(), [f"cls_{x}"])
+    a, b = side("a"), side("b")
     both = F.size(F.array_intersect("sa", "sb"))
     joined = pairs.join(b, "cls_b").join(a, "cls_a")
     return joined.withColumn("_both", both).where(F.col("_both") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("_both"))).select("cls_a", "cls_b", "a", "b")
@@ -152,7 +154,7 @@ def link(docs: DataFrame, percent: int = 85, exhaustive: bool = False) -> DataFr
     entries = classes.select("cls", "doc", "n", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     members = materialise(entries.join(shared, "key"), "members")
-    sets = materialise(_sets(docs, members.select("cls", "doc")), "sets")
+    sets = materialise(_sets(docs, members.select("cls", "doc").distinct()), "sets")
     tested = used = links = labels = None
     turn, last = 0, False
     while True:

@@ -1,7 +1,7 @@
 """Count-min sketch over the hashes of all texts, merged from partition sketches.
 
 Each hash is counted in two rows of counters that saturate at two. Partition sketches are sparse: for every block
-of 65,536 counters a list of offsets. A shuffle by block adds them up, and what is left is one bit per counter:
+of 65,536 counters the gaps between sorted offsets, about a byte each. A shuffle by block adds them up, and what is left is one bit per counter:
 counted twice or more. There are about `COUNTERS_PER_HASH` counters per hash, `MOST_COUNTERS` (128 MB of bits) at
 most, which bounds the broadcast; beyond that more hashes pass the filter and none is lost.
 """
@@ -37,28 +37,44 @@ def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return ((g ^ (g >> _U(29))) * _SALT[1 - row] >> _U(64 - bits)) + (_U(row) << _U(bits))
 
 
+def encode_gaps(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gaps between sorted offsets as bytes (255 means 255 and more to come), and where the bytes of each gap begin."""
+    sizes = gaps // 255 + 1
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.full(at[-1], 255, np.uint8)
+    out[at[1:] - 1] = gaps % 255
+    return out, at
+
+
+def decode_gaps(raw: np.ndarray) -> np.ndarray:
+    return np.cumsum(raw, dtype=np.int64)[raw != 255]
+
+
 def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray], bits: int) -> np.ndarray:
     """One bit per counter: counted twice or more."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in pieces(batches, limit=8 << 20):
-            held = [hashes(texts[i : i + 256]) for i in range(0, len(texts), 256)]
-            h = np.concatenate(held) if held else np.zeros(0, _U)
+        for _, texts in pieces(batches, limit=32 << 20):
+            h = np.concatenate([hashes(texts[i : i + 256]) for i in range(0, len(texts), 256)])
             for row in range(ROWS):
                 cells = np.sort(_cells(h, row, bits))
                 block = (cells >> _U(_BLOCK)).astype(np.int64)
                 starts = np.flatnonzero(np.diff(block, prepend=-1))
-                offsets = (cells & _U((1 << _BLOCK) - 1)).astype(np.uint16)
-                parts = [o.tobytes() for o in np.split(offsets, starts[1:])] if len(starts) else []
-                for i in range(0, len(parts), 4096):
-                    yield pa.RecordBatch.from_arrays([pa.array(block[starts[i : i + 4096]], pa.int32()), pa.array(parts[i : i + 4096], pa.binary())], ["block", "offsets"])
+                ends = np.append(starts[1:], len(cells))
+                offsets = (cells & _U((1 << _BLOCK) - 1)).astype(np.int32)
+                gaps = np.diff(offsets, prepend=0)
+                gaps[starts] = offsets[starts]
+                coded, at = encode_gaps(gaps)
+                for i in range(0, len(starts), 4096):
+                    raw = [coded[at[x] : at[y]].tobytes() for x, y in zip(starts[i : i + 4096], ends[i : i + 4096], strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(block[starts[i : i + 4096]], pa.int32()), pa.array(raw, pa.binary())], ["block", "offsets"])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 c = counts.setdefault(b, np.zeros(1 << _BLOCK, np.uint8))
-                offsets = np.frombuffer(raw, np.uint16)
+                offsets = decode_gaps(np.frombuffer(raw, np.uint8))
                 once = np.bincount(offsets, minlength=1 << _BLOCK) if len(offsets) > 4096 else None
                 if once is None:
                     np.add.at(c, offsets, 1)

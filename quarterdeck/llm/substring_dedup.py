@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.arrow_text import Words, column, pieces
+from quarterdeck.llm.flags import flagged
 from quarterdeck.llm.sketch import Sketch
 from quarterdeck.session import materialise
 
@@ -38,8 +39,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), pa.array(np.repeat(ids, [len(k) for k in kept]).astype(np.int64))], ["h", "doc_id"])
 
     found = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(candidates, "h bigint, doc_id bigint")
-    found = materialise(found, "windows")
-    first = found.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h", "first")
+    # Read twice rather than stored: the rows are as many bytes as a shuffle of them.
+    first = found.groupBy("h").agg(F.min("doc_id").alias("first"))
     late = found.join(first, "h").where("doc_id > first").select("doc_id", "h")
     return late.groupBy("doc_id").agg(F.collect_list("h").alias("hashes"))
 
@@ -51,8 +52,10 @@ def remove(docs: DataFrame) -> DataFrame:
     no words. Rows with a null doc_id keep all words and take none from others; rows that share a doc_id are one
     document for the comparison. Other columns are not read.
     """
-    late = repeated_windows(docs)
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(late, "doc_id", "left")
+    late = materialise(repeated_windows(docs), "late-windows")
+    rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), late, ["doc_id"])
+    touched = rows.where("_flag").drop("_flag").join(late, "doc_id", "left")
+    joined = touched.unionByName(rows.where("NOT _flag").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("hashes")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.arrow_text import column, pieces, prefix_hashes, span_hashes
+from quarterdeck.llm.flags import flagged, only_flagged
 from quarterdeck.llm.sketch import Sketch
 from quarterdeck.session import materialise
 
@@ -189,7 +190,8 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    texts = docs.where(F.octet_length("text") >= LENGTH).select(F.xxhash64("text").alias("tid"), "text").dropDuplicates(["tid"])
+    texts = docs.where(F.octet_length("text") >= LENGTH).select(F.xxhash64("text").alias("tid"), "text")
+    texts = only_flagged(texts, wanted.select("tid").distinct(), ["tid"]).dropDuplicates(["tid"])
     return texts.join(lists, "tid").select("text", "places").mapInArrow(run, "anchor bigint, salt bigint, context bigint, bytes binary, windows binary, back int, shift int")
 
 
@@ -236,7 +238,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     classes = found.groupBy("anchor", "context").agg(F.sum("copies").alias("copies"), F.min(F.struct("tid", "first", "n", "back")).alias("at"))
     classes = materialise(classes, "contexts")
     groups = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor", F.ceil(F.col("k") / GROUP).cast("int").alias("salts"))
-    wanted = classes.join(groups, "anchor").select("anchor", "context", "at.*", "salts")
+    wanted = materialise(classes.join(groups, "anchor").select("anchor", "context", "at.*", "salts"), "wanted")
     hits = materialise(_sorted_groups(_contexts(docs, wanted)), "hits")
     hits = hits.groupBy("anchor", "context").agg(F.collect_list("hits").alias("hits"))  # a row per salt of one context
     whole = classes.where("copies > 1").select("anchor", "context", F.lit(True).alias("whole"))
@@ -270,8 +272,10 @@ def remove(docs: DataFrame) -> DataFrame:
     included. Null texts count as empty; shorter texts lose nothing. Repeated rows repeat each other's bytes. Ids may be
     null or repeated: only texts are compared. Other columns are not read.
     """
-    marks = repeated_places(docs)
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tid")).join(marks, "tid", "left")
+    marks = materialise(repeated_places(docs), "marks")
+    rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tid")), marks, ["tid"])
+    touched = rows.where("_flag").drop("_flag").join(marks, "tid", "left")
+    joined = touched.unionByName(rows.where("NOT _flag").drop("_flag").withColumn("marks", F.lit(None).cast(marks.schema["marks"].dataType)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
