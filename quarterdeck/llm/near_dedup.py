@@ -217,3 +217,20 @@ def dedupe(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of `docs` whose document is the smallest of its component; columns as they were."""
     gone = link(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def oracle_sql(percent: int) -> str:
+    """The contract's columns in DuckDB by counting shared shingles; for tables without repeated ids."""
+    return rf"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+{SHINGLE - 1}], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+many AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM many JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+both_ways AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS doc_id, a AS r FROM (SELECT DISTINCT a FROM both_ways) UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON both_ways.a = reach.r),
+least AS (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least.m, w.doc_id) AS component_id, coalesce(least.m, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""

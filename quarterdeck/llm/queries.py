@@ -26,9 +26,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
 
-@query("op4_near_dedup")
+@query("op4_near_dedup", near_dedup.oracle_sql(85))
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.link(table(spark, sf_dir, "documents"), percent=85)
+    return near_dedup.link(table(spark, sf_dir, "documents"), percent=85).drop("n_links")
 
 
 @query("op5_decontamination")
@@ -57,6 +57,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", substring_dedup.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")

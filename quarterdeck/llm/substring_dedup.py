@@ -88,3 +88,13 @@ def remove(docs: DataFrame) -> DataFrame:
             )
 
     return joined.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string")
+
+
+ORACLE = rf"""
+WITH w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS MATERIALIZED (SELECT r, doc_id, i, array_to_string(w[i:i+{WINDOW - 1}], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w)),
+f AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS MATERIALIZED (SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS p FROM win JOIN f USING (g) WHERE m < doc_id),
+kept AS (SELECT x.r, string_agg(x.w[x.p], ' ' ORDER BY x.p) AS t, count(*) AS k FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM w) x ANTI JOIN gone g ON g.r = x.r AND g.p = x.p GROUP BY x.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (r)"""
