@@ -89,6 +89,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "th": F.xxhash64("text")})
 
 
+def _later(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Ids of the later classes of the pairs that are similar."""
+    side = lambda k: words.select(F.col("id").alias(k), F.col("w").alias(f"w{k}"), F.col("spot").alias(f"s{k}"))
+    both = F.size(F.array_intersect("wa", "wb"))
+    close = pairs.join(side("a"), "a").join(side("b"), "b").where(9 * both >= 4 * (F.size("wa") + F.size("wb")))
+    return close.select(F.when(F.col("sa") < F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
     """did, th and `kept`: the numbers of the lines of a document that stay, wordless lines not counted."""
     docs = docs.select("doc_id", "text")
@@ -105,10 +113,15 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     words = words.groupBy("id").agg(F.first("w").alias("w"))  # repeated rows hold a line twice
     spots = places.select("id", F.struct("did", "th", "line_no").alias("spot"))
     words = materialise(words.join(spots, "id"), "line-words")
-    side = lambda k: words.select(F.col("id").alias(k), F.col("w").alias(f"w{k}"), F.col("spot").alias(f"s{k}"))
-    both = F.size(F.array_intersect("wa", "wb"))
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(9 * both >= 4 * (F.size("wa") + F.size("wb")))
-    later = close.select(F.when(F.col("sa") < F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
+    # One candidate of every class first. In a group of near copies that settles all but the first, and a pair of two
+    # classes that already go needs no test.
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
+    one = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = materialise(_later(one, words), "later-lines")
+    gone = lambda k: first.select(F.col("id").alias(k), F.lit(True).alias(f"_{k}"))
+    rest = pairs.join(gone("a"), "a", "left").join(gone("b"), "b", "left").where("_a IS NULL OR _b IS NULL").select("a", "b")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(one, ["a", "b"], "left_anti")
+    later = first.unionByName(_later(rest, words)).distinct()
     stay = classes.join(later, "id", "left_anti")
     return stay.groupBy("did", "th").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
