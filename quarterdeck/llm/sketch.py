@@ -54,7 +54,7 @@ def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray],
     """One bit per counter: counted twice or more."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in pieces(batches, limit=32 << 20):
+        for _, texts in pieces(batches, limit=16 << 20):
             h = np.concatenate([hashes(texts[i : i + 256]) for i in range(0, len(texts), 256)])
             for row in range(ROWS):
                 cells = np.sort(_cells(h, row, bits))
@@ -109,6 +109,10 @@ class Sketch:
         bits = bits_for(total)
         return cls(bits, docs.sparkSession.sparkContext.broadcast(_twice(docs, hashes, bits)))
 
+    def close(self) -> None:
+        """Free the bits in all workers, once what was asked is stored."""
+        self.shared.destroy()
+
     def twice(self, h: np.ndarray) -> np.ndarray:
         """False only for hashes that occur once."""
         ok = np.ones(len(h), bool)

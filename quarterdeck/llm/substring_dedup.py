@@ -25,9 +25,16 @@ WINDOW = 13
 _U = np.uint64
 
 
+def _window_hashes(texts: list[bytes | None]) -> np.ndarray:
+    """Hashes of the windows of each text, once per text: only windows of several documents have to count twice."""
+    h, owner = Words(texts).windows(WINDOW)
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return np.concatenate([np.unique(h[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)])
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """doc_id and `hashes` (little-endian 64-bit): the windows of the document that also start in a smaller doc_id."""
-    sketch = Sketch.of(docs, lambda texts: Words(texts).windows(WINDOW)[0])
+    sketch = Sketch.of(docs, _window_hashes)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
@@ -42,7 +49,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     # Read twice rather than stored: the rows are as many bytes as a shuffle of them.
     first = found.groupBy("h").agg(F.min("doc_id").alias("first"))
     late = found.join(first, "h").where("doc_id > first").select("doc_id", "h")
-    return late.groupBy("doc_id").agg(F.collect_list("h").alias("hashes"))
+    out = materialise(late.groupBy("doc_id").agg(F.collect_list("h").alias("hashes")), "late-windows")
+    sketch.close()
+    return out
 
 
 def remove(docs: DataFrame) -> DataFrame:
@@ -52,7 +61,7 @@ def remove(docs: DataFrame) -> DataFrame:
     no words. Rows with a null doc_id keep all words and take none from others; rows that share a doc_id are one
     document for the comparison. Other columns are not read.
     """
-    late = materialise(repeated_windows(docs), "late-windows")
+    late = repeated_windows(docs)
     rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), late, ["doc_id"])
     touched = rows.where("_flag").drop("_flag").join(late, "doc_id", "left")
     joined = touched.unionByName(rows.where("NOT _flag").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("hashes")))

@@ -65,13 +65,12 @@ def _anchor_hashes(texts: list[bytes | None]) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, _U)
 
 
-def places(docs: DataFrame) -> DataFrame:
+def places(docs: DataFrame, sketch: Sketch) -> DataFrame:
     """Anchor places of the distinct texts whose anchor may occur twice: tid, anchor, context, first, n, back, copies.
 
     `context` is the hash of all bytes under the windows of the place, `back` the distance from its first window to
     the anchor, `copies` the number of rows with that text.
     """
-    sketch = Sketch.of(docs, _anchor_hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
@@ -234,7 +233,9 @@ def _sorted_groups(contexts: DataFrame) -> DataFrame:
 
 def repeated_places(docs: DataFrame) -> DataFrame:
     """Per distinct text: `marks`, the places with repeated windows (first, n, context, whole, hits)."""
-    found = materialise(places(docs), "places")
+    sketch = Sketch.of(docs, _anchor_hashes)
+    found = materialise(places(docs, sketch), "places")
+    sketch.close()
     classes = found.groupBy("anchor", "context").agg(F.sum("copies").alias("copies"), F.min(F.struct("tid", "first", "n", "back")).alias("at"))
     classes = materialise(classes, "contexts")
     groups = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor", F.ceil(F.col("k") / GROUP).cast("int").alias("salts"))
