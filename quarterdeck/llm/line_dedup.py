@@ -113,14 +113,17 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     words = words.groupBy("id").agg(F.first("w").alias("w"))  # repeated rows hold a line twice
     spots = places.select("id", F.struct("did", "th", "line_no").alias("spot"))
     words = materialise(words.join(spots, "id"), "line-words")
-    # One candidate of every class first. In a group of near copies that settles all but the first, and a pair of two
-    # classes that already go needs no test.
+    # One candidate of every class first. In a group of near copies that settles all but the first, and a pair whose
+    # later class already goes needs no test.
     ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
     one = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = materialise(_later(one, words), "later-lines")
     gone = lambda k: first.select(F.col("id").alias(k), F.lit(True).alias(f"_{k}"))
     rest = pairs.join(gone("a"), "a", "left").join(gone("b"), "b", "left").where("_a IS NULL OR _b IS NULL").select("a", "b")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(one, ["a", "b"], "left_anti")
+    spot = lambda k: spots.select(F.col("id").alias(k), F.col("spot").alias(f"s{k}"))
+    turned = rest.join(spot("a"), "a").join(spot("b"), "b").select("a", "b", F.when(F.col("sa") < F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("id"))
+    rest = materialise(turned.join(first, "id", "left_anti").select("a", "b"), "open-pairs")
     later = first.unionByName(_later(rest, words)).distinct()
     stay = classes.join(later, "id", "left_anti")
     return stay.groupBy("did", "th").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
