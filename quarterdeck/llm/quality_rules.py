@@ -69,10 +69,10 @@ def measures(docs: DataFrame) -> DataFrame:
 def with_ratios(m: DataFrame) -> DataFrame:
     return m.withColumns(
         {
-            "mean_word": F.col("word_chars") / F.col("n_words"),
-            "symbol_ratio": F.col("n_symbols") / F.col("n_words"),
-            "dup_line_ratio": F.col("n_dup_lines") / F.col("n_lines"),
-            "repeat_ratio": F.col("n_repeat_words") / F.col("n_words"),
+            "mean_word": F.try_divide("word_chars", "n_words"),
+            "symbol_ratio": F.try_divide("n_symbols", "n_words"),
+            "dup_line_ratio": F.try_divide("n_dup_lines", "n_lines"),
+            "repeat_ratio": F.try_divide("n_repeat_words", "n_words"),
         }
     )
 
