@@ -30,6 +30,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL = re.compile(r"(?<![0-9+().-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])")
+#: Characters of an IBAN by country code.
+_IBAN_LENGTH = {
+    code: int(n)
+    for n, codes in (
+        x.split(":")
+        for x in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+            "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for code in codes.split(",")
+}
 #: Score of the pattern, what a checksum adds, what a context word adds, context words.
 _SCORED = {
     "iban": (0.3, 0.5, 0.2, re.compile(r"iban|account|konto|cuenta|compte|bank", re.I)),
@@ -53,6 +65,22 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans with a right checksum. A candidate may run on into the words behind it, so it is cut at the length of its
+    country; with a code that is in no list, at each end of a group, the longest first. What fails is searched again
+    from the next word on: a match has 64 characters at most, so the time stays linear."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        a, at = m.start(), m.start() + 1
+        ends = [i + 1 for i in range(a, m.end()) if text[i] != " "]  # end after so many characters
+        fixed = _IBAN_LENGTH.get(text[a : a + 2])
+        for n in range(min(34, len(ends)), 14, -1) if fixed is None else (fixed,):
+            if n <= len(ends) and (ends[n - 1] == m.end() or text[ends[n - 1]] == " ") and mod97(text[a : ends[n - 1]].replace(" ", "")):
+                at = ends[n - 1]
+                yield a, at
+                break
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     out, last = [], 0
     at = text.find("@")
@@ -94,16 +122,10 @@ def scored_spans(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tupl
     """(start, kind, end, score) of the further kinds; a span that touches a base span is not proposed again."""
     taken = sorted(s for spans in base.values() for s in spans)
     found = []
-    for kind, pattern in (("iban", _IBAN), ("ssn", _SSN), ("local_phone", _LOCAL)):
+    for kind, pattern in (("iban", None), ("ssn", _SSN), ("local_phone", _LOCAL)):
         start_score, sum_score, near_score, near = _SCORED[kind]
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            score = start_score
-            if kind == "iban":
-                compact = m[0].replace(" ", "")
-                if not (15 <= len(compact) <= 34 and mod97(compact)):
-                    continue
-                score += sum_score
+        for a, b in ibans(text) if pattern is None else (m.span() for m in pattern.finditer(text)):
+            score = start_score + (sum_score if kind == "iban" else 0)
             if near.search(text, max(0, a - CONTEXT), min(len(text), b + CONTEXT)):
                 score += near_score
             if score >= THRESHOLD and (kind == "iban" or not any(x < b and a < y for x, y in taken)):

@@ -46,6 +46,17 @@ def test_checksums_and_context():
     assert pii.find("rows 555 123 4567 today")[1] == []
 
 
+def test_iban_before_other_words():
+    solid, spaced, british = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for iban in (solid, spaced, british):
+        for before, after in (("IBAN ", " BIC COBADEFF"), ("IBAN ", " BIC COBADEFFXXX"), ("account ", " 100 EUR"), ("REF12 AB12 CODE ", " X"), ("", ""), ("", f" {solid}")):
+            got = [(a, b) for a, _, k, b, _ in pii.find(before + iban + after)[1] if k == "iban"]
+            assert got[:1] == [(len(before), len(before) + len(iban))] and len(got) == 1 + (solid in after), (before, iban, after)
+    assert [k for _, _, k, _, _ in pii.find("IBAN DE88370400440532013000 BIC COBADEFF")[1]] == []
+    assert [k for _, _, k, _, _ in pii.find(f"IBAN {solid}1 BIC")[1]] == []
+    pii.find("AB12 " * 80_000)
+
+
 def test_rows(spark):
     docs = spark.createDataFrame([(1, "é a@b.co 😀 1.2.3.4", "s"), (None, None, "s"), (2, "", "s"), (2, "", "s")], "doc_id long, text string, spans string")
     got = sorted(map(tuple, pii.detect(docs).select("doc_id", "n_email", "n_ip", "base_sha256", "spans").collect()), key=str)
