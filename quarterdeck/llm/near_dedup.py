@@ -8,8 +8,9 @@ one bucket entry.
 In each bucket a hub is paired with the members that are not yet connected to it (a star, so the pairs of a round
 grow with the members and not with their square); pairs are confirmed on the full sets. Rounds with new hubs follow
 until `ROUNDS` are done and a round confirms nothing more, so buckets of up to ROUNDS + 1 members are compared in
-full. In a larger bucket of documents around the threshold a link can stay untested; `exhaustive=True` then compares
-all members that still lie in different components.
+full. Members of larger buckets that were no hub and still lie in different components are then joined exactly: two
+sets that are similar enough share a shingle among the rarest of each, so only those prefixes meet, under the length
+and position bounds. No candidate pair between components stays untested.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ BIN_BITS = 7
 #: 21 bands of 6 bins: a pair of similarity 0.85 shares a bucket with probability 0.9999, one of 0.8 with 0.998.
 BANDS, ROWS = 21, 6
 ROUNDS = 4
+#: Counters of the table by which the last join tells rare shingles.
+RARITY_BITS = 20
 _U = np.uint64
 _BINS = 1 << BIN_BITS
 _SCHEMA = "doc_id bigint, n_shingles bigint, cls binary, bands array<bigint>"
@@ -140,13 +143,60 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.withColumn("_both", both).where(F.col("_both") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("_both"))).select("cls_a", "cls_b", "a", "b")
 
 
-def link(docs: DataFrame, percent: int = 85, exhaustive: bool = False) -> DataFrame:
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of `rest` (cls, doc, n, component) in different components that may be similar enough; none is left out.
+
+    Of two sets the longer has at least percent of its shingles in common with the shorter one, and the shorter at
+    least 2 * percent / (100 + percent) of its own. So in any common order of shingles, here the rarest first, the two
+    share one among those that may come before such an overlap ends. Shingles counted once are shared with none.
+    """
+    held = only_flagged(sets, rest, ["cls"]).join(rest, "cls")
+    held = materialise(held.select("cls", "doc", "n", "component", "shingles"), "rest_sets")
+    size = 1 << RARITY_BITS
+    counts = held.select(F.explode("shingles").alias("s")).groupBy(F.pmod("s", F.lit(size)).alias("at")).agg(F.count("*").alias("c")).toArrow()
+    table = np.zeros(size, np.int32)
+    table[counts.column("at").to_numpy()] = np.minimum(counts.column("c").to_numpy(), np.iinfo(np.int32).max)
+    shared = rest.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = shared.value
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1024):
+                batch = whole.slice(i, 1024)
+                owner, shingle, place, short = [], [], [], []
+                for k, s in enumerate(column(batch, "shingles")):
+                    h = s.values.to_numpy()
+                    c = count[h & (size - 1)]
+                    n = len(h)
+                    at = np.arange(n + (-percent * n // 100) + 1)
+                    order = np.lexsort((h, c))[at]
+                    some = c[order] > 1
+                    owner.append(np.full(int(some.sum()), k))
+                    shingle.append(h[order][some])
+                    place.append(at[some])
+                    short.append(at[some] <= n + (-2 * percent * n // (100 + percent)))
+                take = batch.select(["cls", "doc", "n", "component"]).take(pa.array(np.concatenate(owner), pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*take.columns, pa.array(np.concatenate(shingle), pa.int64()), pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(short), pa.bool_())],
+                    ["cls", "doc", "n", "component", "shingle", "place", "short"],
+                )
+
+    rows = materialise(held.mapInArrow(run, "cls binary, doc bigint, n bigint, component bigint, shingle bigint, place int, short boolean"), "prefixes")
+    shared.destroy()
+    y = rows.where("short").select("shingle", *(F.col(c).alias(f"{c}2") for c in ("cls", "doc", "n", "component", "place")))
+    longer = "(n2 < n OR n2 = n AND doc2 < doc) AND n2 * 100 >= n * {0} AND component <> component2"
+    room = "(least(place, place2) + 1 + least(n - place - 1, n2 - place2 - 1)) * (100 + {0}) >= {0} * (n + n2)"
+    return rows.join(y, "shingle").where(f"{longer} AND {room}".format(percent)).select("cls", "doc", "n", "cls2", "doc2", "n2")
+
+
+def link(docs: DataFrame, percent: int = 85, exhaustive: bool = True) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id, kept, n_links.
 
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the smallest
     doc_id reachable. Null, empty and wordless texts are linked with nothing and stay; so do rows with a null doc_id
     (their component_id is null). Rows that repeat a doc_id give one row each. `n_links` counts the confirmed links of
-    the row's class with other classes that the component was built from. Other columns are not read.
+    the row's class with other classes that the component was built from. Other columns are not read. With
+    `exhaustive=False` pairs of two members of a large bucket that were never its hubs stay untested.
     """
     sigs = materialise(signatures(docs), "signatures")
     classes = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
@@ -159,13 +209,14 @@ def link(docs: DataFrame, percent: int = 85, exhaustive: bool = False) -> DataFr
     turn, last = 0, False
     while True:
         now = members.withColumn("component", F.col("doc")) if labels is None else members.join(labels, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        fresh = now if used is None else now.join(used, ["key", "doc"], "left_anti")
         if last:
-            open_keys = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-            left = now.join(open_keys, "key")
-            right = left.select("key", F.col("cls").alias("cls2"), F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-            pairs = left.join(right, "key").where("doc < doc2 AND component <> component2").select("cls", "doc", "n", "cls2", "doc2", "n2")
+            spread = fresh.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+            rest = materialise(fresh.join(spread, "key").select("cls", "doc", "n", "component").distinct(), "rest")
+            if rest.isEmpty():
+                break
+            pairs = _prefix_pairs(rest, sets, percent)
         else:
-            fresh = now if used is None else now.join(used, ["key", "doc"], "left_anti")
             order = F.struct((F.col("doc") if turn == 0 else F.xxhash64(F.col("doc"), F.lit(turn))).alias("place"), "cls", "doc", "n", "component")
             spread = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
             hubs = materialise(fresh.join(spread, "key").groupBy("key").agg(F.min(order).alias("hub")), "hubs")
@@ -185,8 +236,9 @@ def link(docs: DataFrame, percent: int = 85, exhaustive: bool = False) -> DataFr
         else:
             good = materialise(_confirmed(pairs, sets, percent), "confirmed")
             tested = pairs if tested is None else tested.unionAll(pairs)
-            more = not good.isEmpty() and not last
-            if more or last:
+            some = not good.isEmpty()
+            more = some and not last
+            if some:
                 links = good if links is None else links.unionAll(good)
                 labels = components(links.where("a < b"))
             more = more or turn < ROUNDS

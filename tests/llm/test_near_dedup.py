@@ -68,6 +68,20 @@ def test_exhaustive_comparison_of_a_large_group(spark):
     assert sorted(map(tuple, got)) == plain(rows, 85)
 
 
+def test_link_of_two_members_that_are_no_hubs(spark, monkeypatch):
+    """A template family in one bucket: no star round confirms a link, one pair is similar enough."""
+    monkeypatch.setattr(near_dedup, "band_keys", lambda filled, *_: np.full((len(filled), 1), 7, np.uint64))
+    rows = []
+    for d in range(40):
+        w = [f"t{i}" if i % 20 else f"d{17 if d == 29 else d}x{i}" for i in range(100)]
+        w[50] = "changed" if d == 29 else w[50]
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.link(docs, 85).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert [d for d, _, _, kept in plain(rows, 85) if not kept] == [29]
+    assert sorted(map(tuple, got)) == plain(rows, 85)
+
+
 def test_odd_rows(spark):
     same = "a b c d e f g"
     docs = spark.createDataFrame([(1, same), (1, same), (2, same), (None, same), (None, None)], "doc_id long, text string")
