@@ -10,8 +10,9 @@ of many small sorts without losing a pair:
   two suffixes by binary search, so a comparison takes log(LENGTH) steps, and a bottom-up mergesort merges runs by binary search
   with that comparison. Neighbours in the order that agree in LENGTH bytes, verified byte by byte, are repeats.
 
-Suffixes are compared inside (anchor, distance) groups only, and a group with more than `GROUP` contexts is split by
-window hash, so no task holds a whole hot group.
+Suffixes are compared inside (anchor, distance) groups only. A group with more than `GROUP` contexts is not sorted: its
+windows are counted by a 128-bit digest, with partial sums, and looked up again, so no task holds a whole hot group
+even if all of it is one window.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from quarterdeck.session import materialise
 
 LENGTH = 200
 GRAM = 64
-#: Contexts of one anchor that one sort takes; larger groups are split by window hash.
+#: Contexts of one anchor that one sort takes; the windows of larger groups are counted by digest.
 GROUP = 1000
 _U = np.uint64
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -156,78 +157,97 @@ def repeats(data: np.ndarray, group: np.ndarray, start: np.ndarray) -> np.ndarra
     return out
 
 
-def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Bytes of the contexts in `wanted` (tid, anchor, context, first, n, back, salts).
+def _with_places(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """text and `places` of the texts with contexts in `wanted` (tid, anchor, context, first, n, back)."""
+    lists = wanted.groupBy("tid").agg(F.collect_list(F.struct("anchor", "context", "first", "n", "back")).alias("places"))  # places of one text
+    texts = docs.where(F.octet_length("text") >= LENGTH).select(F.xxhash64("text").alias("tid"), "text")
+    texts = only_flagged(texts, wanted.select("tid").distinct(), ["tid"]).dropDuplicates(["tid"])
+    return texts.join(lists, "tid").select("text", "places")
 
-    A context of a split group goes to each of its salts with the stretch that holds the windows of that salt.
-    """
-    lists = wanted.groupBy("tid").agg(F.collect_list(F.struct("anchor", "context", "first", "n", "back", "salts")).alias("places"))  # places of one text
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
-    names = ["anchor", "salt", "context", "bytes", "windows", "back", "shift"]
+
+def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Bytes of the contexts in `wanted` (tid, anchor, context, first, n, back)."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+    names = ["anchor", "context", "bytes", "n", "back"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for batch, texts in pieces(batches):
             for t, at in zip(texts, column(batch, "places").to_pylist(), strict=True):
-                prefix = None
                 for p in at:
                     a, n = p["first"], p["n"]
                     if a + n + LENGTH - 1 > len(t):
                         continue  # another text with the same hash
-                    salt = np.zeros(n, np.int64)
-                    if p["salts"] > 1:
-                        prefix = prefix_hashes(np.frombuffer(t, np.uint8)) if prefix is None else prefix
-                        w = np.arange(a, a + n)
-                        salt = (span_hashes(prefix, w, w + LENGTH) % _U(p["salts"])).astype(np.int64)
-                    for s in np.unique(salt).tolist():
-                        mine = np.flatnonzero(salt == s).astype(np.int32)
-                        lo, hi = int(mine[0]), int(mine[-1])
-                        out.append((p["anchor"], s, p["context"], t[a + lo : a + hi + LENGTH], (mine - lo).astype(np.int32).tobytes(), p["back"] - lo, lo))
+                    out.append((p["anchor"], p["context"], t[a : a + n + LENGTH - 1], n, p["back"]))
                 if len(out) > 2000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
                     out = []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    texts = docs.where(F.octet_length("text") >= LENGTH).select(F.xxhash64("text").alias("tid"), "text")
-    texts = only_flagged(texts, wanted.select("tid").distinct(), ["tid"]).dropDuplicates(["tid"])
-    return texts.join(lists, "tid").select("text", "places").mapInArrow(run, "anchor bigint, salt bigint, context bigint, bytes binary, windows binary, back int, shift int")
+    return _with_places(docs, wanted).mapInArrow(run, "anchor bigint, context bigint, bytes binary, n int, back int")
+
+
+def _counted_groups(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(anchor, context, hits): what `_sorted_groups` gives, a row per window, of groups of any size.
+
+    Equal windows have equal anchors at equal distances, so one context holds a window once, and one that is counted
+    twice is a repeat. Only sums per task are shuffled for the count, and repeated windows for the look-up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches):
+            for t, at in zip(texts, column(batch, "places").to_pylist(), strict=True):
+                for p in at:
+                    a, n = p["first"], p["n"]
+                    if a + n + LENGTH - 1 > len(t):
+                        continue  # another text with the same hash
+                    digests = [hashlib.blake2b(t[i : i + LENGTH], digest_size=16).digest() for i in range(a, a + n)]
+                    hits = np.arange(n, dtype=np.int32).tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p["anchor"]] * n, pa.int64()), pa.array([p["context"]] * n, pa.int64()), pa.array(digests, pa.binary()), pa.array([hits[4 * i : 4 * i + 4] for i in range(n)], pa.binary())],
+                        ["anchor", "context", "digest", "hits"],
+                    )
+
+    texts = materialise(_with_places(docs, wanted), "hot_texts")
+    windows = texts.mapInArrow(run, "anchor bigint, context bigint, digest binary, hits binary")
+    repeated = materialise(windows.groupBy("digest").agg(F.count("*").alias("c")).where("c > 1").select("digest"), "repeated")
+    return only_flagged(windows, repeated, ["digest"]).join(repeated, "digest").select("anchor", "context", "hits")
 
 
 def _judged(rows: list[tuple]) -> pa.RecordBatch:
-    """Repeated windows of rows (anchor, salt, context, bytes, windows, back, shift) that hold whole groups."""
-    data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-    offset = np.cumsum([0] + [len(r[3]) for r in rows])[:-1]
-    n = np.array([len(r[4]) // 4 for r in rows])
-    windows = np.frombuffer(b"".join(r[4] for r in rows), np.int32).astype(np.int64)
-    row = np.repeat(np.arange(len(rows)), n)
-    number = np.cumsum([0] + [rows[i][:2] != rows[i - 1][:2] for i in range(1, len(rows))])
-    key = number[row] * LENGTH + np.array([r[5] for r in rows])[row] - windows  # group and distance to the anchor
+    """Repeated windows of rows (anchor, context, bytes, n, back) that hold whole groups."""
+    data = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+    offset = np.cumsum([0] + [len(r[2]) for r in rows])[:-1]
+    n = np.array([r[3] for r in rows])
+    row, ends = np.repeat(np.arange(len(rows)), n), np.cumsum(n)
+    windows = np.arange(len(row)) - (ends - n)[row]
+    number = np.cumsum([0] + [rows[i][0] != rows[i - 1][0] for i in range(1, len(rows))])
+    key = number[row] * LENGTH + np.array([r[4] for r in rows])[row] - windows  # group and distance to the anchor
     by = np.argsort(key, kind="stable")
     hit = np.empty(len(by), bool)
     hit[by] = repeats(data, key[by], (offset[row] + windows)[by])
-    ends, shift = np.cumsum(n), np.array([r[6] for r in rows])
-    out = [(windows[b - k : b][hit[b - k : b]] + shift[i]).astype(np.int32).tobytes() for i, (b, k) in enumerate(zip(ends, n, strict=True))]
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array(out, pa.binary())], ["anchor", "context", "hits"])
+    out = [np.flatnonzero(hit[b - k : b]).astype(np.int32).tobytes() for b, k in zip(ends, n, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(out, pa.binary())], ["anchor", "context", "hits"])
 
 
 def _sorted_groups(contexts: DataFrame) -> DataFrame:
-    """(anchor, context, hits): per context and salt, the windows that repeat in another context of the anchor."""
+    """(anchor, context, hits): per context, the windows that repeat in another context of the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > (1 << 20) and r[:2] != held[-1][:2]:
+                if size > (1 << 20) and r[0] != held[-1][0]:
                     yield _judged(held)
                     held, size = [], 0
                 held.append(r)
-                size += len(r[3])
+                size += len(r[2])
         if held:
             yield _judged(held)
 
-    dealt = contexts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, "anchor bigint, context bigint, hits binary").where(F.octet_length("hits") > 0)
 
 
@@ -238,10 +258,13 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     sketch.close()
     classes = found.groupBy("anchor", "context").agg(F.sum("copies").alias("copies"), F.min(F.struct("tid", "first", "n", "back")).alias("at"))
     classes = materialise(classes, "contexts")
-    groups = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor", F.ceil(F.col("k") / GROUP).cast("int").alias("salts"))
-    wanted = materialise(classes.join(groups, "anchor").select("anchor", "context", "at.*", "salts"), "wanted")
-    hits = materialise(_sorted_groups(_contexts(docs, wanted)), "hits")
-    hits = hits.groupBy("anchor", "context").agg(F.collect_list("hits").alias("hits"))  # a row per salt of one context
+    groups = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor", (F.col("k") > GROUP).alias("hot"))
+    wanted = materialise(classes.join(groups, "anchor").select("anchor", "context", "at.*", "hot"), "wanted")
+    hits = _sorted_groups(_contexts(docs, wanted.where("NOT hot")))
+    hot = wanted.where("hot")
+    if not hot.isEmpty():
+        hits = hits.unionByName(_counted_groups(docs, hot))
+    hits = materialise(hits, "hits").groupBy("anchor", "context").agg(F.collect_list("hits").alias("hits"))  # windows of one context
     whole = classes.where("copies > 1").select("anchor", "context", F.lit(True).alias("whole"))
     marked = whole.join(hits, ["anchor", "context"], "full")
     rows = found.join(marked, ["anchor", "context"])

@@ -55,6 +55,25 @@ def test_split_groups_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == plain(rows)
 
 
+def test_no_task_sorts_a_hot_passage(spark, monkeypatch):
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = word(300)
+    rows = [(d, word(300) + passage + word(300)) for d in range(200)]
+    sorts, most = suffix_dedup._sorted_groups, []
+
+    def watched(contexts):
+        keys = [c for c in ("anchor", "salt") if c in contexts.columns]
+        most.append(max((r["count"] for r in contexts.groupBy(*keys).count().collect()), default=0))
+        return sorts(contexts)
+
+    monkeypatch.setattr(suffix_dedup, "GROUP", 20)
+    monkeypatch.setattr(suffix_dedup, "_sorted_groups", watched)
+    got = suffix_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows)
+    assert len(most) == 1 and most[0] <= 20
+
+
 def test_suffix_order_is_lexicographic():
     rng = np.random.default_rng(0)
     data = rng.integers(0, 2, 4000).astype(np.uint8)
