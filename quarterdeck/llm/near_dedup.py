@@ -29,8 +29,8 @@ from quarterdeck.session import materialise
 
 SHINGLE = 5
 BIN_BITS = 7
-#: 21 bands of 6 bins: a pair of similarity 0.85 shares a bucket with probability 0.9999, one of 0.8 with 0.998.
-BANDS, ROWS = 21, 6
+#: A pair at the threshold shares no bucket with this probability at most.
+MISSED = 1e-4
 ROUNDS = 4
 #: Counters of the table by which the last join tells rare shingles.
 RARITY_BITS = 20
@@ -66,12 +66,22 @@ def bins(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(filled: np.ndarray) -> np.ndarray:
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and bins in each: the longest bands that miss a pair at the threshold no more often than `MISSED`.
+
+    21 bands of 6 for 85 percent, 25 of 5 for 80.
+    """
+    fits = [r for r in range(1, _BINS + 1) if (1 - (percent / 100) ** r) ** (_BINS // r) <= MISSED]
+    rows = max(fits, default=1)
+    return _BINS // rows, rows
+
+
+def band_keys(filled: np.ndarray, bands: int, rows: int) -> np.ndarray:
     keys = []
-    for b in range(BANDS):
+    for b in range(bands):
         k = np.full(len(filled), b + 1, _U)
-        for r in range(ROWS):
-            k = mix(k * _U(0x9E3779B97F4A7C15) + filled[:, b * ROWS + r])
+        for r in range(rows):
+            k = mix(k * _U(0x9E3779B97F4A7C15) + filled[:, b * rows + r])
         keys.append(k)
     return np.stack(keys, axis=1)
 
@@ -80,15 +90,16 @@ def _class(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int) -> DataFrame:
     """Per row: doc_id, set size, 128-bit name of the set, band keys (null for an empty set)."""
+    bands, rows = banding(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
             for i in range(0, len(texts), 1024):
                 sets = Words(texts[i : i + 1024], lower=True).shingles(SHINGLE)
                 full = [s for s in sets if len(s)]
-                keys = iter(band_keys(bins(full)).view(np.int64).tolist() if full else ())
+                keys = iter(band_keys(bins(full), bands, rows).view(np.int64).tolist() if full else ())
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(batch, "doc_id").slice(i, 1024),
@@ -198,7 +209,7 @@ def link(docs: DataFrame, percent: int = 85, exhaustive: bool = True) -> DataFra
     the row's class with other classes that the component was built from. Other columns are not read. With
     `exhaustive=False` pairs of two members of a large bucket that were never its hubs stay untested.
     """
-    sigs = materialise(signatures(docs), "signatures")
+    sigs = materialise(signatures(docs, percent), "signatures")
     classes = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = materialise(classes, "classes")
     entries = classes.select("cls", "doc", "n", F.explode("bands").alias("key"))

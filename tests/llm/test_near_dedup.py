@@ -82,6 +82,13 @@ def test_link_of_two_members_that_are_no_hubs(spark, monkeypatch):
     assert sorted(map(tuple, got)) == plain(rows, 85)
 
 
+def test_bands_follow_the_threshold():
+    assert near_dedup.banding(85) == (21, 6) and near_dedup.banding(80) == (25, 5)
+    for percent in range(50, 100, 5):
+        bands, rows = near_dedup.banding(percent)
+        assert bands * rows <= 128 and (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISSED
+
+
 def test_odd_rows(spark):
     same = "a b c d e f g"
     docs = spark.createDataFrame([(1, same), (1, same), (2, same), (None, same), (None, None)], "doc_id long, text string")
