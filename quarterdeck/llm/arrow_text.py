@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single text is a piece of its own.
 PIECE_BYTES = 1 << 20
+_PIECE_ROWS = 1 << 14
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -17,18 +19,18 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Slices of the batches whose texts hold about `limit` bytes, with the texts as UTF-8 (None for null)."""
+    """Slices of the batches whose texts hold about `limit` bytes, with the texts as UTF-8 (None for null).
+
+    Texts leave Arrow slice by slice, so that Python holds one slice of them and not a batch.
+    """
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
-        start, held = 0, 0
-        for i, t in enumerate(texts):
-            size = len(t or b"")
-            if i > start and held + size > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, held = i, 0
-            held += size
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        held = column(batch, text).cast(pa.binary())
+        sizes = pc.binary_length(held).fill_null(0).to_numpy(zero_copy_only=False)
+        start = 0
+        while start < batch.num_rows:
+            count = max(1, int(np.searchsorted(np.cumsum(sizes[start : start + _PIECE_ROWS], dtype=np.int64), limit, side="right")))
+            yield batch.slice(start, count), held.slice(start, count).to_pylist()
+            start += count
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -83,9 +85,12 @@ def span_hashes(prefix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of several texts: hash, start and end byte in `data`, and first word of each text."""
+    """Words of several texts: hash, start and end byte in `data`, and first word of each text.
+
+    Words are `[^\\x20\\x09-\\x0D]+`, or the runs between the bytes that `space` marks (a table of 256, line feed included).
+    """
 
-    def __init__(self, texts: list[bytes | None], lower: bool = False):
+    def __init__(self, texts: list[bytes | None], lower: bool = False, space: np.ndarray = _SPACE):
         joined = b"\n".join(t or b"" for t in texts)
         self.data = np.frombuffer(joined, np.uint8)
         if lower:
@@ -93,7 +98,7 @@ class Words:
         sizes = np.fromiter((len(t or b"") for t in texts), np.int64, len(texts))
         self.text_start = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
         word = np.zeros(len(self.data) + 2, np.int8)
-        word[1:-1] = ~_SPACE[self.data]
+        word[1:-1] = ~space[self.data]
         edge = np.diff(word)
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.hash = span_hashes(prefix_hashes(self.data), self.start, self.end) if len(self.start) else np.zeros(0, _U)
@@ -104,13 +109,18 @@ class Words:
 
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of n consecutive words of one text, and the index of the text of each. Window i of a text starts at its word i."""
+        at, owner = self.places(n)
+        return self.joined(at, n), owner
+
+    def places(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word of each run of n consecutive words of one text, and the index of its text."""
         counts = np.maximum(self.counts() - n + 1, 0)
         owner = np.repeat(np.arange(len(counts)), counts)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + self.first[:-1][owner]
-        return self.joined(at, n), owner
+        return at, owner
 
-    def joined(self, at: np.ndarray, n: int) -> np.ndarray:
-        h = np.full(len(at), n, _U)
+    def joined(self, at: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
+        h = np.full(len(at), n + (seed << 32), _U)
         for k in range(n):
             h = mix(h * _STEP + self.hash[at + k])
         return h

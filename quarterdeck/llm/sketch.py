@@ -21,6 +21,8 @@ COUNTERS_PER_HASH = 8
 MOST_COUNTERS = 1 << 30
 ROWS = 2
 _BLOCK = 16
+#: Hashes of a task that are sorted together.
+_AT_ONCE = 1 << 21
 _U = np.uint64
 _SALT = [_U(0x9FB21C651E98DF25), _U(0xD6E8FEB86659FD93)]
 
@@ -50,42 +52,62 @@ def decode_gaps(raw: np.ndarray) -> np.ndarray:
     return np.cumsum(raw, dtype=np.int64)[raw != 255]
 
 
+def add(counts: np.ndarray, offsets: np.ndarray) -> None:
+    """Count sorted offsets into counters that stay at two: repeats are cut at two before they are added, so no byte wraps."""
+    cells, times = np.unique(offsets, return_counts=True)
+    counts[cells] = np.minimum(counts[cells] + np.minimum(times, 2).astype(np.uint8), 2)
+
+
+def _gaps(h: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """(block, offsets) of the hashes: sorted offsets within each block as gaps."""
+    for row in range(ROWS):
+        cells = np.sort(_cells(h, row, bits))
+        block = (cells >> _U(_BLOCK)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        ends = np.append(starts[1:], len(cells))
+        offsets = (cells & _U((1 << _BLOCK) - 1)).astype(np.int32)
+        gaps = np.diff(offsets, prepend=0)
+        gaps[starts] = offsets[starts]
+        coded, at = encode_gaps(gaps)
+        for i in range(0, len(starts), 4096):
+            raw = [coded[at[x] : at[y]].tobytes() for x, y in zip(starts[i : i + 4096], ends[i : i + 4096], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[starts[i : i + 4096]], pa.int32()), pa.array(raw, pa.binary())], ["block", "offsets"])
+
+
 def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray], bits: int) -> np.ndarray:
     """One bit per counter: counted twice or more."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in pieces(batches, limit=16 << 20):
-            h = np.concatenate([hashes(texts[i : i + 256]) for i in range(0, len(texts), 256)])
-            for row in range(ROWS):
-                cells = np.sort(_cells(h, row, bits))
-                block = (cells >> _U(_BLOCK)).astype(np.int64)
-                starts = np.flatnonzero(np.diff(block, prepend=-1))
-                ends = np.append(starts[1:], len(cells))
-                offsets = (cells & _U((1 << _BLOCK) - 1)).astype(np.int32)
-                gaps = np.diff(offsets, prepend=0)
-                gaps[starts] = offsets[starts]
-                coded, at = encode_gaps(gaps)
-                for i in range(0, len(starts), 4096):
-                    raw = [coded[at[x] : at[y]].tobytes() for x, y in zip(starts[i : i + 4096], ends[i : i + 4096], strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(block[starts[i : i + 4096]], pa.int32()), pa.array(raw, pa.binary())], ["block", "offsets"])
+        held, size = [], 0
+        for _, texts in pieces(batches):
+            held.append(hashes(texts))
+            size += len(held[-1])
+            if size >= _AT_ONCE:
+                yield from _gaps(np.concatenate(held), bits)
+                held, size = [], 0
+        if size:
+            yield from _gaps(np.concatenate(held), bits)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
+        # Sorted by block, so that a task holds the counters of one block.
+        open_block, counts = None, np.zeros(1 << _BLOCK, np.uint8)
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([open_block], pa.int32()), pa.array([np.packbits(counts > 1, bitorder="little").tobytes()], pa.binary())], ["block", "twice"])
+
         for batch in batches:
             for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = counts.setdefault(b, np.zeros(1 << _BLOCK, np.uint8))
-                offsets = decode_gaps(np.frombuffer(raw, np.uint8))
-                once = np.bincount(offsets, minlength=1 << _BLOCK) if len(offsets) > 4096 else None
-                if once is None:
-                    np.add.at(c, offsets, 1)
-                    np.minimum(c, 2, out=c)
-                else:
-                    np.minimum(c + np.minimum(once, 2), 2, out=c, casting="unsafe")
-        for b, c in counts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(c > 1, bitorder="little").tobytes()], pa.binary())], ["block", "twice"])
+                if b != open_block:
+                    if open_block is not None:
+                        yield full()
+                    open_block = b
+                    counts[:] = 0
+                add(counts, decode_gaps(np.frombuffer(raw, np.uint8)))
+        if open_block is not None:
+            yield full()
 
     parts = docs.select("text").mapInArrow(partial, "block int, offsets binary")
-    rows = parts.repartition("block").mapInArrow(merged, "block int, twice binary").toArrow()
+    rows = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block int, twice binary").toArrow()
     out = np.zeros(ROWS << (bits - 3), np.uint8)
     size = 1 << (_BLOCK - 3)
     for b, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
@@ -100,13 +122,10 @@ class Sketch:
         self.bits, self.shared = bits, shared
 
     @classmethod
-    def of(cls, docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray]) -> Sketch:
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, texts in pieces(batches):
-                yield pa.RecordBatch.from_arrays([pa.array([len(hashes(texts))], pa.int64())], ["n"])
-
-        total = docs.select("text").mapInArrow(count, "n bigint").agg(F.sum("n")).first()[0] or 0
-        bits = bits_for(total)
+    def of(cls, docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray], bytes_per_hash: int) -> Sketch:
+        """`bytes_per_hash` is the least text that makes a hash on average; it sets the size, and with it the cost but never the result."""
+        total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        bits = bits_for(total // bytes_per_hash)
         return cls(bits, docs.sparkSession.sparkContext.broadcast(_twice(docs, hashes, bits)))
 
     def close(self) -> None:

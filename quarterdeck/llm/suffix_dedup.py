@@ -253,7 +253,7 @@ def _sorted_groups(contexts: DataFrame) -> DataFrame:
 
 def repeated_places(docs: DataFrame) -> DataFrame:
     """Per distinct text: `marks`, the places with repeated windows (first, n, context, whole, hits)."""
-    sketch = Sketch.of(docs, _anchor_hashes)
+    sketch = Sketch.of(docs, _anchor_hashes, GRAM)
     found = materialise(places(docs, sketch), "places")
     sketch.close()
     classes = found.groupBy("anchor", "context").agg(F.sum("copies").alias("copies"), F.min(F.struct("tid", "first", "n", "back")).alias("at"))

@@ -4,6 +4,9 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pytest
+
 from quarterdeck.llm import sketch, substring_dedup
 
 
@@ -48,3 +51,28 @@ def test_saturated_sketch_loses_nothing(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = substring_dedup.remove(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=str) == plain(rows)
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_numbers_of_copies_around_a_byte(spark, parts):
+    rows, d = [], 0
+    for copies in (255, 256, 257, 512):
+        for _ in range(copies):
+            rows.append((d, " ".join(f"c{copies}w{i}" for i in range(13))))
+            d += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = substring_dedup.remove(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows)
+
+
+def test_counters_stay_at_two():
+    counts = np.zeros(8, np.uint8)
+    for offsets in ([1] * 256, [2] * 257 + [3], [3], [4], [1] * 512):
+        sketch.add(counts, np.array(offsets))
+    assert counts.tolist() == [0, 2, 2, 2, 1, 0, 0, 0]
+
+
+def test_very_long_text(spark):
+    rows = [(1, " ".join(f"w{i}" for i in range(400_000))), (2, "a " + " ".join(f"w{i}" for i in range(390_000, 400_000)) + " b")]
+    got = substring_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_words", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(1, 400_000, 0), (2, 10_002, 10_000)]

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from quarterdeck.llm import suffix_dedup
 from quarterdeck.llm.arrow_text import prefix_hashes
@@ -96,3 +97,19 @@ def test_equal_windows_have_equal_anchors():
 
     for i in range(200):
         assert of(a, 70 + i) == of(b, 333 + i)
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_numbers_of_copies_around_a_byte(spark, parts):
+    rnd, rows, d = random.Random(4), [], 0
+    for copies in (255, 256, 257, 512):
+        text = "".join(rnd.choice("abcdefgh ") for _ in range(200))
+        for _ in range(copies):
+            rows.append((d, text))
+            d += 1
+    # One anchor 256 times inside a text.
+    unit = "".join(rnd.choice("abcdefgh ") for _ in range(250))
+    rows.append((d, "#".join([unit] * 256)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = suffix_dedup.remove(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows)
