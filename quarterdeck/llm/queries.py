@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, chat_format, decontamination, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
+from quarterdeck.llm import bpe, chat_format, decontamination, lexical_search, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
@@ -60,3 +60,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup", substring_dedup.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op13_lexical_search", lexical_search.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
