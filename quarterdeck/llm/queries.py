@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import bpe, chat_format, collocations, decontamination, lexical_search, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
+from quarterdeck.llm import bpe, chat_format, collocations, decontamination, edit_fingerprints, lexical_search, line_dedup, near_dedup, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
 from quarterdeck.llm.registry import query, table
 
 #: The public vocabulary files; on a cluster only the driver needs them.
@@ -62,6 +62,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query("op11_edit_fingerprints")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op12_collocations", collocations.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
