@@ -35,7 +35,7 @@ def _window_hashes(texts: list[bytes | None]) -> np.ndarray:
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc_id and `hashes` (two independent 64-bit ones each): the windows of the document that also start in a smaller doc_id."""
+    """doc_id and `hashes` (64-bit): the windows of the document that also start in a smaller doc_id."""
     sketch = Sketch.of(docs, _window_hashes, BYTES_PER_WORD)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,14 +48,14 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
             ok = ok[np.lexsort((h[ok], owner[ok]))]
             ok = ok[np.diff(h[ok], prepend=_U(0)).astype(bool) | np.diff(owner[ok], prepend=-1).astype(bool)]
             ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)[owner[ok]].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h[ok].view(np.int64)), pa.array(w.joined(at[ok], WINDOW, seed=1).view(np.int64)), pa.array(ids)], ["h", "h2", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[ok].view(np.int64)), pa.array(ids)], ["h", "doc_id"])
 
-    found = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(candidates, "h bigint, h2 bigint, doc_id bigint")
+    found = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(candidates, "h bigint, doc_id bigint")
     # Read twice rather than stored: the rows are as many bytes as a shuffle of them.
-    first = found.groupBy("h", "h2").agg(F.min("doc_id").alias("first"))
-    late = found.join(first, ["h", "h2"]).where("doc_id > first").select("doc_id", "h", "h2")
+    first = found.groupBy("h").agg(F.min("doc_id").alias("first"))
+    late = found.join(first, "h").where("doc_id > first").select("doc_id", "h")
     # Rows that repeat a doc_id may hold the same windows: a set, not a list.
-    out = materialise(late.groupBy("doc_id").agg(F.collect_set(F.struct("h", "h2")).alias("hashes")), "late-windows")
+    out = materialise(late.groupBy("doc_id").agg(F.collect_set("h").alias("hashes")), "late-windows")
     sketch.close()
     return out
 
@@ -70,22 +70,19 @@ def remove(docs: DataFrame) -> DataFrame:
     late = repeated_windows(docs)
     rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), late, ["doc_id"])
     touched = rows.where("_flag").drop("_flag").join(late, "doc_id", "left")
-    joined = touched.unionByName(rows.where("NOT _flag").select("doc_id", "text", F.lit(None).cast("array<struct<h:bigint,h2:bigint>>").alias("hashes")))
+    joined = touched.unionByName(rows.where("NOT _flag").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("hashes")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
             w = Words(texts)
-            at, owner = w.places(WINDOW)
-            h = w.joined(at, WINDOW)
+            h, owner = w.windows(WINDOW)
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
             n, removed, kept = w.counts(), [], []
             for i, marks in enumerate(column(batch, "hashes")):
                 lo, hi = w.first[i], w.first[i + 1]
                 gone = np.zeros(hi - lo, bool)
                 if marks.is_valid:
-                    one, two = (marks.values.field(c).to_numpy().view(_U) for c in ("h", "h2"))
-                    hits = np.flatnonzero(np.isin(h[bounds[i] : bounds[i + 1]], one))
-                    hits = hits[np.isin(w.joined(at[bounds[i] + hits], WINDOW, seed=1), two)]
+                    hits = np.flatnonzero(np.isin(h[bounds[i] : bounds[i + 1]], marks.values.to_numpy().view(_U)))
                     edge = np.zeros(hi - lo + 1, np.int64)
                     np.add.at(edge, hits, 1)
                     np.add.at(edge, hits + WINDOW, -1)
