@@ -1,7 +1,7 @@
 """Count-min sketch over the hashes of all texts, merged from partition sketches.
 
 Each hash is counted in two rows of counters that saturate at two. Partition sketches are sparse: for every block
-of 65,536 counters the gaps between sorted offsets, about a byte each. A shuffle by block adds them up, and what is left is one bit per counter:
+of 65,536 counters or more (4,096 blocks at most) the gaps between sorted offsets, about a byte each. A shuffle by block adds them up, and what is left is one bit per counter:
 counted twice or more. There are about `COUNTERS_PER_HASH` counters per hash, `MOST_COUNTERS` (128 MB of bits) at
 most, which bounds the broadcast; beyond that more hashes pass the filter and none is lost.
 """
@@ -20,7 +20,9 @@ from quarterdeck.llm.arrow_text import pieces
 COUNTERS_PER_HASH = 8
 MOST_COUNTERS = 1 << 30
 ROWS = 2
+#: Log of the counters in the smallest block, and of the most blocks: a task's rows grow with its hashes, not with the sketch.
 _BLOCK = 16
+_MOST_BLOCKS = 12
 #: Hashes of a task that are sorted together.
 _AT_ONCE = 1 << 21
 _U = np.uint64
@@ -33,6 +35,10 @@ def bits_for(hashes: int) -> int:
     return (want - 1).bit_length() - 1
 
 
+def block_bits(bits: int) -> int:
+    return max(_BLOCK, bits + ROWS - 1 - _MOST_BLOCKS)
+
+
 def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     """Counter of each hash in one row; rows lie one after the other."""
     g = h * _SALT[row]
@@ -60,12 +66,13 @@ def add(counts: np.ndarray, offsets: np.ndarray) -> None:
 
 def _gaps(h: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     """(block, offsets) of the hashes: sorted offsets within each block as gaps."""
+    wide = block_bits(bits)
     for row in range(ROWS):
         cells = np.sort(_cells(h, row, bits))
-        block = (cells >> _U(_BLOCK)).astype(np.int64)
+        block = (cells >> _U(wide)).astype(np.int64)
         starts = np.flatnonzero(np.diff(block, prepend=-1))
         ends = np.append(starts[1:], len(cells))
-        offsets = (cells & _U((1 << _BLOCK) - 1)).astype(np.int32)
+        offsets = (cells & _U((1 << wide) - 1)).astype(np.int32)
         gaps = np.diff(offsets, prepend=0)
         gaps[starts] = offsets[starts]
         coded, at = encode_gaps(gaps)
@@ -90,7 +97,7 @@ def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray],
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sorted by block, so that a task holds the counters of one block.
-        open_block, counts = None, np.zeros(1 << _BLOCK, np.uint8)
+        open_block, counts = None, np.zeros(1 << block_bits(bits), np.uint8)
 
         def full() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([open_block], pa.int32()), pa.array([np.packbits(counts > 1, bitorder="little").tobytes()], pa.binary())], ["block", "twice"])
@@ -109,7 +116,7 @@ def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray],
     parts = docs.select("text").mapInArrow(partial, "block int, offsets binary")
     rows = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block int, twice binary").toArrow()
     out = np.zeros(ROWS << (bits - 3), np.uint8)
-    size = 1 << (_BLOCK - 3)
+    size = 1 << (block_bits(bits) - 3)
     for b, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
         out[b * size : (b + 1) * size] = np.frombuffer(raw, np.uint8)
     return out
