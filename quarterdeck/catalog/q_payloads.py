@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from quarterdeck.catalog import bindings as B
 from quarterdeck.catalog.registry import query
 from quarterdeck.operators import payloads as N
-from quarterdeck.session import materialise
 from quarterdeck.sources.payloads import payload_rows
 
 _AT = [*B.ORDER, "pos"]
@@ -75,7 +74,7 @@ def statements(spark, sf):
         spark, sf, 1, revenue=F.when(_is("A"), _t("l_extendedprice")), Revenue=F.col("l_quantity"), netIncome=F.col("l_tax"),
         weightedAverageShsOutDil=F.when(F.col("l_quantity") > 25, F.col("l_quantity")),
     )
-    bal = _statement_rows(spark, sf, 2, totalAssets=F.col("l_extendedprice"), netReceivables=F.lit(""), receivables=F.col("l_quantity"))
+    bal = _statement_rows(spark, sf, 2, totalAssets=F.col("l_extendedprice"), netReceivables=F.lit(""), receivables=F.col("l_quantity"), commonStockSharesOutstanding=F.when(_is("A"), F.col("l_quantity") * 50))
     cash = _statement_rows(
         spark, sf, 3, operatingCashFlow=F.when(_is("A"), F.col("l_extendedprice")), cashFromOperations=F.when(_is("R"), F.col("l_tax")),
         weightedAverageSharesDiluted=F.col("l_linenumber") * 1000, cashDividendsPaid=F.when(~_is("R"), -F.col("l_quantity")),
@@ -91,9 +90,9 @@ def _stmt_sql(line: int, cols: str) -> str:
 
 
 FINANCIALS_SQL = f"""
-SELECT symbol, fd, per, revenue, ni, dil, ta, rec, ocf, dp, coalesce(dil, dil2) AS wad FROM
+SELECT symbol, fd, per, revenue, ni, dil, ta, rec, so, ocf, dp, coalesce(dil, dil2) AS wad FROM
   {_stmt_sql(1, "CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE l_quantity END AS revenue, l_tax AS ni, CASE WHEN l_quantity > 25 THEN l_quantity END AS dil")} i
-  FULL JOIN {_stmt_sql(2, "l_extendedprice AS ta, l_quantity AS rec")} b USING (symbol, fd, per)
+  FULL JOIN {_stmt_sql(2, "l_extendedprice AS ta, l_quantity AS rec, CASE WHEN l_returnflag = 'A' THEN l_quantity * 50 END AS so")} b USING (symbol, fd, per)
   FULL JOIN {_stmt_sql(3, "CASE l_returnflag WHEN 'A' THEN l_extendedprice WHEN 'R' THEN l_tax END AS ocf, CASE WHEN l_returnflag <> 'R' THEN -l_quantity END AS dp, l_linenumber * 1000.0::DOUBLE AS dil2")} c USING (symbol, fd, per)"""
 
 _ORD = [*_AT]
@@ -205,24 +204,25 @@ def n7(spark, sf):
     return N.extract_operating_cash_flow(_items(spark, sf), _AT)
 
 
+def _filled(column: str, extract: str, i: int) -> tuple[str, str]:
+    """Value and joins of one metric filled by period, then by date."""
+    joins = " ".join(f"LEFT JOIN ({extract}) x{i}{k} ON x{i}{k}.symbol = f.symbol AND x{i}{k}.fd = f.fd AND x{i}{k}.per = {per}" for k, per in enumerate(["f.per", "''"]))
+    return f"coalesce({column}, x{i}0.v, x{i}1.v)", joins
+
+
+_FILLED = [_filled("f.dp", DIVIDENDS_PAID, 0), _filled("f.ocf", CASH_FLOW, 1), _filled("f.so", SHARES_OUT, 2)]
+
+
 @query(
     "N8_enrich_nulls",
     f"""
-SELECT f.symbol, CAST(f.fd AS VARCHAR) AS "fiscalDate", nullif(f.per, '') AS period, round(coalesce(f.dp, d1.v, d2.v), 6) AS "dividendsPaid", round(coalesce(f.ocf, o1.v, o2.v), 6) AS "operatingCashFlow"
-FROM ({FINANCIALS_SQL}) f LEFT JOIN ({DIVIDENDS_PAID}) d1 ON d1.symbol = f.symbol AND d1.fd = f.fd AND d1.per = f.per
-LEFT JOIN ({DIVIDENDS_PAID}) d2 ON d2.symbol = f.symbol AND d2.fd = f.fd AND d2.per = ''
-LEFT JOIN ({CASH_FLOW}) o1 ON o1.symbol = f.symbol AND o1.fd = f.fd AND o1.per = f.per
-LEFT JOIN ({CASH_FLOW}) o2 ON o2.symbol = f.symbol AND o2.fd = f.fd AND o2.per = ''""",
+SELECT f.symbol, CAST(f.fd AS VARCHAR) AS "fiscalDate", nullif(f.per, '') AS period, round({_FILLED[0][0]}, 6) AS "dividendsPaid", round({_FILLED[1][0]}, 6) AS "operatingCashFlow", round({_FILLED[2][0]}, 6) AS "sharesOutstanding"
+FROM ({FINANCIALS_SQL}) f {" ".join(x[1] for x in _FILLED)}""",
     "li",
 )
 def n8(spark, sf):
-    items = _items(spark, sf)
-    # Each extract is looked up twice (by period and by date), so it is written once.
-    paid = materialise(N.extract_dividends_paid(items, _AT), "dividends-paid")
-    cash = materialise(N.extract_operating_cash_flow(items, _AT), "cash-flow")
-    f = N.enrich_nulls(merged_financials(spark, sf), paid, "dividendsPaid")
-    f = N.enrich_nulls(f, cash, "operatingCashFlow")
-    return f.select("symbol", "fiscalDate", "period", "dividendsPaid", "operatingCashFlow")
+    f = N.enrich_nulls(merged_financials(spark, sf), N.as_reported_metrics(_items(spark, sf), _AT))
+    return f.select("symbol", "fiscalDate", "period", "dividendsPaid", "operatingCashFlow", "sharesOutstanding")
 
 
 _DIV_SQL = """l_tax AS dividend, l_discount AS "adjDividend", CAST(date + 1 AS VARCHAR) AS "recordDate", CASE WHEN l_returnflag <> 'N' THEN CAST(date + 14 AS VARCHAR) END AS "paymentDate",

@@ -166,63 +166,91 @@ def _as_reported(rows: DataFrame, order: list[str]) -> DataFrame:
     return flatten_line_items(keyed, ["symbol", "fiscalDate", "period", "at"])
 
 
-def _extract(rows: DataFrame, order: list[str], rank: Column, prefer: list[Column]) -> DataFrame:
-    """Best item per payload row, then the last payload row per (symbol, date, period).
-
-    `rank` is NULL for items that do not qualify. The extra rows with an empty period hold the last row of
-    a date that has any period, so a lookup without period finds it.
-    """
-    items = _as_reported(rows, order).withColumn("rank", rank).filter(F.col("rank").isNotNull())
-    key = ["symbol", "fiscalDate", "period"]
-    best = items.groupBy(*key, "at").agg(F.min_by("value", F.struct("rank", *prefer, "i_pos")).alias("value"))
-    # One pass: a row with a period also counts for the empty period.
-    both = best.withColumn("period", F.explode(F.array_distinct(F.array("period", F.lit("")))))
-    return both.groupBy(*key).agg(F.max_by("value", "at").alias("value"))
-
-
-def extract_dividends_paid(rows: DataFrame, order: list[str]) -> DataFrame:
+def _paid_place() -> Column:
     """Exact key first; else items named dividend + paid/payment: negatives first, then the largest magnitude."""
     low, v = F.lower("name"), F.col("value")
     rank = F.when(F.col("is_map") & (F.col("name") == fixed.DIVIDENDS_PAID_KEY), 0).when(
         low.contains("dividend") & (low.contains("paid") | low.contains("payment")), 1
     )
-    return _extract(rows, order, rank, [(v >= 0).alias("pos_sign"), (-F.abs(v)).alias("size")])
+    return F.when(rank.isNotNull(), F.struct(rank, (v >= 0).alias("pos_sign"), (-F.abs(v)).alias("size"), "i_pos"))
 
 
-def extract_shares_outstanding(rows: DataFrame, order: list[str]) -> DataFrame:
+def _shares_place() -> Column:
     """Exact key first; else the largest positive item named like shares outstanding."""
-    k, v = norm_item_key("name"), F.col("value")
+    k, v = F.col("item_key"), F.col("value")
     like = k.contains(fixed.SHARES_OUTSTANDING_KEY) | (k.contains("shares") & k.contains("outstanding"))
     rank = F.when(F.col("is_map") & (F.col("name") == fixed.SHARES_OUTSTANDING_KEY) & (v > 0), 0).when(like & (v > 0), 1)
-    return _extract(rows, order, rank, [(-v).alias("size")])
+    return F.when(rank.isNotNull(), F.struct(rank, (-v).alias("size"), "i_pos"))
 
 
-def extract_operating_cash_flow(rows: DataFrame, order: list[str]) -> DataFrame:
+def _cash_flow_place() -> Column:
     """Exact normalised keys by priority; else a matching name with the largest magnitude.
 
     Two spellings of one exact key in a map: the later entry counts.
     """
-    k, v = norm_item_key("name"), F.col("value")
+    k, v = F.col("item_key"), F.col("value")
     keys = fixed.OPERATING_CASH_FLOW_KEYS
-    rank = F.lit(None).cast("int")
+    exact = F.lit(None).cast("int")
     for i, name in reversed(list(enumerate(keys))):
-        rank = F.when(F.col("is_map") & (k == name), i).otherwise(rank)
+        exact = F.when(F.col("is_map") & (k == name), i).otherwise(exact)
     like = F.lit(False)
     for name in keys:
         like = like | k.contains(name)
-    exact = rank
     rank = F.coalesce(exact, F.when(like, len(keys)))
     size = F.when(exact.isNull(), -F.abs(v)).otherwise(-F.col("i_pos").cast("double"))
-    return _extract(rows, order, rank, [size.alias("size")])
+    return F.when(rank.isNotNull(), F.struct(rank, size.alias("size"), "i_pos"))
+
+
+#: Place of an item among the candidates of a metric, smallest first; NULL for items that do not qualify.
+AS_REPORTED = {"dividendsPaid": _paid_place, "operatingCashFlow": _cash_flow_place, "sharesOutstanding": _shares_place}
+
+
+def as_reported_metrics(rows: DataFrame, order: list[str], metrics: list[str] | None = None) -> DataFrame:
+    """(symbol, fiscalDate, period) and the metrics of as-reported payload rows, all from one parse.
+
+    Best item per payload row and metric, then the last payload row per (symbol, date, period) that has one. The
+    extra rows with an empty period hold the last row of a date that has any period, so a lookup without period
+    finds it. Both steps are one grouped aggregate each; what a row lacks of one metric does not hide another.
+    """
+    names = metrics or list(AS_REPORTED)
+    key = ["symbol", "fiscalDate", "period"]
+    items = _as_reported(rows, order).withColumn("item_key", norm_item_key("name"))
+    best = items.groupBy(*key, "at").agg(*[F.min_by("value", AS_REPORTED[m]()).alias(m) for m in names])
+    # One pass: a row with a period also counts for the empty period.
+    both = best.withColumn("period", F.explode(F.array_distinct(F.array("period", F.lit("")))))
+    out = both.groupBy(*key).agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.col("at"))).alias(m) for m in names])
+    return out.filter(F.coalesce(*names).isNotNull())
+
+
+def _extract(rows: DataFrame, order: list[str], metric: str) -> DataFrame:
+    return as_reported_metrics(rows, order, [metric]).withColumnRenamed(metric, "value")
+
+
+def extract_dividends_paid(rows: DataFrame, order: list[str]) -> DataFrame:
+    return _extract(rows, order, "dividendsPaid")
 
 
-def enrich_nulls(fin: DataFrame, extracted: DataFrame, column: str) -> DataFrame:
-    """Fill NULLs of `column` by (date, period), then by date alone."""
-    p = norm_period("period")
-    exact = extracted.select("symbol", "fiscalDate", F.col("period").alias("_p"), F.col("value").alias("_exact"))
-    by_date = extracted.filter(F.col("period") == "").select("symbol", "fiscalDate", F.col("value").alias("_by_date"))
-    out = fin.withColumn("_p", p).join(exact, ["symbol", "fiscalDate", "_p"], "left").join(by_date, ["symbol", "fiscalDate"], "left")
-    return out.withColumn(column, F.coalesce(column, "_exact", "_by_date")).select(*fin.columns)
+def extract_shares_outstanding(rows: DataFrame, order: list[str]) -> DataFrame:
+    return _extract(rows, order, "sharesOutstanding")
+
+
+def extract_operating_cash_flow(rows: DataFrame, order: list[str]) -> DataFrame:
+    return _extract(rows, order, "operatingCashFlow")
+
+
+def enrich_nulls(fin: DataFrame, *extracted: DataFrame) -> DataFrame:
+    """Fill NULLs of the metrics in `extracted` (as_reported_metrics) by (date, period), then by date alone.
+
+    The periods of a date (a handful) become one map, so each extract is one join and needs no second look-up by date.
+    """
+    out = fin.withColumn("_p", norm_period("period"))
+    for i, e in enumerate(extracted):
+        names = [m for m in AS_REPORTED if m in e.columns]
+        by = F.map_from_entries(F.collect_list(F.struct("period", F.struct(*names)))).alias(f"_m{i}")
+        out = out.join(e.groupBy("symbol", "fiscalDate").agg(by), ["symbol", "fiscalDate"], "left")
+        at = lambda p: F.try_element_at(f"_m{i}", p)  # noqa: B023, E731
+        out = out.withColumns({m: F.coalesce(m, at(F.col("_p"))[m], at(F.lit(""))[m]) for m in names})
+    return out.select(*fin.columns)
 
 
 # ---- events -------------------------------------------------------------------------------------------------
