@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_sources", "q_sinks", "q_scalars", "q_payloads", "q_joins", "q_aggregates", "q_series", "q_sets", "q_formulas", "q_jobs"]
+MODULES = ["q_sources", "q_sinks", "q_scalars", "q_payloads", "q_joins", "q_aggregates", "q_series", "q_sets", "q_formulas", "q_jobs", "q_modes"]
 
 
 def load():

@@ -238,6 +238,14 @@ def landed(df: DataFrame, keep: list[str], **fields: Column) -> DataFrame:
     return payload_rows(df.select(*keep, body.alias("body")), "body", keep)
 
 
+def land(df: DataFrame, path: str, row: Column, symbol: str = "symbol", order: list[str] | None = None) -> None:
+    """Files as a loader finds them: one response per symbol below `path`, a list of the JSON rows in feed order."""
+    at = F.struct(*(order or ORDER))
+    rows = df.groupBy(F.col(symbol).alias("symbol")).agg(F.sort_array(F.collect_list(F.struct(at.alias("at"), row.alias("row")))).alias("rows"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda x: x["row"]), ","), F.lit("]"))
+    rows.select("symbol", body.alias("value")).repartition("symbol").write.partitionBy("symbol").text(path)
+
+
 # ---- company documents -----------------------------------------------------------------------------------------
 
 

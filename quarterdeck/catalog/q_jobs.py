@@ -288,146 +288,6 @@ def c4(spark, sf):
 # ---- C5 ------------------------------------------------------------------------------------------------------------
 
 
-def _table(spark, path, name):
-    return spark.read.parquet(f"{path}/{name}.parquet")
-
-
-@query(
-    "C5_ingest_backfill",
-    """
-SELECT p.symbol, CAST(p.date AS VARCHAR) AS date, round(coalesce(p."adjClose", CASE WHEN g.m >= 0.05 AND p.volume > 20 THEN p.open * 0.5 END), 6) AS "adjClose", CAST(date_trunc('month', p.date)::DATE AS VARCHAR)[:7] AS month
-FROM prices p JOIN (SELECT symbol, avg(CASE WHEN "adjClose" IS NULL THEN 1 ELSE 0 END) AS m FROM prices GROUP BY symbol) g USING (symbol)""",
-    "prices",
-)
-def c5_backfill(spark, sf):
-    """Chunks of prices, filled from the adjusted feed, published to the monthly table and read back."""
-    p = B.stored_prices(spark, sf)
-    chunks = p.withColumn("chunk", F.lit(1)).union(p.filter("date > date '2000-01-01'").withColumn("chunk", F.lit(2)))
-    feed = B.landed(p.filter("volume > 20"), ["symbol"], date=F.col("date").cast("string"), adjClose=F.col("open") * 0.5)
-    div = I.dividends_by_date(B.dividends(spark, sf), [*B.ORDER, "dividend"])
-    splits = p.select("symbol", "date", F.lit(1.0).alias("factor")).filter("date < date '1990-01-01'")
-    rows = I.backfill_prices(chunks, feed, div, splits, "1990-01-01", "2010-01-01")
-    folder = scratch_path(spark, "backfill")
-    I.publish(spark, folder, "prices_eod", rows, [])
-    return _table(spark, folder, "prices_eod").select("symbol", "date", "adjClose", F.col("month").cast("string").alias("month"))
-
-
-@query(
-    "C5_ingest_daily",
-    """
-SELECT symbol, CAST(date AS VARCHAR) AS date, round(close, 6) AS close, round("adjClose", 6) AS "adjClose" FROM (
-  SELECT symbol, date, close, "adjClose" FROM prices WHERE date < DATE '2000-06-01'
-  UNION ALL SELECT symbol, date, close * 2, coalesce("adjClose", close * 2) FROM prices WHERE date >= DATE '2000-06-01' AND date <= DATE '2001-06-29' AND date > (SELECT max(q.date) FROM prices q WHERE q.symbol = prices.symbol AND q.date < DATE '2000-06-01'))""",
-    "prices",
-)
-def c5_daily(spark, sf):
-    p = B.stored_prices(spark, sf)
-    folder = scratch_path(spark, "daily")
-    stored = p.filter("date < date '2000-06-01'")
-    I.publish(spark, folder, "prices_eod", stored, [])
-    new = p.withColumn("close", F.col("close") * 2)
-    # 2001-07-02 is a Monday, so the target is the Friday before.
-    today = F.lit("2001-07-02").cast("date")
-    I.publish(spark, folder, "prices_eod", I.daily_prices(new, _table(spark, folder, "prices_eod").drop("month"), today, "1995-01-01"), [])
-    return _table(spark, folder, "prices_eod").select("symbol", "date", "close", "adjClose")
-
-
-_AS_OF = "2001-06-30"
-
-
-def _as_of():
-    return F.lit(_AS_OF).cast("date")
-
-
-@query(
-    "C5_ingest_weekly",
-    f"""
-SELECT 'estimates_snapshot' AS table_name, u.symbol, max(CASE WHEN k = 1 THEN eps END) AS v FROM uni u LEFT JOIN (SELECT symbol, l_quantity AS eps, row_number() OVER (PARTITION BY symbol ORDER BY date, o) AS k FROM li WHERE date > DATE '{_AS_OF}') f USING (symbol) GROUP BY u.symbol
-UNION ALL SELECT 'estimates_quarterly_snapshot', u.symbol, eps FROM uni u LEFT JOIN (SELECT symbol, l_quantity AS eps, row_number() OVER (PARTITION BY symbol ORDER BY date, o) AS k FROM li WHERE date > DATE '{_AS_OF}') f ON f.symbol = u.symbol AND k = 1
-UNION ALL SELECT 'targets_snapshot', u.symbol, v FROM uni u LEFT JOIN (SELECT symbol, arg_min(l_extendedprice, o) AS v FROM li GROUP BY symbol) t USING (symbol)""",
-    "uni li",
-)
-def c5_weekly(spark, sf):
-    li = B.lines(spark, sf)
-    # One payload per line; the position in the whole feed is the order of the line.
-    at = [*B.ORDER, "pos"]
-    rows = B.landed(li, ["symbol", *B.ORDER], date=F.col("date").cast("string"), epsAvg=F.col("l_quantity"), targetConsensus=F.col("l_extendedprice"))
-    u = B.universe(spark, sf)
-    made = I.weekly(rows, rows, rows, u, _as_of(), at)
-    values = {"estimates_snapshot": "epsThisY", "estimates_quarterly_snapshot": "epsNextQ", "targets_snapshot": "targetPrice"}
-    folder = scratch_path(spark, "weekly")
-    out = None
-    for name, value in values.items():
-        I.publish(spark, folder, name, made[name], [])
-        t = _table(spark, folder, name).select(F.lit(name).alias("table_name"), "symbol", F.col(value).alias("v"))
-        out = t if out is None else out.union(t)
-    return out
-
-
-@query(
-    "C5_ingest_monthly",
-    f"""
-SELECT 'company_facts_snapshot' AS table_name, count(*) AS n_rows, round(sum(s_acctbal) * 2, 2) AS total FROM sup WHERE s_acctbal > 0
-UNION ALL SELECT 'index_membership', count(*), sum(CASE WHEN symbol IN (SELECT symbol FROM divs WHERE dividend > 0.08) THEN 1.0 ELSE 0 END) FROM uni
-UNION ALL SELECT 'insider_holdings_snapshot', count(*), sum(owned) FROM (SELECT owned, row_number() OVER (PARTITION BY symbol, person, sec ORDER BY date DESC, o) AS k
-   FROM ({TRANSACTIONS_SQL}) WHERE owned IS NOT NULL AND sec LIKE '%common stock%') WHERE k = 1""",
-    "sup uni divs li",
-    places={"total": 2},
-)
-def c5_monthly(spark, sf):
-    s = B.suppliers(spark, sf)
-    feed = B.landed(s, ["s_suppkey"], symbol=F.col("symbol"), outstandingShares=F.col("s_acctbal"), floatShares=F.col("s_acctbal"))
-    feed = feed.withColumn("at", F.struct("s_suppkey", "pos"))
-    insider = insider_rows(spark, sf)
-    insider = insider.withColumn("at", F.struct(*B.ORDER, "pos"))
-    out = I.monthly(feed, feed, insider, B.dividends(spark, sf).filter("dividend > 0.08"), B.universe(spark, sf), _as_of(), order=["at"])
-    folder = scratch_path(spark, "monthly")
-    values = {
-        "company_facts_snapshot": F.col("sharesOutstanding_profile") + F.col("sharesOutstanding_shares"),
-        "index_membership": F.col("isMember").cast("double"),
-        "insider_holdings_snapshot": F.col("securitiesOwned"),
-    }
-    parts = []
-    for name, v in values.items():
-        I.publish(spark, folder, name, out[name], [], keep_on_empty=True)
-        parts.append(_table(spark, folder, name).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(v).alias("total")).select(F.lit(name).alias("table_name"), "n_rows", "total"))
-    return parts[0].union(parts[1]).union(parts[2])
-
-
-@query(
-    "C5_ingest_trigger",
-    """
-SELECT 'earnings' AS what, symbol, count(*) AS n FROM li WHERE symbol IN (SELECT symbol FROM uni) AND NOT (l_returnflag = 'A' AND date IN (SELECT q.date FROM li q WHERE q.symbol = li.symbol AND q.l_returnflag = 'N')) GROUP BY symbol
-UNION ALL SELECT 'dividends', symbol, count(*) FROM li WHERE symbol IN (SELECT symbol FROM uni) GROUP BY symbol
-UNION ALL SELECT DISTINCT 'refresh', symbol, 1 FROM li WHERE symbol IN (SELECT symbol FROM uni)""",
-    "li uni",
-)
-def c5_trigger(spark, sf):
-    li = B.lines(spark, sf)
-    late = li
-    stamp = F.when(F.col("l_returnflag") == "A", F.lit("2001-01-01 00:00")).otherwise(F.lit("2001-12-31 00:00"))
-    cal = B.landed(late, B.ORDER, symbol=F.col("symbol"), date=F.col("date").cast("string"), eps=F.col("l_tax"), lastUpdated=stamp)
-    stored = li.filter("l_returnflag = 'N'").select("symbol", F.col("date").alias("earningsDate"), F.lit("2001-06-01 00:00").alias("lastUpdated")).distinct()
-    out = I.trigger(cal, cal, B.universe(spark, sf), stored, F.lit("2001-10-09").cast("date"))
-
-    def count(what, df):
-        return df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "symbol", "n")
-
-    return count("earnings", out["earnings_events"]).union(count("dividends", out["dividends_events"])).union(count("refresh", out["refresh"]))
-
-
-@query(
-    "C5_ingest_index",
-    "SELECT '^GSPC' AS symbol, CAST(date AS VARCHAR) AS date, round(max(high), 6) AS close, round(max(high), 6) AS \"adjClose\" FROM prices WHERE date BETWEEN DATE '2001-06-02' AND DATE '2001-06-29' GROUP BY date",
-    "prices",
-)
-def c5_index(spark, sf):
-    p = B.prices(spark, sf)
-    new = p.groupBy("date").agg(F.max("high").alias("close")).withColumn("adjClose", F.lit(None).cast("double"))
-    stored = p.filter("date <= date '2001-06-01'").select(F.lit("^GSPC").alias("symbol"), F.lit("2001-06-01").cast("date").alias("date"))
-    return I.index_prices(new, stored, F.lit("2001-07-02").cast("date"), "1995-01-01").select("symbol", "date", "close", "adjClose")
-
-
 _SINCE = """(SELECT * FROM (SELECT l.*, row_number() OVER (PARTITION BY l.symbol, date ORDER BY o DESC, l_tax DESC) AS k FROM li l
   LEFT JOIN (SELECT symbol, max("fiscalDate") AS w FROM fin WHERE "fiscalDate" < DATE '2000-01-01' AND symbol <> 'S1' GROUP BY symbol) f USING (symbol)
   WHERE l_linenumber = {line} AND date BETWEEN greatest(coalesce(w - 7, DATE '1996-01-01'), DATE '1996-01-01') AND DATE '2001-06-30') WHERE k = 1)"""

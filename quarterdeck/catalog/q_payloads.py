@@ -63,23 +63,29 @@ def n2(spark, sf):
     return N.build_adjclose(rows, "1996-01-01", "2000-06-30")
 
 
-def _statement_rows(spark, sf, line, **fields):
-    li = _lines(spark, sf, f"l_linenumber = {line}").withColumn("q", B.quarter_end())
+def statement_lines(spark, sf):
+    """Lines and payload fields of the three statements."""
+    n = F.col("l_quantity")
+    values = {
+        "income": (1, {
+            "revenue": F.when(_is("A"), _t("l_extendedprice")), "Revenue": n, "netIncome": F.col("l_tax"), "weightedAverageShsOutDil": F.when(n > 25, n),
+        }),
+        "balance": (2, {
+            "totalAssets": F.col("l_extendedprice"), "netReceivables": F.lit(""), "receivables": n, "commonStockSharesOutstanding": F.when(_is("A"), n * 50),
+        }),
+        "cash": (3, {
+            "operatingCashFlow": F.when(_is("A"), F.col("l_extendedprice")), "cashFromOperations": F.when(_is("R"), F.col("l_tax")),
+            "weightedAverageSharesDiluted": F.col("l_linenumber") * 1000, "cashDividendsPaid": F.when(~_is("R"), -n),
+        }),
+    }
     period = F.when(~_is("N"), F.concat(F.lit("Q"), F.quarter("q")))
-    return B.landed(li, _KEEP, date=_day("q"), period=period, **fields)
+    for feed, (line, fields) in values.items():
+        li = _lines(spark, sf, f"l_linenumber = {line}").withColumn("q", B.quarter_end())
+        yield feed, li, {"date": _day("q"), "period": period} | fields
 
 
 def statements(spark, sf):
-    inc = _statement_rows(
-        spark, sf, 1, revenue=F.when(_is("A"), _t("l_extendedprice")), Revenue=F.col("l_quantity"), netIncome=F.col("l_tax"),
-        weightedAverageShsOutDil=F.when(F.col("l_quantity") > 25, F.col("l_quantity")),
-    )
-    bal = _statement_rows(spark, sf, 2, totalAssets=F.col("l_extendedprice"), netReceivables=F.lit(""), receivables=F.col("l_quantity"), commonStockSharesOutstanding=F.when(_is("A"), F.col("l_quantity") * 50))
-    cash = _statement_rows(
-        spark, sf, 3, operatingCashFlow=F.when(_is("A"), F.col("l_extendedprice")), cashFromOperations=F.when(_is("R"), F.col("l_tax")),
-        weightedAverageSharesDiluted=F.col("l_linenumber") * 1000, cashDividendsPaid=F.when(~_is("R"), -F.col("l_quantity")),
-    )
-    return inc, bal, cash
+    return [B.landed(li, _KEEP, **fields) for _, li, fields in statement_lines(spark, sf)]
 
 
 def _stmt_sql(line: int, cols: str) -> str:
@@ -115,9 +121,8 @@ def n3(spark, sf):
     )
 
 
-def _items(spark, sf):
-    """As-reported rows: a map of items for flag A, a list of item objects otherwise."""
-    li = _lines(spark, sf).withColumn("q", B.quarter_end())
+def as_reported_row():
+    """As-reported object of a line with its quarter end `q`: a map of items for flag A, a list of item objects otherwise."""
     px, qty = F.col("l_extendedprice"), F.col("l_quantity")
     n = F.col("l_linenumber")
     as_map = F.to_json(
@@ -139,15 +144,16 @@ def _items(spark, sf):
         )
     )
     # The nested document goes in as JSON, not as quoted text.
-    plain = B.spread(li).select(
-        *_KEEP,
-        F.concat(
-            F.lit('[{"date":"'), _t("q"), F.lit('","period":'),
-            F.when(~_is("N"), F.concat(F.lit('"Q'), F.quarter("q"), F.lit('"'))).otherwise(F.lit("null")),
-            F.lit(',"data":'), F.when(_is("A"), as_map).otherwise(as_list), F.lit("}]"),
-        ).alias("body"),
+    return F.concat(
+        F.lit('{"date":"'), _t("q"), F.lit('","period":'),
+        F.when(~_is("N"), F.concat(F.lit('"Q'), F.quarter("q"), F.lit('"'))).otherwise(F.lit("null")),
+        F.lit(',"data":'), F.when(_is("A"), as_map).otherwise(as_list), F.lit("}"),
     )
-    return payload_rows(plain, "body", _KEEP)
+
+
+def _items(spark, sf):
+    li = B.spread(_lines(spark, sf).withColumn("q", B.quarter_end()))
+    return payload_rows(li.select(*_KEEP, F.concat(F.lit("["), as_reported_row(), F.lit("]")).alias("body")), "body", _KEEP)
 
 
 ITEMS = """
@@ -366,16 +372,19 @@ def n16(spark, sf):
     return N.company_facts_merge(profile, shares, B.universe(spark, sf), as_of(), ["turn", "pos"])
 
 
+def insider_fields():
+    return {
+        "transactionDate": F.when(F.col("l_linenumber") != 6, _day()),
+        "shares": _t("l_quantity"), "price": F.when(~_is("R"), F.col("l_extendedprice")), "value": F.when(_is("A"), F.lit(1)),
+        "cik": F.when(_is("A"), _t("l_partkey")), "reportingName": F.concat(F.lit("Person "), F.floor(F.col("l_partkey") / 100)),
+        "url": F.when(_is("N"), F.lit("http://x/y")), "type": F.lit("S-Sale"), "securitiesOwned": F.when(~_is("N"), F.col("l_quantity") * 10),
+        "securityName": F.when(F.col("l_linenumber") <= 3, F.lit("Class A common stock")).otherwise(F.lit("Option")),
+        "form": F.lit("4"), "acquisitionOrDisposition": F.col("l_returnflag"),
+    }
+
+
 def insider_rows(spark, sf):
-    return B.landed(
-        _lines(spark, sf), _KEEP,
-        transactionDate=F.when(F.col("l_linenumber") != 6, _day()),
-        shares=_t("l_quantity"), price=F.when(~_is("R"), F.col("l_extendedprice")), value=F.when(_is("A"), F.lit(1)),
-        cik=F.when(_is("A"), _t("l_partkey")), reportingName=F.concat(F.lit("Person "), F.floor(F.col("l_partkey") / 100)),
-        url=F.when(_is("N"), F.lit("http://x/y")), type=F.lit("S-Sale"), securitiesOwned=F.when(~_is("N"), F.col("l_quantity") * 10),
-        securityName=F.when(F.col("l_linenumber") <= 3, F.lit("Class A common stock")).otherwise(F.lit("Option")),
-        form=F.lit("4"), acquisitionOrDisposition=F.col("l_returnflag"),
-    )
+    return B.landed(_lines(spark, sf), _KEEP, **insider_fields())
 
 
 TRANSACTIONS_SQL = """

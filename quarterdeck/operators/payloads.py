@@ -40,7 +40,7 @@ def words(*names: str) -> Column:
 # ---- prices -------------------------------------------------------------------------------------------------
 
 
-def build_prices(rows: DataFrame) -> DataFrame:
+def build_prices(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return rows.select(
         norm_symbol("symbol").alias("symbol"),
         day("date").alias("date"),
@@ -50,6 +50,7 @@ def build_prices(rows: DataFrame) -> DataFrame:
         num("close", "Close").alias("close"),
         num("adjClose", "adjustedClose", "adj_close").alias("adjClose"),
         num("volume", "Volume").alias("volume"),
+        *(keep or []),
     ).filter(F.col("date").isNotNull())
 
 
@@ -274,8 +275,8 @@ def build_dividends(rows: DataFrame, cutoff: str = fixed.HISTORY_CUTOFF, keep: l
     return out.filter(F.col("exDate") >= F.lit(cutoff).cast("date"))
 
 
-def build_dividends_from_calendar(rows: DataFrame, universe: DataFrame) -> DataFrame:
-    out = rows.select(row_symbol().alias("symbol"), day("date", "exDate", "exDividendDate").alias("exDate"), *_dividend_values())
+def build_dividends_from_calendar(rows: DataFrame, universe: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    out = rows.select(row_symbol().alias("symbol"), day("date", "exDate", "exDividendDate").alias("exDate"), *_dividend_values(), *(keep or []))
     return out.filter(F.col("exDate").isNotNull()).join(universe.select("symbol").distinct(), "symbol", "left_semi")
 
 
@@ -289,14 +290,14 @@ def _earnings_values() -> list[Column]:
     ]
 
 
-def build_earnings(rows: DataFrame, cutoff: str = fixed.HISTORY_CUTOFF) -> DataFrame:
-    out = rows.select(norm_symbol("symbol").alias("symbol"), day("date", "fiscalDateEnding", "earningsDate").alias("earningsDate"), *_earnings_values())
+def build_earnings(rows: DataFrame, cutoff: str = fixed.HISTORY_CUTOFF, keep: list[str] | None = None) -> DataFrame:
+    out = rows.select(norm_symbol("symbol").alias("symbol"), day("date", "fiscalDateEnding", "earningsDate").alias("earningsDate"), *_earnings_values(), *(keep or []))
     return out.filter(F.col("earningsDate") >= F.lit(cutoff).cast("date"))
 
 
-def build_earnings_from_calendar(rows: DataFrame, universe: DataFrame, last_updated: bool = False) -> DataFrame:
+def build_earnings_from_calendar(rows: DataFrame, universe: DataFrame, last_updated: bool = False, keep: list[str] | None = None) -> DataFrame:
     stamp = [F.substring(F.trim(F.coalesce(F.nullif(field("updated"), F.lit("")), field("lastUpdated"))), 1, 28).alias("lastUpdated")] if last_updated else []
-    out = rows.select(row_symbol().alias("symbol"), day("date", "earningsDate", "fiscalDateEnding").alias("earningsDate"), *_earnings_values(), *stamp)
+    out = rows.select(row_symbol().alias("symbol"), day("date", "earningsDate", "fiscalDateEnding").alias("earningsDate"), *_earnings_values(), *stamp, *(keep or []))
     return out.filter(F.col("earningsDate").isNotNull()).join(universe.select("symbol").distinct(), "symbol", "left_semi")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.scalars import col, norm_key, norm_symbol, pad_cik, pick_text, text
+from quarterdeck.sources.tables import path_exists
 
 _ROW = "map<string,string>"
 
@@ -31,15 +32,26 @@ def payload_rows(df: DataFrame, body: str = "body", keep: list[str] | None = Non
     return exploded.filter(F.col("r").isNotNull())
 
 
-def read_payload_json(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payload files, one response per file, with the symbol taken from the file name.
+def read_payload_json(spark: SparkSession, path: str, symbols: list[str] | None = None) -> DataFrame:
+    """Landed payload files below `path`: symbol, pos, r, and `at`, the place of the row in the feed (file, then position).
 
-    A response is bounded by the vendor's page size, so one file per row is safe; the rows spread over tasks
-    by file.
+    One response per file, in `SYMBOL.json` or in a folder `symbol=SYMBOL`; folders above it, such as chunks of one
+    series, only give the order. A response is bounded by the vendor's page size, so one file per row is safe; the rows spread over tasks
+    by file. `symbols` is a test on the file names alone, so Spark drops other files before it opens them. A folder
+    that is absent has no rows.
     """
-    raw = spark.read.text(path, wholetext=True)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)\.json[^/]*$", 1)
-    return payload_rows(raw.select(norm_symbol(name).alias("symbol"), F.col("value").alias("body")), "body", ["symbol"])
+    if not path_exists(spark, path):
+        files = spark.createDataFrame([], "symbol string, file string, body string")
+    else:
+        raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+        file = F.col("_metadata.file_path")
+        name = F.coalesce(*[F.nullif(F.regexp_extract(file, p, 1), F.lit("")) for p in (r"/symbol=([^/]+)/", r"([^/]+?)\.json[^/]*$")])
+        symbol = norm_symbol(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
+        if symbols is not None:
+            raw = raw.filter(symbol.isin(symbols))
+        files = raw.select(symbol.alias("symbol"), file.alias("file"), F.col("value").alias("body"))
+    rows = payload_rows(files, "body", ["symbol", "file"])
+    return rows.withColumn("at", F.struct("file", "pos")).drop("file")
 
 
 def field(name: str, rows: str = "r") -> Column:
