@@ -224,7 +224,7 @@ def mine(docs: DataFrame) -> DataFrame:
     inside = inside.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
     left = scored.join(inside, ["lang", "phrase"], "left").where("longer IS NULL OR longer < a")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # Compared as it is, so that tasks keep TOP rows of a language before the exchange.
+    # Candidates occur LEAST times at least, so a language has few of them next to its words; one task ranks them.
     ranked = left.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TOP)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
