@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,7 @@ from quarterdeck.schemas import TABLES, Table
 from quarterdeck.session import scratch_path
 from quarterdeck.sinks import upsert as K
 from quarterdeck.sinks import writers as W
+from quarterdeck.sinks.catalog_upsert import locations, upsert_table
 from quarterdeck.streaming.upserts import stream_upsert
 
 _TARGETS = TABLES["targets_snapshot"]
@@ -55,6 +58,20 @@ def k1_partitioned(spark, sf):
     return spark.read.parquet(path).drop("year")
 
 
+@query("K1_upsert_catalog_table", _UP, "od")
+def k1_catalog_table(spark, sf):
+    """The same rows through a catalog table, whose partitions are switched and never moved."""
+    name = f"targets_{uuid.uuid4().hex[:12]}"
+    root = scratch_path(spark, "targets_versions")
+    by = {"year": F.year("asOfDate").cast("string")}
+    for batch in _batches(spark, sf):
+        upsert_table(spark, name, root, batch, _TARGETS, pos=["o_orderkey"], partition_by=by)
+    rows = spark.table(name).drop("year")
+    rows = spark.read.schema(rows.schema).parquet(*locations(spark, name))
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return rows
+
+
 @query("K1_upsert_null_partition", _UP, "od")
 def k1_null_partition(spark, sf):
     """Partitions by a letter of the symbol, NULL for orders without one."""
