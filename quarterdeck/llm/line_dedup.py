@@ -141,23 +141,23 @@ def remove(docs: DataFrame) -> DataFrame:
     every = keyed(docs.select("doc_id", "text")).select("did", "th", wordy.alias("n")).where("n > 0").distinct()
     changed = every.join(kept.select("did", "th", F.size("kept").alias("m")), ["did", "th"], "left").where("m IS NULL OR m < n").select("did", "th")
     # Only texts that change are shuffled; the others pass as they are.
-    k = kept.select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("kept").alias("_kept"))
-    marked = flagged(docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_hash": F.xxhash64("text")}), materialise(changed.toDF("_id", "_hash"), "changed"), ["_id", "_hash"])
-    same = marked.where("NOT _flag").select(*[F.col(f"`{c}`") for c in docs.columns])
-    touched = marked.where("_flag")
-    joined = touched.join(k, (F.col("_id") == F.col("_did")) & (F.col("_hash") == F.col("_th")), "left")
+    k = kept.select("did", "th", "kept")
+    # The row travels as one column, so no name of the input can meet a helper column.
+    carried = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"), F.xxhash64("text").alias("th"))
+    marked = flagged(carried, materialise(changed, "changed"), ["did", "th"])
+    touched = marked.where("_flag").drop("_flag").join(k, ["did", "th"], "left")
     # Lines and kept numbers in one sorted array: a line that stays follows its own number.
     merged = F.expr(
         f"""sort_array(concat(
-          transform(split(text, '\\n'), (l, i) -> struct(i AS i, IF(l RLIKE '{WORD.replace(chr(92), chr(92) * 2)}', 1, 2) AS kind, l AS l)),
-          transform(coalesce(_kept, array()), i -> struct(i AS i, 0 AS kind, '' AS l))))"""
+          transform(split(row.text, '\\n'), (l, i) -> struct(i AS i, IF(l RLIKE '{WORD.replace(chr(92), chr(92) * 2)}', 1, 2) AS kind, l AS l)),
+          transform(coalesce(kept, array()), i -> struct(i AS i, 0 AS kind, '' AS l))))"""
     )
-    step = joined.withColumn("_m", merged)
-    stay = F.filter("_m", lambda x, i: (x["kind"] == 2) | ((x["kind"] == 1) & (F.get("_m", i - 1)["kind"] == 0) & (F.get("_m", i - 1)["i"] == x["i"])))
-    text = F.when(F.col("text").isNotNull(), F.array_join(F.transform(stay, lambda x: x["l"]), "\n"))
-    out = step.withColumn("_text", text)
-    cols = [F.col("_text").alias(c) if c == "text" else (F.length("_text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`")) for c, t in docs.dtypes]
-    return out.select(*cols).unionByName(same.select(*[F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes]))
+    step = touched.withColumn("merged", merged)
+    stay = F.filter("merged", lambda x, i: (x["kind"] == 2) | ((x["kind"] == 1) & (F.get("merged", i - 1)["kind"] == 0) & (F.get("merged", i - 1)["i"] == x["i"])))
+    text = F.when(F.col("row.text").isNotNull(), F.array_join(F.transform(stay, lambda x: x["l"]), "\n"))
+    done = step.select("row", text.alias("left")).unionByName(marked.where("NOT _flag").select("row", F.col("row.text").alias("left")))
+    at = lambda c: F.col("row")[c].alias(c)
+    return done.select(*[F.col("left").alias(c) if c == "text" else (F.length("left").cast(t).alias(c) if c == "n_chars" else at(c)) for c, t in docs.dtypes])
 
 
 def digest(docs: DataFrame) -> DataFrame:

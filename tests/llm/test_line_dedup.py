@@ -47,3 +47,12 @@ def test_odd_rows(spark):
     assert sorted(r.text for r in line_dedup.remove(docs).collect()) in (["a b c", "a b c", "d"], ["", "", "a b c\nd"])
     assert line_dedup.remove(docs.limit(0)).collect() == []
     assert line_dedup.digest(docs.limit(0)).collect() == []
+
+
+def test_other_columns_stay_as_they_are(spark):
+    names = ["_id", "_hash", "_flag", "_m", "_bucket", "_bits", "did", "th", "kept", "row", "merged", "left", "_text"]
+    rows = [(1, "one two three four five\nsix", *range(10, 23)), (2, "one two three four five\nseven", *range(30, 43)), (3, None, *range(50, 63))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = line_dedup.remove(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [rows[0], (2, "seven", *range(30, 43)), rows[2]]
