@@ -9,6 +9,7 @@ from quarterdeck.catalog.q_joins import daily_returns, facts, picked, probes
 from quarterdeck.catalog.registry import query
 from quarterdeck.functions.scalars import norm_symbol
 from quarterdeck.operators import aggregates as A
+from quarterdeck.session import scratch_path
 
 _T = ["period"]
 
@@ -225,6 +226,19 @@ def a20(spark, sf):
     )
 
 
+@query(
+    "A20_stored_counts",
+    "SELECT 'prices_eod' AS table_name, count(*) AS n_rows FROM prices UNION ALL SELECT 'dividends_events', -1 UNION ALL SELECT 'earnings_events', 0",
+    "prices",
+)
+def a20_stored(spark, sf):
+    """A stored table, one whose files are no Parquet, and one that is absent."""
+    folder = scratch_path(spark, "counted")
+    B.prices(spark, sf).write.parquet(f"{folder}/prices_eod.parquet")
+    B.dividends(spark, sf).select("symbol").write.text(f"{folder}/dividends_events.parquet")
+    return A.stored_counts(spark, folder, ["prices_eod", "dividends_events", "earnings_events"])
+
+
 @query(
     "A21_coverage_profile",
     "SELECT count(*) AS n_rows, count(DISTINCT symbol) AS n_keys, " + ", ".join(f'count("{c}") AS "{c}"' for c in _LATEST) + " FROM fin",

@@ -5,7 +5,9 @@ Trailing blocks count rows, not quarters: two periods on one fiscal date count t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,6 +16,7 @@ from quarterdeck.functions.scalars import safe_div
 from quarterdeck.operators.joins import asof_backward, asof_nearest
 from quarterdeck.operators.series import beta_of, rolling_ttm_ratio, top_n_per_key
 from quarterdeck.schemas import q
+from quarterdeck.sources.tables import path_exists
 
 FLOW_SUMS = [
     "netIncome", "revenue", "EBITDA", "freeCashFlow", "operatingCashFlow", "dividendsPaid",
@@ -228,6 +231,25 @@ def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     return out
 
 
+def stored_counts(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """Rows per stored table of `folder`: 0 for an absent one, -1 for one that cannot be read.
+
+    A count without columns reads Parquet footers, no data pages. The names are few, so one small job each is enough to
+    tell which table is broken.
+    """
+    counts = []
+    for name in names:
+        path = f"{folder}/{name}.parquet"
+        if not path_exists(spark, path):
+            counts.append((name, 0))
+            continue
+        try:
+            counts.append((name, spark.read.parquet(path).count()))
+        except (PySparkException, Py4JJavaError):
+            counts.append((name, -1))
+    return spark.createDataFrame(counts, "table_name string, n_rows long")
+
+
 def coverage_profile(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     """Non-NULL count per column, rows and distinct keys, as one row."""
     n_keys = F.count_distinct(F.struct(*[F.col(q(k)) for k in keys])).alias("n_keys")

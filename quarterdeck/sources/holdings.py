@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import fixed
@@ -46,6 +46,22 @@ def cells_of(line: Column, sep: str) -> Column:
     )
 
 
+def records(lines: DataFrame, file: str, pos: str, line: str) -> DataFrame:
+    """Physical lines put together to records: a line break inside quotes does not end one.
+
+    A record starts where the quotes before it are even in number; a quote in the middle of a bare cell, as in
+    `2" PIPE`, is text and not counted. The running count is one window over a file, which was one row before.
+    """
+    structural = F.regexp_replace(F.col(line), '(?<=[^",;\\t])"(?=[^",;\\t])', "")
+    quotes = F.length(structural) - F.length(F.replace(structural, F.lit(_QUOTE), F.lit("")))
+    before = Window.partitionBy(file).orderBy(pos)
+    counted = lines.withColumn("_before", F.coalesce(F.sum(quotes).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = counted.withColumn("_record", F.sum((F.col("_before") % 2 == 0).cast("int")).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    others = [c for c in lines.columns if c not in (file, pos, line)]
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(pos, line))), lambda x: x[line]), "\n").alias(line)
+    return numbered.groupBy(file, "_record").agg(F.min(pos).alias(pos), joined, *[F.first(c).alias(c) for c in others]).drop("_record")
+
+
 def holdings_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line: str = "line") -> DataFrame:
     """Data rows of many holdings files as (file, pos, lower-case header names, cells).
 
@@ -61,7 +77,8 @@ def holdings_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line:
         .withColumn("_sep", separator("_head"))
         .filter(F.col("_sep").isNotNull())
     )
-    body = clean.join(heads, file).filter((F.col(pos) > F.col("_head_pos")) & (F.trim(F.col(line)) != ""))
+    body = records(clean.join(heads, file).filter(F.col(pos) > F.col("_head_pos")), file, pos, line)
+    body = body.filter(F.trim(F.col(line)) != "")
 
     def by_sep(c: Column) -> Column:
         return (
@@ -77,8 +94,13 @@ def holdings_rows(lines: DataFrame, file: str = "file", pos: str = "pos", line:
 
 
 def read_holdings(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of holdings files. Fund files are small by nature; each is one row until it is split in lines."""
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    """A folder of holdings files. Fund files are small by nature; each is one row until it is split in lines.
+
+    A file that is not valid UTF-8 is read as Latin-1.
+    """
+    text = F.col("content").cast("string")
+    value = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
+    raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), value.alias("value"))
     return holdings_rows(raw.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "line")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.catalog import bindings as B
 from quarterdeck.functions import fixed
+from quarterdeck.operators import aggregates
 from quarterdeck.plans import company_facts, factors, universe
 from quarterdeck.sources.holdings import read_holdings
 from quarterdeck.sources.payloads import read_payload_json
@@ -95,3 +96,21 @@ def test_universe_file(spark, tmp_path):
     rows = read_universe(spark, str(tmp_path / "u.csv"))
     assert rows.columns == ["Ticker", "Name", "Sector"]
     assert {tuple(r) for r in rows.collect()} == {("AAA", "x", "y"), ("BBB", "", "")}
+
+
+def test_holdings_records(spark, tmp_path):
+    """A line break and a separator inside quotes, a quote as text, and a file in Latin-1."""
+    text = 'Fund "A\n\nTicker,Name,Weight (%)\nAAA,"FIRST\nSECOND, THIRD",1\nBBB,2" PIPE CO,2\nCCC,"SAYS ""HI""",3\nDDD,\u00c9TABLISSEMENTS,4\n'
+    (tmp_path / "one.csv").write_bytes(text.encode("utf-8-sig"))
+    (tmp_path / "two.csv").write_bytes(text.encode("latin1"))
+    for name in ("one", "two"):
+        rows = read_holdings(spark, str(tmp_path / f"{name}.csv")).orderBy("pos").collect()
+        assert [r.cells for r in rows] == [["AAA", "FIRST\nSECOND, THIRD", "1"], ["BBB", '2" PIPE CO', "2"], ["CCC", 'SAYS "HI"', "3"], ["DDD", "\u00c9TABLISSEMENTS", "4"]]
+
+
+def test_stored_counts(spark, tmp_path):
+    spark.range(7).write.parquet(str(tmp_path / "good.parquet"))
+    (tmp_path / "broken.parquet").mkdir()
+    (tmp_path / "broken.parquet" / "part-0.parquet").write_bytes(b"PAR1 no table")
+    counts = {r.table_name: r.n_rows for r in aggregates.stored_counts(spark, str(tmp_path), ["good", "broken", "absent"]).collect()}
+    assert counts == {"good": 7, "broken": -1, "absent": 0}
