@@ -3,7 +3,8 @@
 A line is the set of its words. Lines with equal sets are one class, named by the first line. The words of a class are
 ordered by rarity; two sets of similarity 0.8 share a word in their short prefixes of rarest words. Classes that
 share a prefix word and pass the length and the positional filter are candidates; Jaccard is verified on the
-words themselves, read again from the documents that hold candidates. A line goes if an earlier line (by doc_id, text hash,
+words themselves, read again from the documents that hold candidates. Each class meets the earliest class of its prefix
+words first; the classes that are left are then joined with all, so a template's lines make no square of pairs. A line goes if an earlier line (by doc_id, text hash,
 line number) has a similarity of 0.8 or more, judged on the input.
 
 Rarity comes from counters of all words by hash, one byte each on a log scale; the table has a fixed size and goes
@@ -25,11 +26,14 @@ WORD = r"[^\x20\x09-\x0D]"
 COUNTERS = 1 << 20
 #: Similarity 4 / 5; lines of fewer words than LEAST match equal sets only.
 LEAST = 4
+#: Rarest words of a class that are tried for its first partner; more of them only move work between the two joins.
+HUB_WORDS = 3
 _NO_ID = -(1 << 63)
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, SPACE), "")
+    plain = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, SPACE, " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def rarity(docs: DataFrame) -> bytes:
@@ -48,7 +52,7 @@ def lines(docs: DataFrame, table: bytes) -> DataFrame:
     split = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"), F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     split = split.where(F.col("line").rlike(WORD))
     words = F.array_distinct(_words(F.col("line")))
-    coded = split.select("did", "th", "line_no", F.sort_array(F.transform(words, lambda w: _rank(w, table))).alias("codes"))
+    coded = split.select("did", "th", "line_no", F.sort_array(F.transform(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _rank(h, table))).alias("codes"))
     n = F.size("codes")
     return coded.select(
         "did",
@@ -57,32 +61,52 @@ def lines(docs: DataFrame, table: bytes) -> DataFrame:
         n.alias("n"),
         F.xxhash64("codes").alias("k1"),
         F.xxhash64(F.lit(1), "codes").alias("k2"),
-        F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int")))).alias("parity"),
+        F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).alias("parity"),
         F.transform(F.slice("codes", 1, (n - F.ceil(n * 4 / 5) + 1).cast("int")), lambda c: F.hash(c)).alias("prefix"),
     )
 
 
-def _rank(word: Column, table: bytes) -> Column:
+def _rank(h: Column, table: bytes) -> Column:
     """Rarity in the high bits, then the hash of the word: ascending order is rarest first."""
-    h = F.xxhash64(word)
     byte = F.substring(F.lit(table), F.pmod(h, F.lit(COUNTERS)).cast("int") + 1, F.lit(1))
     return F.ascii(byte.cast("string")).cast("long") * F.lit(1 << 56) + F.shiftrightunsigned(h, 8)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of class ids that share a prefix word and pass the length, positional and parity filters.
+#: Length, prefix and positional filters for a word shared at pa and pb, and the parity filter: two sets differ in at least
+#: as many words as their parity bits do, and at similarity 0.8 in (na + nb) / 9 at most.
+_FILTERS = """5 * na >= 4 * nb AND 5 * nb >= 4 * na
+  AND 9 * bit_count(qa ^ qb) <= na + nb
+  AND pa + ceil((na + nb) * 4 / 9) <= na AND pb + ceil((na + nb) * 4 / 9) <= nb
+  AND least(pa, pb) + least(na - pa, nb - pb) >= ceil((na + nb) * 4 / 9)"""
 
-    Two sets differ in at least as many words as their parity bits do, and at similarity 0.8 in (na + nb) / 9 at most.
+
+def _named(rows: DataFrame, k: str) -> DataFrame:
+    names = {"id": k, "did": f"d{k}", "n": f"n{k}", "p": f"p{k}", "parity": f"q{k}", "open": f"o{k}"}
+    return rows.withColumnsRenamed(names)
+
+
+def entries(classes: DataFrame, *more: str) -> DataFrame:
+    """One row per class and word of its prefix: id, did, n, parity, p (place in the prefix), code."""
+    return classes.where(F.col("n") >= LEAST).select("id", "did", "n", "parity", *more, F.posexplode("prefix").alias("p", "code"))
+
+
+def hub_pairs(classes: DataFrame) -> DataFrame:
+    """Candidates (a, b): each class with the earliest class of its rarest words and its length, at most one pair a word."""
+    rows = entries(classes).where(F.col("p") < HUB_WORDS).withColumn("band", F.floor(4 * F.log2("n")).cast("int"))
+    hubs = rows.groupBy("code", "band").agg(F.min(F.struct("did", "id", "n", "p", "parity")).alias("h"), F.count("*").alias("m")).where("m > 1")
+    hubs = _named(hubs.select("code", "band", "h.*"), "a")
+    pairs = _named(rows, "b").join(hubs, ["code", "band"]).where(f"a <> b AND {_FILTERS}")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def open_pairs(classes: DataFrame) -> DataFrame:
+    """Candidates (a, b) among `classes`, which have a column `open`; a pair needs an open class on its later side.
+
+    Both sides of the join have the same columns and no filter of their own, so one exchange of the entries serves both.
     """
-    rows = classes.where(F.col("n") >= LEAST).select("id", "n", "parity", F.posexplode("prefix").alias("p", "code"))
-    x = rows.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("parity").alias("qa"))
-    y = rows.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("parity").alias("qb"))
-    need = "ceil((na + nb) * 4 / 9)"
-    keep = f"""(na < nb OR (na = nb AND a < b)) AND 5 * na >= 4 * nb
-      AND pa <= na - ceil(na * 8 / 9)
-      AND 9 * bit_count(qa ^ qb) <= na + nb
-      AND least(pa, pb) + least(na - pa, nb - pb) >= {need}"""
-    return x.join(y, "code").where(keep).select("a", "b").distinct()
+    rows = entries(classes, "open")
+    later = "((da <= db AND ob) OR (db <= da AND oa))"
+    return _named(rows, "a").join(_named(rows, "b"), "code").where(f"a < b AND {later} AND {_FILTERS}").select("a", "b").distinct()
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -97,35 +121,30 @@ def _later(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return close.select(F.when(F.col("sa") < F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
 
 
+def _resembling(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Ids of the classes that are the later side of a similar pair; words are read from the documents again."""
+    spot = ["did", "th", "line_no"]
+    places = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", *spot), "id")
+    places = materialise(places, "line-places")
+    texts = only_flagged(keyed(docs).select("did", "th", "text"), places.select("did", "th").distinct(), ["did", "th"])
+    # Lines are filtered before the exchange, so whole texts are not shuffled.
+    found = only_flagged(texts.select("did", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line")), places.select(*spot), spot)
+    words = found.join(places, spot).select("id", F.struct(*spot).alias("spot"), F.array_distinct(_words(F.col("line"))).alias("w"))
+    words = words.groupBy("id").agg(F.first("spot").alias("spot"), F.first("w").alias("w"))  # repeated rows hold a line twice
+    return materialise(_later(pairs, materialise(words, "line-words")), "later-lines")
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
     """did, th and `kept`: the numbers of the lines of a document that stay, wordless lines not counted."""
     docs = docs.select("doc_id", "text")
     found = lines(docs, rarity(docs))
     classes = found.groupBy("k1", "k2").agg(F.min(F.struct("did", "th", "line_no", "n", "parity", "prefix")).alias("f"))
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("id"), "f.*"), "line-classes")
-    pairs = materialise(candidates(classes), "line-pairs")
-    places = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "did", "th", "line_no"), "id")
-    places = materialise(places, "line-places")
-    texts = only_flagged(keyed(docs).select("did", "th", "text"), places.select("did", "th").distinct(), ["did", "th"])
-    words = texts.join(places.groupBy("did", "th").agg(F.collect_list(F.struct("id", "line_no")).alias("at")), ["did", "th"])
-    words = words.select(F.split("text", "\n").alias("ls"), "at").select("ls", F.explode("at").alias("p"))
-    words = words.select("p.id", "p.line_no", F.array_distinct(_words(F.get("ls", "p.line_no"))).alias("w"))
-    words = words.groupBy("id").agg(F.first("w").alias("w"))  # repeated rows hold a line twice
-    spots = places.select("id", F.struct("did", "th", "line_no").alias("spot"))
-    words = materialise(words.join(spots, "id"), "line-words")
-    # One candidate of every class first. In a group of near copies that settles all but the first, and a pair whose
-    # later class already goes needs no test.
-    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
-    one = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = materialise(_later(one, words), "later-lines")
-    gone = lambda k: first.select(F.col("id").alias(k), F.lit(True).alias(f"_{k}"))
-    rest = pairs.join(gone("a"), "a", "left").join(gone("b"), "b", "left").where("_a IS NULL OR _b IS NULL").select("a", "b")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(one, ["a", "b"], "left_anti")
-    spot = lambda k: spots.select(F.col("id").alias(k), F.col("spot").alias(f"s{k}"))
-    turned = rest.join(spot("a"), "a").join(spot("b"), "b").select("a", "b", F.when(F.col("sa") < F.col("sb"), F.col("b")).otherwise(F.col("a")).alias("id"))
-    rest = materialise(turned.join(first, "id", "left_anti").select("a", "b"), "open-pairs")
-    later = first.unionByName(_later(rest, words)).distinct()
-    stay = classes.join(later, "id", "left_anti")
+    # Classes of a template go by its earliest class, so only what is left after that is joined with all.
+    first = _resembling(docs, classes, materialise(hub_pairs(classes), "hub-pairs"))
+    marked = classes.join(first.withColumn("gone", F.lit(True)), "id", "left").withColumn("open", F.col("gone").isNull())
+    rest = _resembling(docs, classes, materialise(open_pairs(marked), "open-pairs"))
+    stay = classes.join(first.unionByName(rest).distinct(), "id", "left_anti")
     return stay.groupBy("did", "th").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
 

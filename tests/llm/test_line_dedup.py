@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from quarterdeck.llm import line_dedup
 
 
@@ -56,3 +58,24 @@ def test_other_columns_stay_as_they_are(spark):
     got = line_dedup.remove(docs)
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect())) == [rows[0], (2, "seven", *range(30, 43)), rows[2]]
+
+
+def test_candidates_of_a_template_grow_in_proportion(spark):
+    """Lines that differ in the last word: the first join settles them, and the second has one open line left."""
+    counts = []
+    for m in (200, 400):
+        rows = [(i, f"alpha beta gamma delta epsilon zeta eta theta iota x{i}") for i in range(m)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        found = line_dedup.lines(docs, line_dedup.rarity(docs)).withColumn("id", F.col("did"))
+        first = line_dedup.hub_pairs(found)
+        gone = first.select(F.col("b").alias("id"))
+        still = found.join(gone.withColumn("gone", F.lit(True)), "id", "left").withColumn("open", F.col("gone").isNull())
+        counts.append(first.count() + line_dedup.open_pairs(still).count())
+        assert sorted(r.doc_id for r in line_dedup.remove(docs).where("text <> ''").collect()) == [0]
+    assert counts[0] <= 2 * 200 and counts[1] <= 2 * 400
+
+
+def test_very_long_lines(spark):
+    long = " ".join(f"w{i}" for i in range(20000))
+    docs = spark.createDataFrame([(1, long), (2, long + " tail"), (3, " ".join(f"v{i}" for i in range(20000)))], "doc_id long, text string")
+    assert {r.doc_id: len(r.text) for r in line_dedup.remove(docs).collect()} == {1: len(long), 2: 0, 3: len(long)}
