@@ -129,8 +129,8 @@ def _resembling(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFr
     texts = only_flagged(keyed(docs).select("did", "th", "text"), places.select("did", "th").distinct(), ["did", "th"])
     # Lines are filtered before the exchange, so whole texts are not shuffled.
     found = only_flagged(texts.select("did", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line")), places.select(*spot), spot)
-    words = found.join(places, spot).select("id", F.struct(*spot).alias("spot"), F.array_distinct(_words(F.col("line"))).alias("w"))
-    words = words.groupBy("id").agg(F.first("spot").alias("spot"), F.first("w").alias("w"))  # repeated rows hold a line twice
+    words = found.join(places, spot).groupBy(*spot, "id").agg(F.first("line").alias("line"))  # repeated rows hold a line twice
+    words = words.select("id", F.struct(*spot).alias("spot"), F.array_distinct(_words(F.col("line"))).alias("w"))
     return materialise(_later(pairs, materialise(words, "line-words")), "later-lines")
 
 
@@ -142,7 +142,9 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("id"), "f.*"), "line-classes")
     # Classes of a template go by its earliest class, so only what is left after that is joined with all.
     first = _resembling(docs, classes, materialise(hub_pairs(classes), "hub-pairs"))
-    marked = classes.join(first.withColumn("gone", F.lit(True)), "id", "left").withColumn("open", F.col("gone").isNull())
+    still = materialise(classes.select("id").join(first, "id", "left_anti"), "open-lines")
+    # The flag may call a class open that is not, which costs a candidate and changes no result; classes aren't shuffled.
+    marked = flagged(classes, still, ["id"]).withColumnRenamed("_flag", "open")
     rest = _resembling(docs, classes, materialise(open_pairs(marked), "open-pairs"))
     stay = classes.join(first.unionByName(rest).distinct(), "id", "left_anti")
     return stay.groupBy("did", "th").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
