@@ -50,7 +50,7 @@ def w3(spark, sf):
     digits=8,
 )
 def w4(spark, sf):
-    return W.sma(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "sma20", "sma50", "sma200")
+    return W.sma(B.adjusted(spark, sf)).select("symbol", "date", "sma20", "sma50", "sma200")
 
 
 @query(
@@ -62,7 +62,7 @@ FROM ind WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 249 PRECEDING)""",
     "ind",
 )
 def w5(spark, sf):
-    return W.high_low(B.adjusted(spark, sf), W.by_key()).select("symbol", "date", "high_n", "low_n")
+    return W.high_low(B.adjusted(spark, sf)).select("symbol", "date", "high_n", "low_n")
 
 
 @query(

@@ -47,17 +47,42 @@ def volume_ratio(df: DataFrame, w: WindowSpec, n: int = 63, volume: str = "volum
     return df.withColumn("avg_volume", avg).withColumn("rel_volume", safe_div(volume, "avg_volume"))
 
 
-def sma(df: DataFrame, w: WindowSpec, lengths: tuple[int, ...] = (20, 50, 200), close: str = "close") -> DataFrame:
-    return df.select("*", *[enough(w, n, F.avg(close).over(w.rowsBetween(1 - n, 0))).alias(f"sma{n}") for n in lengths])
+def _in_blocks(df: DataFrame, n: int, parts: dict[str, Column], key: str, date: str) -> DataFrame:
+    """`df` with, for each aggregate of `parts`, `<name>_up` and `<name>_down`.
 
-
-def high_low(df: DataFrame, w: WindowSpec, n: int = 250, close: str = "close") -> DataFrame:
-    frame = w.rowsBetween(1 - n, 0)
-    return df.select(
-        "*",
-        enough(w, n, F.max(close).over(frame)).alias("high_n"),
-        enough(w, n, F.min(close).over(frame)).alias("low_n"),
-    )
+    The rows of a key are cut into blocks of n. `up` folds a block from its first row to the current one; `down` folds
+    the block that the row n - 1 places back lies in, from that row to its end. The last n rows are `down` and `up`
+    together, or `up` alone where they are one whole block, so a row is folded twice whatever n is, and nothing is subtracted.
+    """
+    place = F.row_number().over(by_key(key, date)) - 1
+    cut = df.withColumn("_place", place).withColumn("_block", F.floor(F.col("_place") / n))
+    block = Window.partitionBy(key, "_block")
+    up = cut.select("*", *[c.over(block.orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)).alias(f"{k}_up") for k, c in parts.items()])
+    # From the end of a block backwards, as Spark folds a frame that ends at its last row anew for every row.
+    down = up.select("*", *[c.over(block.orderBy(F.desc("_place")).rowsBetween(Window.unboundedPreceding, 0)).alias(f"_{k}") for k, c in parts.items()])
+    back = Window.partitionBy(key).orderBy("_place")
+    partial = (F.col("_place") + 1) % n != 0
+    out = down.select("*", *[F.when(partial, F.lag(f"_{k}", n - 1).over(back)).alias(f"{k}_down") for k in parts])
+    return out.withColumn("_full", F.col("_place") + 1 >= n).drop("_place", "_block", *[f"_{k}" for k in parts])
+
+
+def sma(df: DataFrame, lengths: tuple[int, ...] = (20, 50, 200), close: str = "close", key: str = "symbol", date: str = "date") -> DataFrame:
+    """`sma<n>` for each length: the mean of the last n closes, NULL ones left out, once n rows exist."""
+    for n in lengths:
+        df = _in_blocks(df, n, {"_sum": F.sum(close), "_num": F.count(close)}, key, date)
+        total = F.when(F.col("_sum_down").isNull(), F.col("_sum_up")).when(F.col("_sum_up").isNull(), F.col("_sum_down")).otherwise(F.col("_sum_up") + F.col("_sum_down"))
+        number = F.col("_num_up") + F.coalesce("_num_down", F.lit(0))
+        df = df.withColumn(f"sma{n}", F.when(F.col("_full") & (number > 0), total / F.nullif(number, F.lit(0))))
+        df = df.drop("_full", "_sum_up", "_sum_down", "_num_up", "_num_down")
+    return df
+
+
+def high_low(df: DataFrame, n: int = 250, close: str = "close", key: str = "symbol", date: str = "date") -> DataFrame:
+    """`high_n` and `low_n` of the last n rows, once n rows exist."""
+    out = _in_blocks(df, n, {"_max": F.max(close), "_min": F.min(close)}, key, date)
+    high = F.when(F.col("_full"), F.greatest("_max_up", "_max_down")).alias("high_n")
+    low = F.when(F.col("_full"), F.least("_min_up", "_min_down")).alias("low_n")
+    return out.select(*df.columns, high, low)
 
 
 def returns(close: Column | str, w: WindowSpec) -> Column:

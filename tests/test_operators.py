@@ -32,11 +32,29 @@ def one(df, column):
 
 def test_rows_not_values_open_a_window(rows):
     px = rows("symbol string, date date, close double", *[("A", d, None if i == 3 else float(i)) for i, d in enumerate(days(21))])
-    got = one(W.sma(px, W.by_key(), (20,)).orderBy("date"), "sma20")
+    got = one(W.sma(px, (20,)).orderBy("date"), "sma20")
     assert got[18] is None
     assert got[19] == pytest.approx(sum(x for x in range(20) if x != 3) / 19)
 
 
+def test_block_windows_equal_plain_windows(rows):
+    rnd = random.Random(5)
+    values = {k: [None if rnd.random() < 0.3 else rnd.uniform(1, 9) for _ in range(m)] for k, m in (("A", 23), ("B", 4), ("C", 12))}
+    values["D"] = [None] * 9
+    px = rows("symbol string, date date, close double", *[(k, d, x) for k, v in values.items() for d, x in zip(days(len(v)), v, strict=True)])
+    for n in (1, 2, 4, 5):
+        got = {}
+        for r in W.high_low(W.sma(px, (n,)), n).orderBy("symbol", "date").collect():
+            got.setdefault(r.symbol, []).append((r[f"sma{n}"], r.high_n, r.low_n))
+        for k, v in values.items():
+            for i, triple in enumerate(got[k]):
+                last = [x for x in v[max(0, i - n + 1) : i + 1] if x is not None]
+                if i + 1 < n or not last:
+                    assert triple == (None, None, None), (k, n, i)
+                else:
+                    assert triple == (pytest.approx(sum(last) / len(last)), max(last), min(last)), (k, n, i)
+
+
 def test_volatility_needs_every_return(rows):
     px = rows("symbol string, date date, close double", *[("A", d, None if i == 2 else 100.0 + i % 3) for i, d in enumerate(days(9))])
     got = one(W.volatility(px, W.by_key(), 4).orderBy("date"), "volatility")
@@ -67,7 +85,7 @@ def test_latest_indicators_equal_the_window_operators(rows):
     data = [("A", d, 60.0 + rnd.random(), 40.0 + rnd.random(), rnd.uniform(41, 59), float(rnd.randint(1, 9))) for d in days(300, "2023-03-01")]
     px = rows("symbol string, date date, high double, low double, close double, volume double", *data)
     w = W.by_key()
-    steps = W.atr(W.volatility(W.high_low(W.sma(W.volume_ratio(px, w), w), w), w), w)
+    steps = W.atr(W.volatility(W.high_low(W.sma(W.volume_ratio(px, w))), w), w)
     want = W.perf_ytd(W.perf(steps, w)).orderBy(F.col("date").desc()).first()
     got = W.latest_price_indicators(px).first()
     pairs = {"SMA20": "sma20", "SMA200": "sma200", "52W High": "high_n", "52W Low": "low_n", "Volatility": "volatility", "ATR(14)": "atr",
