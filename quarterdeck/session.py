@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -26,6 +27,12 @@ def build_session(app: str = "quarterdeck", master: str | None = None, shuffle_p
     return b.getOrCreate()
 
 
+@functools.cache
+def _local_dir() -> str:
+    """One folder per process; the setting itself can't be changed in a running session."""
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp" if os.path.isdir("/tmp") else None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach: `spark.checkpoint.dir`.
 
@@ -36,8 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        conf = tempfile.mkdtemp(prefix="spark-", dir="/tmp" if os.path.isdir("/tmp") else None)
-        spark.conf.set("spark.checkpoint.dir", conf)
+        return _local_dir()
     return conf
 
 
