@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarterdeck.catalog import bindings as B
 from quarterdeck.catalog.q_aggregates import DILUTION, EPS_YOY
 from quarterdeck.catalog.q_formulas import DIVIDEND_SUMS, GROWTH, INDICATORS, PLACES, WIDE, growth_sql
-from quarterdeck.catalog.q_joins import RESOLVED, facts, holdings_pairs
+from quarterdeck.catalog.q_joins import _CONCEPT, _INTEREST, RESOLVED, facts, holdings_pairs
 from quarterdeck.catalog.q_payloads import TRANSACTIONS_SQL, insider_rows
 from quarterdeck.catalog.registry import query
 from quarterdeck.functions import fixed
@@ -19,6 +19,7 @@ from quarterdeck.plans import ingest as I
 from quarterdeck.plans import quality as Q
 from quarterdeck.plans import universe as U
 from quarterdeck.session import scratch_path
+from quarterdeck.sources.xbrl import read_concept_records
 
 # ---- C1 ------------------------------------------------------------------------------------------------------
 
@@ -221,6 +222,35 @@ def c3(spark, sf):
     return C.quarters_of_documents(spark, B.documents(spark, sf), "body", "doc_pos")
 
 
+_FOUND = f"""
+SELECT i.cik, i.slot, 'InterestExpense' AS metric, CASE WHEN i.tag IS NULL THEN c."end" ELSE CAST(i."end" AS DATE) END AS "end", CASE WHEN i.tag IS NULL THEN c."start" ELSE i.start_date END AS "start",
+  coalesce(i.val, c.val) AS val, coalesce(i.tag, c.tag) AS tag, coalesce(i.accn, c.accn) AS accn, CASE WHEN i.tag IS NULL THEN 'CONCEPT' ELSE i.match_basis END AS match_basis, coalesce(i.interest_source, c.interest_source) AS interest_source
+FROM ({_INTEREST}) i LEFT JOIN ({_CONCEPT}) c ON c.cik = i.cik AND c.slot = i.slot WHERE coalesce(i.tag, c.tag) IS NOT NULL"""
+_TRACED = f"""
+SELECT *, CASE WHEN metric IN ('Revenue', 'NetIncome', 'InterestExpense', 'CostOfRevenue', 'SGnA') THEN CASE k WHEN 1 THEN val WHEN 2 THEN val - prev END END AS qv
+FROM (SELECT *, CASE WHEN k > 0 THEN lag(val) OVER (PARTITION BY cik, metric, "start", k > 0 ORDER BY slot DESC) END AS prev
+  FROM (SELECT *, CASE WHEN d BETWEEN 70 AND 110 THEN 1 WHEN d >= 330 OR d BETWEEN 150 AND 320 THEN 2 ELSE 0 END AS k
+    FROM (SELECT *, date_diff('day', "start", "end") AS d FROM (
+      SELECT cik, slot, metric, "end", "start", val, tag, accn, match_basis, NULL::VARCHAR AS interest_source FROM picked WHERE metric <> 'InterestExpense' UNION ALL {_FOUND}))))"""
+
+
+@query(
+    "C3_traced_quarters",
+    f"""
+SELECT t.cik, t.slot, CAST(s."end" AS VARCHAR) AS slot_end, metric, round(val, 6) AS val, round(qv, 6) AS quarter_value, tag, t.accn, match_basis, interest_source, derived_source, NULL::VARCHAR AS contamination_flag,
+  CASE WHEN abs(w.a) >= 1e-12 THEN abs(w.a - (w.l + w.e)) / abs(w.a) <= 0.01 END AS balance_sheet_ok, round(CASE WHEN abs(w.a) >= 1e-12 THEN abs(w.a - (w.l + w.e)) / abs(w.a) END, 6) AS bs_diff_pct
+FROM (
+  SELECT cik, slot, metric, val, qv, tag, accn, match_basis, interest_source, NULL::VARCHAR AS derived_source FROM ({_TRACED})
+  UNION ALL SELECT cik, slot, 'GrossProfit', CASE WHEN abs(rev) >= 1e-12 THEN rev - cost END AS v, CASE WHEN abs(rev_q) >= 1e-12 THEN rev_q - cost_q END, NULL, NULL, NULL, NULL, CASE WHEN v IS NOT NULL THEN 'REV-COGS' END FROM ({WIDE})
+  UNION ALL SELECT cik, slot, 'OperatingExpenses', sga, sga_q, NULL, NULL, NULL, NULL, CASE WHEN sga IS NOT NULL THEN 'SGnA+RD' END FROM ({WIDE})) t
+JOIN slots s ON s.cik = t.cik AND s.slot = t.slot LEFT JOIN ({WIDE}) w ON w.cik = t.cik AND w.slot = t.slot
+WHERE t.slot <= 8 AND (val IS NOT NULL OR qv IS NOT NULL)""",
+    "slots quarterised concepts",
+)
+def c3_traced(spark, sf):
+    return C.traced_quarters(spark, facts(spark, sf), read_concept_records(B.concept_documents(spark, sf)))
+
+
 def universe_lines(spark, sf):
     """Customers as universe lines: ten on each company, some excluded, some without a listing."""
     c, k = B.table(spark, sf, "customer"), F.col("c_nationkey")
@@ -260,20 +290,43 @@ def c4_counts(spark, sf):
     return C.outcome_counts(report(spark, sf))
 
 
-@query("C4_extraction_run", f"SELECT ticker, name, reason, coalesce(cik, '') AS cik FROM ({_REPORT})", "sup")
-def c4_run(spark, sf):
-    """The job over landed documents, some of them cut off or missing; its report is read back."""
+def landed_facts(spark, sf):
+    """Company documents with their landed names: every tenth cut off, every tenth missing, silent companies as empty ones."""
     cik = F.substring("symbol", 2, 9).cast("long")
-    docs = B.documents(spark, sf).withColumn("key", F.concat(F.lit("CIK"), F.lpad(cik.cast("string"), 10, "0"), F.lit(".json")))
+    docs = B.documents(spark, sf).withColumn("key", F.concat(F.lit("2024-05-01/CIK"), F.lpad(cik.cast("string"), 10, "0"), F.lit(".json")))
     docs = docs.filter(cik % 10 < 9).select("key", F.when(cik % 10 == 8, F.substring("body", 1, 60)).otherwise(F.col("body")).alias("body"))
     # Companies that file nothing in these data count as landed empty documents.
     silent = listing(spark, sf).filter(F.col("cik") % 10 < 8).select(F.concat(F.lit("CIK"), "cik").alias("key"), F.format_string('{"cik": %d, "facts": {}}', F.col("cik").cast("long")).alias("body"))
+    return docs.unionByName(silent)
+
+
+@query("C4_extraction_run", f"SELECT ticker, name, reason, coalesce(cik, '') AS cik FROM ({_REPORT})", "sup")
+def c4_run(spark, sf):
+    """The job over landed documents, some of them cut off or missing; its report is read back."""
     out = scratch_path(spark, "extraction")
-    C.run(spark, universe_lines(spark, sf), listing(spark, sf), docs.unionByName(silent), out, report_only=True)
+    C.run(spark, universe_lines(spark, sf), listing(spark, sf), landed_facts(spark, sf), out, report_only=True)
     back = spark.read.csv(f"{out}/universe_extraction_report", header=True)
     return back.select("ticker", "name", "reason", F.coalesce("cik", F.lit("")).alias("cik"))
 
 
+_BASE = ", ".join("CAST(x.fy AS BIGINT) AS fy" if c == "fy" else f'r."{c}"' if c in ("ticker", "cik", "name", "sector") else f'x."{c}"' for c in C.BASE)
+_VALUES = ", ".join('CASE WHEN "Revenue" = 0 AND "GrossProfit" > 0 THEN NULL ELSE "Revenue" END AS "Revenue"' if c == "Revenue" else f'x."{c}"' for c in [*C.metric_columns(), *C.CHECKS])
+
+
+@query(
+    "C4_extraction_metrics",
+    f"SELECT {_BASE}, {_VALUES} FROM ({_REPORT}) r JOIN ({QUARTERS_SQL}) x ON x.cik = r.cik WHERE r.reason IN ('ok', 'duplicate_cik_copy')",
+    "sup slots quarterised",
+)
+def c4_metrics(spark, sf):
+    """The whole job over landed documents, broken ones included; its quarterly file is read back."""
+    out = scratch_path(spark, "extraction")
+    C.run(spark, universe_lines(spark, sf), listing(spark, sf), landed_facts(spark, sf), out)
+    types = {"fy": "bigint", "balance_sheet_ok": "boolean", "bs_diff_pct": "double", **dict.fromkeys(C.metric_columns(), "double")}
+    schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in [*C.BASE, *C.metric_columns(), *C.CHECKS])
+    return spark.read.schema(schema).csv(f"{out}/universe_metrics_quarterly", header=True)
+
+
 @query(
     "C4_universe_extract_job",
     f"""

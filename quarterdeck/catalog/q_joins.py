@@ -238,10 +238,10 @@ def j11(spark, sf):
 
 
 _INTEREST = """
-SELECT s.cik, s.slot, CAST(s."end" AS VARCHAR) AS slot_end, CAST(x."end" AS VARCHAR) AS "end", round(x.val, 6) AS val, x.tag, x.accn, x.src AS interest_source, x.basis AS match_basis
+SELECT s.cik, s.slot, CAST(s."end" AS VARCHAR) AS slot_end, CAST(x."end" AS VARCHAR) AS "end", round(x.val, 6) AS val, x.tag, x.accn, x.src AS interest_source, x.basis AS match_basis, x."start" AS start_date
 FROM slots s LEFT JOIN (
   SELECT *, row_number() OVER (PARTITION BY cik, slot ORDER BY step, dist, o2, rk1, fym, fpm, fut, gap, acc DESC NULLS LAST, rk, doc_pos, src_pos) AS k FROM (
-    SELECT s.cik, s.slot, f."end", f.val, f.tag, f.accn, CASE WHEN f.tag = 'InterestPaidNet' THEN 'CFS' ELSE 'PNL' END AS src,
+    SELECT s.cik, s.slot, f."end", f."start", f.val, f.tag, f.accn, CASE WHEN f.tag = 'InterestPaidNet' THEN 'CFS' ELSE 'PNL' END AS src,
       CASE WHEN own THEN 'ACCN' ELSE 'END' END AS basis,
       CASE WHEN own THEN 0 WHEN f."end" = s."end" THEN 2 ELSE 4 END + CASE WHEN f.tag = 'InterestPaidNet' THEN 1 ELSE 0 END AS step,
       abs(date_diff('day', f."end", s."end")) AS dist, CASE WHEN f."end" <> s."end" THEN -length(f.accn) ELSE 0 END AS o2,

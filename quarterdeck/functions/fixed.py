@@ -216,6 +216,10 @@ STOCK_METRICS = [
     "AccountsReceivableNetCurrent", "InventoryNet", "PPENet", "Goodwill",
     "IntangiblesNetExGoodwill", "RetainedEarnings",
 ]
+# Marks of values that were not reported themselves, and of a gross profit without a revenue.
+DERIVED_SOURCES = {"GrossProfit": "REV-COGS", "OperatingExpenses": "SGnA+RD"}
+CONTAMINATION_FLAG = "GP_PRESENT_REV_MISSING_OR_ZERO"
+
 FLOW_METRICS = [m for m in METRICS if m not in STOCK_METRICS]
 # Averages and per-share figures are flows that cannot be split by subtraction.
 QUARTERISED_METRICS = [m for m in FLOW_METRICS if m not in ("WeightedAvgSharesDiluted", "EPSDiluted")]

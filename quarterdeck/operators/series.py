@@ -279,15 +279,18 @@ def rolling_ttm_ratio(
     return fin.withColumn(name, F.when(full, safe_div(F.sum(num).over(f), F.avg(den).over(f))))
 
 
-def decumulate(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", val: str = "val", name: str = "quarter_value") -> DataFrame:
+def decumulate(
+    df: DataFrame, keys: list[str], start: str = "start", end: str = "end", val: str = "val", name: str = "quarter_value", order: str | None = None
+) -> DataFrame:
     """Quarter value of cumulative figures: a quarter stays, a longer period loses the previous value of its start.
 
-    Rows of other period types must not advance the chain, so they are split off by a second partition key.
+    Rows of other period types must not advance the chain, so they are split off by a second partition key. `order`
+    names the column that orders a chain where period ends may be equal.
     """
     kind = period_type(start, end)
     chained = kind.isin("QUARTER", "YTD", "FY") & F.col(start).isNotNull() & F.col(val).isNotNull()
     d = df.withColumn("period_type", kind).withColumn("_chain", chained)
-    w = Window.partitionBy(*keys, "_chain", start).orderBy(end)
+    w = Window.partitionBy(*keys, "_chain", start).orderBy(order or end)
     q = F.when(F.col("period_type") == "QUARTER", F.col(val)).when(F.col("period_type").isin("YTD", "FY"), F.col(val) - F.lag(val).over(w))
     return d.withColumn(name, F.when(F.col("_chain"), q)).drop("_chain")
 

@@ -163,22 +163,71 @@ def select_interest_for_slot(facts: DataFrame, slots: DataFrame, concepts: DataF
     return slots.select("cik", "slot", F.col("end").alias("slot_end")).join(found, ["cik", "slot"], "left")
 
 
-def quarter_values(selected: DataFrame, metrics: list[str] | None = None) -> DataFrame:
-    """Selected facts with the quarter value of the flow metrics."""
+def with_interest(selected: DataFrame, interest: DataFrame) -> DataFrame:
+    """Selected facts with interest expense from its own cascade, and `interest_source` beside `match_basis`."""
+    others = selected.filter(F.col("metric") != "InterestExpense").withColumn("interest_source", F.lit(None).cast("string"))
+    found = interest.filter(F.col("match_basis").isNotNull()).drop("slot_end").withColumn("metric", F.lit("InterestExpense"))
+    return others.unionByName(found, allowMissingColumns=True)
+
+
+def quarter_values(selected: DataFrame, metrics: list[str] | None = None, slots: DataFrame | None = None) -> DataFrame:
+    """Selected facts with the quarter value of the flow metrics.
+
+    Facts of the interest cascade may end some days off their slot, and two slots may hold the same one; with `slots`
+    a chain follows the slots' own ends.
+    """
     flows = metrics or fixed.QUARTERISED_METRICS
-    d = decumulate(selected, ["cik", "metric"])
+    if slots is None:
+        d = decumulate(selected, ["cik", "metric"])
+    else:
+        dated = selected.join(slots.select("cik", "slot", F.col("end").alias("slot_end")), ["cik", "slot"])
+        d = decumulate(dated, ["cik", "metric"], order="slot_end").drop("slot_end")
     return d.withColumn("quarter_value", F.when(F.col("metric").isin(flows), F.col("quarter_value")))
 
 
-def pivot_quarters(values: DataFrame, slots: DataFrame, metrics: list[str] | None = None, n_out: int = fixed.SLOTS_OUT) -> DataFrame:
+#: What a value tells about its fact.
+ORIGIN = ["tag", "accn", "match_basis", "interest_source"]
+
+
+def pivot_quarters(
+    values: DataFrame, slots: DataFrame, metrics: list[str] | None = None, n_out: int = fixed.SLOTS_OUT, origin: bool = False
+) -> DataFrame:
     """One row per (company, slot) with every metric and its quarter value.
 
-    The pivot is a plain aggregate over a fixed list of names: no extra job looks the names up.
+    The pivot is a plain aggregate over a fixed list of names: no extra job looks the names up. With `origin` the same
+    aggregate also carries where each metric comes from: a map from its name to the `ORIGIN` fields, which has as
+    many entries as there are metrics at most.
     """
     names = metrics or fixed.METRICS
     cells = []
     for m in names:
         here = F.col("metric") == m
         cells += [F.max(F.when(here, F.col("val"))).alias(m), F.max(F.when(here, F.col("quarter_value"))).alias(f"{m}_Quarter")]
+    if origin:
+        fields = F.struct(*[F.col(c) if c in values.columns else F.lit(None).cast("string").alias(c) for c in ORIGIN])
+        cells.append(F.map_from_entries(F.collect_list(F.struct("metric", fields.alias("origin")))).alias("origin"))
     wide = values.filter(F.col("slot") <= n_out).groupBy("cik", "slot").agg(*cells)
     return slots.filter(F.col("slot") <= n_out).join(wide, ["cik", "slot"], "left")
+
+
+def unpivot_origin(derived: DataFrame, keep: list[str], metrics: list[str] | None = None) -> DataFrame:
+    """One row per (company, slot, metric) with its values and where they come from; `derived` has the columns of
+    `pivot_quarters` with `origin` after `formulas.derived_metrics`.
+
+    A value that its parts gave has a `derived_source` and no tag. Gross profit beside a missing or zero revenue has a
+    `contamination_flag`. Metrics without any value are left out.
+    """
+    names = metrics or fixed.METRICS
+    cells = []
+    for m in names:
+        at = F.col("origin")[m]
+        made = F.lit(fixed.DERIVED_SOURCES[m]) if m in fixed.DERIVED_SOURCES else F.lit(None).cast("string")
+        flag = F.when(F.col("contaminated"), F.lit(fixed.CONTAMINATION_FLAG)) if m == "GrossProfit" else F.lit(None).cast("string")
+        cells.append(
+            F.struct(
+                F.lit(m).alias("metric"), F.col(m).alias("val"), F.col(f"{m}_Quarter").alias("quarter_value"), *[at[c].alias(c) for c in ORIGIN],
+                F.when(at.isNull() & F.col(m).isNotNull(), made).alias("derived_source"), flag.alias("contamination_flag"),
+            )
+        )
+    rows = derived.select(*keep, F.explode(F.array(*cells)).alias("m")).select(*keep, "m.*")
+    return rows.filter(F.col("val").isNotNull() | F.col("quarter_value").isNotNull())

@@ -43,9 +43,17 @@ def quarters_of_documents(spark: SparkSession, docs: DataFrame, body: str = "bod
     return quarters(spark, materialise(explode_xbrl_facts(docs, body, doc_pos, used_tags()), "facts"), n_out)
 
 
-def interest_quarters(facts: DataFrame, concepts: DataFrame | None = None, n: int = fixed.SLOTS_OUT + fixed.SLOTS_BACKFILL) -> DataFrame:
-    """Interest expense of every slot by the full cascade (single-company path)."""
-    return X.select_interest_for_slot(facts, A.build_slots(facts, n), concepts)
+def traced_quarters(spark: SparkSession, facts: DataFrame, concepts: DataFrame | None = None, n_out: int = fixed.SLOTS_OUT) -> DataFrame:
+    """As `quarters`, but long and with the origin of each value; interest expense comes from its full cascade.
+
+    One row per (company, slot, metric): cik, slot, slot_end, metric, val, quarter_value, tag, accn, match_basis,
+    interest_source, derived_source, contamination_flag, balance_sheet_ok, bs_diff_pct. `concepts` are records of single-concept documents,
+    the last step of the cascade. The slots feed three consumers and are written once.
+    """
+    slots = materialise(A.build_slots(facts, n_out + fixed.SLOTS_BACKFILL), "slots")
+    picked = X.with_interest(X.select_fact_for_slot(facts, slots, X.metrics_config(spark)), X.select_interest_for_slot(facts, slots, concepts))
+    wide = balance_check(derived_metrics(X.pivot_quarters(X.quarter_values(picked, slots=slots), slots, n_out=n_out, origin=True)))
+    return X.unpivot_origin(wide.withColumnRenamed("end", "slot_end"), ["cik", "slot", "slot_end", *CHECKS])
 
 
 def resolve_companies(universe: DataFrame, ciks: DataFrame) -> DataFrame:
@@ -98,9 +106,10 @@ def document_ids(docs: DataFrame) -> DataFrame:
     """(cik, bad) of landed documents: whether the JSON is broken, and the company id.
 
     The id is the one in the document; a broken document takes it from the landed key (column `key`, such as a file
-    name: its digits), since it cannot be read from the body.
+    name), since it cannot be read from the body: the digits after `CIK`, and in a key without these the first digits.
     """
-    key = F.regexp_extract(F.col("key"), r"(\d+)", 1) if "key" in docs.columns else F.lit(None).cast("string")
+    marked = F.nullif(F.regexp_extract(F.col("key"), r"(?i)CIK[^0-9]?(\d+)", 1), F.lit(""))
+    key = F.coalesce(marked, F.regexp_extract(F.col("key"), r"(\d+)", 1)) if "key" in docs.columns else F.lit(None).cast("string")
     cik = F.coalesce(F.get_json_object("body", "$.cik"), F.nullif(key, F.lit("")))
     return docs.select(pad_cik(cik).alias("cik"), F.try_parse_json("body").isNull().alias("bad")).filter(F.col("cik").isNotNull())
 
