@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from quarterdeck.catalog import bindings as B
 from quarterdeck.catalog.registry import query
 from quarterdeck.schemas import TABLES, Table
-from quarterdeck.session import scratch_path
+from quarterdeck.session import materialise, scratch_path
 from quarterdeck.sinks import upsert as K
 from quarterdeck.sinks import writers as W
 from quarterdeck.sinks.catalog_upsert import locations, upsert_table
@@ -131,6 +131,27 @@ def k3(spark, sf):
     return accumulate(px, new).select("asOfDate", "symbol", "Price", "Beta")
 
 
+@query(
+    "K3_snapshots_by_date",
+    """
+SELECT kind, CAST(t AS VARCHAR) AS "asOfDate", symbol, round(CASE WHEN t >= DATE '2001-01-01' THEN close * 2 ELSE close END, 6) AS "Price"
+FROM (SELECT last_day(date) AS t, symbol, arg_max(close, date) AS close FROM px GROUP BY symbol, last_day(date)), (VALUES ('csv'), ('parquet')) k(kind)""",
+    "px",
+)
+def k3_by_date(spark, sf):
+    """Month-end snapshots stored twice, those since 2001 with new prices; both files are read back."""
+    from quarterdeck.plans import factors
+
+    ends = B.adjusted(spark, sf).groupBy(F.last_day("date").alias("asOfDate"), "symbol").agg(F.max_by("close", "date").alias("Price"))
+    ends, out = materialise(ends, "ends"), scratch_path(spark, "factors")
+    factors.store_snapshots(spark, ends, out)
+    factors.store_snapshots(spark, ends.filter("asOfDate >= date '2001-01-01'").withColumn("Price", F.col("Price") * 2), out)
+    cols = ["kind", "asOfDate", "symbol", "Price"]
+    a = factors.read_snapshots(spark, out).withColumn("kind", F.lit("parquet")).select(*cols)
+    b = spark.read.csv(f"{out}.csv", header=True).select(F.lit("csv").alias("kind"), F.col("asOfDate").cast("date"), "symbol", F.col("Price").cast("double"))
+    return a.unionByName(b)
+
+
 @query(
     "K4_write_pair",
     'SELECT kind, symbol, round(v, 6) AS "Oper. Margin", round(w, 6) AS "P/E" FROM (SELECT symbol, sum(l_tax) AS v, sum(l_discount) AS w FROM li GROUP BY symbol), (VALUES (\'csv\'), (\'parquet\')) t(kind)',

@@ -14,11 +14,13 @@ from quarterdeck.operators import joins as J
 from quarterdeck.operators import series as W
 from quarterdeck.operators.fundamentals import fundamental_features
 from quarterdeck.schemas import FACTORS, TABLES, conform
-from quarterdeck.sinks.upsert import merge_last_wins, publish_staged, recover, staging
-from quarterdeck.sinks.writers import write_pair
+from quarterdeck.session import materialise
+from quarterdeck.sinks.upsert import merge_last_wins, recover, remove_table, upsert
 from quarterdeck.sources.tables import adjusted_close, first_present_column, path_exists, read_table, resolve_market_series
 
 _KEY = "symbol"
+#: Folder of a stored snapshot: its date.
+_PART = "snapshot"
 
 
 @dataclass
@@ -171,18 +173,40 @@ def accumulate(existing: DataFrame, new: DataFrame) -> DataFrame:
     return merge_last_wins(existing, new, FACTORS.key, FACTORS.schema)
 
 
+def store_snapshots(spark: SparkSession, rows: DataFrame, out: str) -> None:
+    """Merge `rows` into the stored snapshots: Parquet and CSV, one folder per date (column `snapshot`).
+
+    Only the dates of `rows` are read and rewritten. The CSV twin is made from the same folders of the Parquet table; the dates
+    that it still lacks are kept beside the table until it is complete, so a run that stopped between the two
+    is made good by the next. A history that exists as CSV only, or in one piece, is rewritten once, and so is a CSV
+    in one piece or without its success marker.
+    """
+    table, twin, todo = f"{out}.parquet", f"{out}.csv", f"{out}__csv_todo"
+    recover(spark, table)
+    if not path_exists(spark, table):
+        rows = accumulate(read_table(spark, table, FACTORS, twin), rows)
+    new = materialise(conform(rows, FACTORS.schema), "snapshots")
+    new.select(F.col("asOfDate").alias(_PART)).distinct().write.mode("append").parquet(todo)
+    upsert(spark, table, new, FACTORS, pos=[], partition_by={_PART: F.col("asOfDate")})
+    stored = spark.read.parquet(table)
+    by_day = path_exists(spark, f"{twin}/_SUCCESS") and _PART in spark.read.csv(twin, header=True).columns
+    if by_day:
+        days = spark.read.parquet(todo).distinct().withColumnRenamed(_PART, "_day")
+        stored = stored.join(days, F.col(_PART).eqNullSafe(F.col("_day")), "left_semi")
+    mode = "dynamic" if by_day else "static"
+    rows_of_csv = stored.repartition(_PART).sortWithinPartitions(_PART, *FACTORS.key)
+    rows_of_csv.write.mode("overwrite").option("partitionOverwriteMode", mode).option("header", True).partitionBy(_PART).csv(twin)
+    remove_table(spark, todo)
+
+
+def read_snapshots(spark: SparkSession, out: str) -> DataFrame:
+    """The stored snapshots with the declared columns; a filter on asOfDate alone does not prune, one on `snapshot` before does."""
+    return conform(spark.read.parquet(f"{out}.parquet"), FACTORS.schema)
+
+
 def run(spark: SparkSession, folder: str, out: str, index_symbol: str = "SP500") -> None:
     """Read the tables, compute the factors, merge them into the stored snapshots, write Parquet and CSV."""
-    recover(spark, f"{out}.parquet")
-    new = factor_rows(read_inputs(spark, folder, index_symbol))
-    history = read_table(spark, f"{out}.parquet", FACTORS, f"{out}.csv")
-    merged = accumulate(history, new).orderBy(*FACTORS.key)
-    if path_exists(spark, f"{out}.parquet"):
-        merged.write.parquet(staging(f"{out}.parquet"))
-        publish_staged(spark, f"{out}.parquet")
-        spark.read.parquet(f"{out}.parquet").write.mode("overwrite").option("header", True).csv(f"{out}.csv")
-    else:
-        write_pair(merged, out)
+    store_snapshots(spark, factor_rows(read_inputs(spark, folder, index_symbol)), out)
 
 
 def coverage(rows: DataFrame) -> DataFrame:

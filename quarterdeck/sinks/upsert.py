@@ -148,7 +148,8 @@ def upsert(
     `pos` orders the rows of the batch: of one key the last row is stored. Without partitions the whole table is
     merged; with `partition_by` (one name and one expression over key columns, such as the month of the date) only
     the partitions that the batch touches are read and rewritten, the one of NULL included, so a daily batch against
-    a table of many years stays small. The merged rows are staged and then moved; `recover` finishes an interrupted
+    a table of many years stays small. A stored table without these partitions is rewritten once. Files of a partition are
+    sorted by the key. The merged rows are staged and then moved; `recover` finishes an interrupted
     move at the next call.
     """
     recover(spark, path)
@@ -161,14 +162,16 @@ def upsert(
         publish_staged(spark, path)
         return
     (part, expr), = partition_by.items()
+    split = exists and part in stored.columns
     base = stored.drop(part) if part in stored.columns else stored
-    if exists:
+    if split:
         # `part` is the folder name, so the semi join prunes the stored partitions at run time.
         touched = new.select(expr.alias("_touched")).distinct()
         base = stored.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi").drop(part)
     merged = merge_last_wins(base, new, table.key, table.schema, pos).withColumn(part, expr)
-    merged.repartition(part, F.col(q(table.key[0]))).write.partitionBy(part).parquet(staging(path, exists))
-    publish_staged(spark, path, exists)
+    keys = [F.col(q(k)) for k in table.key]
+    merged.repartition(part, keys[0]).sortWithinPartitions(part, *keys).write.partitionBy(part).parquet(staging(path, split))
+    publish_staged(spark, path, split)
 
 
 # ---- incremental loads --------------------------------------------------------------------------------------

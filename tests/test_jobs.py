@@ -33,15 +33,82 @@ def tables(spark, tmp_path_factory):
 def test_factor_job_accumulates(spark, tables, tmp_path):
     out = str(tmp_path / "factors_latest")
     factors.run(spark, tables, out)
-    first = spark.read.parquet(f"{out}.parquet")
+    first = factors.read_snapshots(spark, out)
     n = first.count()
     assert first.columns == fixed.FACTOR_COLUMNS and n > 0
     factors.run(spark, tables, out)
-    again = spark.read.parquet(f"{out}.parquet")
+    again = factors.read_snapshots(spark, out)
     assert again.count() == n
     assert spark.read.csv(f"{out}.csv", header=True).count() == n
 
 
+def _snapshots(rows, *r):
+    return rows("asOfDate date, symbol string, Price double", *r)
+
+
+def test_snapshots_touch_their_dates_only(spark, rows, tmp_path):
+    out = str(tmp_path / "f")
+    factors.store_snapshots(spark, _snapshots(rows, ("2024-01-31", "A", 1.0), ("2024-02-29", "B", 3.0), ("2024-02-29", "A", 2.0), (None, "N", 9.0)), out)
+    files = lambda kind: {str(p): p.stat().st_mtime_ns for p in (tmp_path / f"f.{kind}").rglob("part-*")}
+    before = {k: files(k) for k in ("parquet", "csv")}
+    # A run that stopped before its CSV left February on the list.
+    spark.createDataFrame([("2024-02-29",)], "d string").selectExpr("date(d) AS snapshot").write.parquet(f"{out}__csv_todo")
+    factors.store_snapshots(spark, _snapshots(rows, ("2024-03-31", "A", 4.0), (None, "N", 8.0)), out)
+    want = {("2024-01-31", "A", 1.0), ("2024-02-29", "A", 2.0), ("2024-02-29", "B", 3.0), ("2024-03-31", "A", 4.0), ("None", "N", 8.0)}
+    assert {(str(r.asOfDate), r.symbol, r.Price) for r in factors.read_snapshots(spark, out).collect()} == want
+    csv = spark.read.csv(f"{out}.csv", header=True).collect()
+    assert {(str(r.asOfDate), r.symbol, float(r.Price)) for r in csv} == want and len(csv) == len(want)
+    same = {k: {p.split("snapshot=")[1][:10] for p in before[k].items() & files(k).items() for p in p[:1]} for k in before}
+    assert same == {"parquet": {"2024-01-31", "2024-02-29"}, "csv": {"2024-01-31"}}
+    assert not (tmp_path / "f__csv_todo").exists()
+
+
+def test_snapshots_in_one_piece_are_split_once(spark, rows, tmp_path):
+    out = str(tmp_path / "f")
+    _snapshots(rows, ("2024-01-31", "A", 1.0), ("2024-02-29", "A", 2.0)).write.option("header", True).csv(f"{out}.csv")
+    factors.store_snapshots(spark, _snapshots(rows, ("2024-02-29", "A", 5.0)), out)
+    assert {(str(r.asOfDate), r.Price) for r in factors.read_snapshots(spark, out).collect()} == {("2024-01-31", 1.0), ("2024-02-29", 5.0)}
+    whole = str(tmp_path / "g")
+    _snapshots(rows, ("2024-01-31", "A", 1.0)).write.parquet(f"{whole}.parquet")
+    _snapshots(rows, ("2024-01-31", "A", 1.0)).write.option("header", True).csv(f"{whole}.csv")
+    factors.store_snapshots(spark, _snapshots(rows, ("2024-02-29", "A", 5.0)), whole)
+    assert factors.read_snapshots(spark, whole).count() == spark.read.csv(f"{whole}.csv", header=True).count() == 2
+
+
+def test_values_tell_their_origin(spark, rows):
+    from quarterdeck.operators import formulas, xbrl
+
+    slots = rows("cik string, slot int, end date", ("1", 1, "2024-06-30"), ("1", 2, "2024-03-31"))
+    form = "cik string, slot int, metric string, start date, end date, val double, tag string, accn string, match_basis string"
+    picked = rows(form, ("1", 1, "Revenue", "2024-01-01", "2024-06-30", 100.0, "Revenues", "a", "ACCN"), ("1", 2, "Revenue", "2024-01-01", "2024-03-31", 40.0, "Revenues", "b", "END"),
+                  ("1", 1, "CostOfRevenue", "2024-01-01", "2024-06-30", 30.0, "CostOfRevenue", "a", "ACCN"), ("1", 1, "RD", "2024-01-01", "2024-06-30", 7.0, "RD", "a", "ACCN"),
+                  ("1", 2, "InterestExpense", "2024-01-01", "2024-03-31", 1.0, "x", "b", "ACCN"))
+    found = "cik string, slot int, slot_end date, start date, end date, val double, tag string, accn string, interest_source string, match_basis string"
+    # Records that end some days before their slots: the later one loses the earlier one of its start.
+    interest = rows(found, ("1", 1, "2024-06-30", "2024-01-01", "2024-06-27", 5.0, "InterestPaid", "c", "CONCEPT_CFO", "CONCEPT"), ("1", 2, "2024-03-31", "2024-01-01", "2024-03-28", 2.0, "InterestExpense", "b", "PNL", "END"))
+    values = xbrl.quarter_values(xbrl.with_interest(picked, interest), slots=slots)
+    out = xbrl.unpivot_origin(formulas.derived_metrics(xbrl.pivot_quarters(values, slots, origin=True)), ["slot"])
+    got = {(r.slot, r.metric): (r.val, r.quarter_value, r.tag, r.match_basis, r.interest_source, r.derived_source, r.contamination_flag) for r in out.collect()}
+    assert got == {
+        (1, "Revenue"): (100.0, 60.0, "Revenues", "ACCN", None, None, None),
+        (2, "Revenue"): (40.0, 40.0, "Revenues", "END", None, None, None),
+        (1, "CostOfRevenue"): (30.0, None, "CostOfRevenue", "ACCN", None, None, None),
+        (1, "GrossProfit"): (70.0, None, None, None, None, "REV-COGS", None),
+        (1, "RD"): (7.0, None, "RD", "ACCN", None, None, None),
+        (1, "OperatingExpenses"): (7.0, None, None, None, None, "SGnA+RD", None),
+        (1, "InterestExpense"): (5.0, 3.0, "InterestPaid", "CONCEPT", "CONCEPT_CFO", None, None),
+        (2, "InterestExpense"): (2.0, 2.0, "InterestExpense", "END", "PNL", None, None),
+    }
+    dirty = rows(form, ("1", 1, "Revenue", None, "2024-06-30", 0.0, "Revenues", "a", "ACCN"), ("1", 1, "GrossProfit", None, "2024-06-30", 9.0, "GrossProfit", "a", "ACCN"))
+    out = xbrl.unpivot_origin(formulas.derived_metrics(xbrl.pivot_quarters(xbrl.quarter_values(dirty), slots, origin=True)), ["slot"])
+    assert {(r.metric, r.val, r.contamination_flag) for r in out.collect()} == {("Revenue", 0.0, None), ("GrossProfit", 9.0, "GP_PRESENT_REV_MISSING_OR_ZERO")}
+
+
+def test_company_id_of_a_landed_name(rows):
+    docs = rows("body string, key string", ("{", "2024-05-01/CIK0000000012.json"), ("{", "77.json"), ("{", "none"), ('{"cik": 5}', "CIK0000000009.json"))
+    assert {(r.cik, r.bad) for r in company_facts.document_ids(docs).collect()} == {("0000000012", True), ("0000000077", True), ("0000000005", False)}
+
+
 def test_universe_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "fund.csv").write_text(
