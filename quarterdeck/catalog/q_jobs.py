@@ -386,6 +386,23 @@ FROM (SELECT symbol, arg_min("exDate", o) AS d FROM divs WHERE dividend > 0.05 G
 def c6(spark, sf):
     p, f = B.stored_prices(spark, sf), B.financials(spark, sf)
     ev = B.dividends(spark, sf).withColumn("pos", F.struct(*B.ORDER))
-    tables = {"prices_eod": p, "earnings_events": None, "financials_quarterly": f}
-    return Q.report(p, tables, f, ev.filter("dividend > 0.05"), ev, F.lit("2001-11-12").cast("date"))
+    return Q.report(Q.price_days(p), f, ev.filter("dividend > 0.05"), ev, F.lit("2001-11-12").cast("date"), {"earnings_events": None})
+
+
+@query(
+    "C6_stored_price_days",
+    """
+SELECT 'rows' AS section, 'prices_eod' AS check_name, count(*)::DOUBLE AS value FROM prices
+UNION ALL SELECT 'prices', 'n_rows', count(*)::DOUBLE FROM prices UNION ALL SELECT 'prices', 'n_latest', count(*)::DOUBLE FROM prices WHERE date = (SELECT max(date) FROM prices)
+UNION ALL SELECT 'prices', 'lag_days', date_diff('day', max(date), DATE '2001-11-12')::DOUBLE FROM prices UNION ALL SELECT 'prices', 'stale', CASE WHEN date_diff('day', max(date), DATE '2001-11-12') > 6 THEN 1.0 ELSE 0.0 END FROM prices
+UNION ALL SELECT 'prices', 'missing_rate', round(avg(CASE WHEN "adjClose" IS NULL THEN 1 ELSE 0 END), 6) FROM prices
+UNION ALL SELECT 'prices', 'missing_rate_latest', round(avg(CASE WHEN "adjClose" IS NULL THEN 1 ELSE 0 END), 6) FROM prices WHERE date = (SELECT max(date) FROM prices)""",
+    "prices",
+)
+def c6_stored(spark, sf):
+    """The price checks from stored day counts: first all days up to 1999 and some later ones without their closes, then those anew."""
+    p, path, today = B.stored_prices(spark, sf), scratch_path(spark, "price_days"), F.lit("2001-11-12").cast("date")
+    Q.store_price_days(spark, path, p.withColumn("adjClose", F.when(F.col("date") < "2000-01-01", F.col("adjClose"))).filter("date < date '2000-03-01'"))
+    Q.store_price_days(spark, path, p.filter("date >= date '2000-01-01'"))
+    return Q.price_report(spark.read.parquet(path), today)
 

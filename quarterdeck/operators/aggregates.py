@@ -217,6 +217,12 @@ def freshness(df: DataFrame, date: str, today: Column, stale_days: int = fixed.S
     return g.withColumn("lag_days", lag).withColumn("stale", lag > stale_days)
 
 
+def day_profile(df: DataFrame, date: str, checks: dict[str, Column]) -> DataFrame:
+    """One row per day: `day`, `n_rows` and how many rows meet each check. Profiles of different days are merged by a union."""
+    met = [F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in checks.items()]
+    return df.groupBy(F.col(date).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), *met)
+
+
 def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     """Rows per table; None stands for an absent table (0)."""
     parts = []

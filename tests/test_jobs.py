@@ -104,6 +104,23 @@ def test_values_tell_their_origin(spark, rows):
     assert {(r.metric, r.val, r.contamination_flag) for r in out.collect()} == {("Revenue", 0.0, None), ("GrossProfit", 9.0, "GP_PRESENT_REV_MISSING_OR_ZERO")}
 
 
+def test_price_checks_from_day_counts(spark, rows, tmp_path):
+    from quarterdeck.plans import quality
+
+    form, today = "symbol string, date date, adjClose double", F.lit("2024-01-12").cast("date")
+    first = rows(form, ("A", "2024-01-02", 1.0), ("B", "2024-01-02", None), ("A", "2024-01-03", None))
+    again = rows(form, ("A", "2024-01-03", 2.0), ("B", "2024-01-03", None), ("C", None, 1.0))
+    figures = lambda days: {r.check_name: r.value for r in quality.price_report(days, today).collect() if r.section == "prices"}
+    path = str(tmp_path / "days")
+    for batch in (first, again):
+        quality.store_price_days(spark, path, batch)
+    whole = rows(form, ("A", "2024-01-02", 1.0), ("B", "2024-01-02", None), ("A", "2024-01-03", 2.0), ("B", "2024-01-03", None), ("C", None, 1.0))
+    want = {"n_rows": 5.0, "n_latest": 2.0, "lag_days": 9.0, "stale": 1.0, "missing_rate": 0.4, "missing_rate_latest": 0.5}
+    assert figures(spark.read.parquet(path)) == figures(quality.price_days(whole)) == want
+    empty = figures(quality.price_days(whole.limit(0)))
+    assert empty == {"n_rows": 0.0, "n_latest": None, "lag_days": None, "stale": None, "missing_rate": None, "missing_rate_latest": None}
+
+
 def test_company_id_of_a_landed_name(rows):
     docs = rows("body string, key string", ("{", "2024-05-01/CIK0000000012.json"), ("{", "77.json"), ("{", "none"), ('{"cik": 5}', "CIK0000000009.json"))
     assert {(r.cik, r.bad) for r in company_facts.document_ids(docs).collect()} == {("0000000012", True), ("0000000077", True), ("0000000005", False)}
