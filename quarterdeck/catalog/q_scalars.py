@@ -273,17 +273,33 @@ def p23(spark, sf):
     return B.table(spark, sf, "orders").select("o_orderkey", P.pad_cik(raw).alias("cik"))
 
 
-@query(
-    "P24_quarter_key",
-    f"""
-SELECT {_KEYS}, CASE l_returnflag WHEN 'A' THEN year(l_shipdate) || 'Q' || quarter(l_shipdate) WHEN 'N' THEN CASE WHEN quarter(l_shipdate) < 4 THEN year(l_shipdate) || 'Q' || quarter(l_shipdate) END END AS quarter_key
-FROM lineitem""",
-)
-def p24(spark, sf):
+_QUARTER = """CASE l_returnflag WHEN 'A' THEN year(l_shipdate) || 'Q' || quarter(l_shipdate)
+  WHEN 'N' THEN CASE WHEN quarter(l_shipdate) < 4 THEN year(l_shipdate) || 'Q' || quarter(l_shipdate) END END"""
+
+
+def _quarter_keys(spark, sf):
     y, qn = F.year("date"), F.quarter("date")
     frame = _vary(F.concat(F.lit("cy"), y, F.lit("Q"), qn), F.concat(F.lit("CY"), y), F.lit(None))
     fp = _vary(F.lit(None), F.when(qn == 4, F.lit("FY")).otherwise(F.concat(F.lit("q"), qn)), F.lit("FY"))
-    return _lines(spark, sf).select(*_ID, P.quarter_key(frame, y, fp).alias("quarter_key"))
+    return _lines(spark, sf).withColumn("quarter_key", P.quarter_key(frame, y, fp))
+
+
+@query("P24_quarter_key", f"SELECT {_KEYS}, {_QUARTER} AS quarter_key FROM lineitem")
+def p24(spark, sf):
+    return _quarter_keys(spark, sf).select(*_ID, "quarter_key")
+
+
+@query(
+    "P24_quarter_key_order",
+    f"""
+SELECT symbol, max(k) AS newest, min(k) AS oldest, CAST(left(max(k), 4) AS BIGINT) AS year, CAST(right(max(k), 1) AS BIGINT) AS quarter
+FROM (SELECT 'S' || l_suppkey AS symbol, {_QUARTER} AS k FROM lineitem) WHERE k IS NOT NULL GROUP BY symbol""",
+)
+def p24_order(spark, sf):
+    """Newest and oldest quarter of each symbol by the sort key."""
+    d = _quarter_keys(spark, sf).filter("quarter_key IS NOT NULL").withColumn("at", P.quarter_key_order("quarter_key"))
+    g = d.groupBy("symbol").agg(F.max_by("quarter_key", "at").alias("newest"), F.min_by("quarter_key", "at").alias("oldest"), F.max("at").alias("at"))
+    return g.select("symbol", "newest", "oldest", "at.year", "at.quarter")
 
 
 @query("P25_first_present_column", "SELECT symbol, round(sum(l_tax), 6) AS interest FROM li GROUP BY symbol", "li")
