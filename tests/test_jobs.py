@@ -121,6 +121,29 @@ def test_price_checks_from_day_counts(spark, rows, tmp_path):
     assert empty == {"n_rows": 0.0, "n_latest": None, "lag_days": None, "stale": None, "missing_rate": None, "missing_rate_latest": None}
 
 
+def test_quality_report_reads_each_table_once(spark, rows, tmp_path):
+    from quarterdeck.plans import quality
+
+    def stored(name, form, *r):
+        rows(form, *r).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    prices = stored("prices", "symbol string, date date, adjClose double", ("A", "2024-01-02", None))
+    fin = stored("fin", "symbol string, revenue double, grossProfit double", ("A", 0.0, 1.0), ("B", None, 1.0), ("C", 5.0, 9.0), ("D", 5.0, None))
+    form = "symbol string, exDate date, pos int"
+    events, calendar = stored("events", form, ("A", "2024-01-02", 1)), stored("calendar", form, ("A", "2024-01-02", 1), ("B", "2024-01-03", 2))
+    out = quality.report(quality.price_days(prices), fin, calendar, events, F.lit("2024-01-04").cast("date"), {"earnings_events": None, "more": events})
+    got = {(r.section, r.check_name): r.value for r in out.collect()}
+    assert got == {
+        ("rows", "prices_eod"): 1.0, ("rows", "financials_quarterly"): 4.0, ("rows", "earnings_events"): 0.0, ("rows", "more"): 1.0,
+        ("prices", "n_rows"): 1.0, ("prices", "n_latest"): 1.0, ("prices", "lag_days"): 2.0, ("prices", "stale"): 0.0, ("prices", "missing_rate"): 1.0, ("prices", "missing_rate_latest"): 1.0,
+        ("financials", "revenue_zero"): 1.0, ("financials", "revenue_missing"): 1.0, ("financials", "gross_profit_above_revenue"): 2.0,
+        ("calendar", "MATCH"): 1.0, ("calendar", "MISSING_EXDATE"): 1.0,
+    }
+    plan = quality.report(quality.price_days(prices), fin, calendar, events, F.lit("2024-01-04").cast("date"))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 4  # prices, financials, calendar, events
+
+
 def test_company_id_of_a_landed_name(rows):
     docs = rows("body string, key string", ("{", "2024-05-01/CIK0000000012.json"), ("{", "77.json"), ("{", "none"), ('{"cik": 5}', "CIK0000000009.json"))
     assert {(r.cik, r.bad) for r in company_facts.document_ids(docs).collect()} == {("0000000012", True), ("0000000077", True), ("0000000005", False)}
