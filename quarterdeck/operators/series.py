@@ -7,7 +7,10 @@ specification, so a chain of them sorts once.
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
 from functools import reduce
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,42 +50,43 @@ def volume_ratio(df: DataFrame, w: WindowSpec, n: int = 63, volume: str = "volum
     return df.withColumn("avg_volume", avg).withColumn("rel_volume", safe_div(volume, "avg_volume"))
 
 
-def _in_blocks(df: DataFrame, n: int, parts: dict[str, Column], key: str, date: str) -> DataFrame:
-    """`df` with, for each aggregate of `parts`, `<name>_up` and `<name>_down`.
+def _in_spans(df: DataFrame, lengths: list[int], parts: dict[str, Callable[[Column, WindowSpec], Column]], fold: Callable[[str, list[Column]], Column], value: str, w: WindowSpec) -> DataFrame:
+    """`df` with `<part>_<n>`, each aggregate of `parts` over the last n rows, and `_row`, the place of a row in its key.
 
-    The rows of a key are cut into blocks of n. `up` folds a block from its first row to the current one; `down` folds
-    the block that the row n - 1 places back lies in, from that row to its end. The last n rows are `down` and `up`
-    together, or `up` alone where they are one whole block, so a row is folded twice whatever n is, and nothing is subtracted.
+    The last n rows are put together from frames of about the root of n rows that lie side by side, found n - b, n - 2b ...
+    rows back, so a row is folded some thirty times for n = 250 and nothing is subtracted. All frames and look-backs share
+    `w`, so a task sorts its rows once, whatever the lengths are.
     """
-    place = F.row_number().over(by_key(key, date)) - 1
-    cut = df.withColumn("_place", place).withColumn("_block", F.floor(F.col("_place") / n))
-    block = Window.partitionBy(key, "_block")
-    up = cut.select("*", *[c.over(block.orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)).alias(f"{k}_up") for k, c in parts.items()])
-    # From the end of a block backwards, as Spark folds a frame that ends at its last row anew for every row.
-    down = up.select("*", *[c.over(block.orderBy(F.desc("_place")).rowsBetween(Window.unboundedPreceding, 0)).alias(f"_{k}") for k, c in parts.items()])
-    back = Window.partitionBy(key).orderBy("_place")
-    partial = (F.col("_place") + 1) % n != 0
-    out = down.select("*", *[F.when(partial, F.lag(f"_{k}", n - 1).over(back)).alias(f"{k}_down") for k in parts])
-    return out.withColumn("_full", F.col("_place") + 1 >= n).drop("_place", "_block", *[f"_{k}" for k in parts])
+    spans = {}
+    for n in lengths:
+        b = isqrt(n)
+        spans[n] = [(b, i * b) for i in range(n // b)] + ([(n % b, n - n % b)] if n % b else [])
+    short = sorted({size for s in spans.values() for size, _ in s})
+    frames = [fn(F.col(value), w.rowsBetween(1 - size, 0)).alias(f"_{k}_{size}") for size in short for k, fn in parts.items()]
+    base = df.select("*", F.row_number().over(w).alias("_row"), *frames)
+    back = sorted({(size, at) for s in spans.values() for size, at in s if at})
+    seen = base.select("*", *[F.lag(f"_{k}_{size}", at).over(w).alias(f"_{k}_{size}_{at}") for size, at in back for k in parts])
+    name = lambda k, size, at: F.col(f"_{k}_{size}_{at}" if at else f"_{k}_{size}")
+    whole = [fold(k, [name(k, *s) for s in spans[n]]).alias(f"{k}_{n}") for n in spans for k in parts]
+    return seen.select(*df.columns, "_row", *whole)
 
 
 def sma(df: DataFrame, lengths: tuple[int, ...] = (20, 50, 200), close: str = "close", key: str = "symbol", date: str = "date") -> DataFrame:
     """`sma<n>` for each length: the mean of the last n closes, NULL ones left out, once n rows exist."""
-    for n in lengths:
-        df = _in_blocks(df, n, {"_sum": F.sum(close), "_num": F.count(close)}, key, date)
-        total = F.when(F.col("_sum_down").isNull(), F.col("_sum_up")).when(F.col("_sum_up").isNull(), F.col("_sum_down")).otherwise(F.col("_sum_up") + F.col("_sum_down"))
-        number = F.col("_num_up") + F.coalesce("_num_down", F.lit(0))
-        df = df.withColumn(f"sma{n}", F.when(F.col("_full") & (number > 0), total / F.nullif(number, F.lit(0))))
-        df = df.drop("_full", "_sum_up", "_sum_down", "_num_up", "_num_down")
-    return df
+    # A frame of NULLs adds 0, so that each span is named once in the total; the count tells whether there was a close.
+    parts = {"_sum": lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0)), "_num": lambda c, w: F.count(c).over(w)}
+    out = _in_spans(df, list(lengths), parts, lambda k, spans: reduce(operator.add, spans), close, by_key(key, date))
+    mean = lambda n: F.when(F.col("_row") >= n, safe_div(F.col(f"_sum_{n}"), F.col(f"_num_{n}")))
+    return out.select(*df.columns, *[mean(n).alias(f"sma{n}") for n in lengths])
 
 
 def high_low(df: DataFrame, n: int = 250, close: str = "close", key: str = "symbol", date: str = "date") -> DataFrame:
     """`high_n` and `low_n` of the last n rows, once n rows exist."""
-    out = _in_blocks(df, n, {"_max": F.max(close), "_min": F.min(close)}, key, date)
-    high = F.when(F.col("_full"), F.greatest("_max_up", "_max_down")).alias("high_n")
-    low = F.when(F.col("_full"), F.least("_min_up", "_min_down")).alias("low_n")
-    return out.select(*df.columns, high, low)
+    parts = {"_max": lambda c, w: F.max(c).over(w), "_min": lambda c, w: F.min(c).over(w)}
+    most = {"_max": F.greatest, "_min": F.least}
+    out = _in_spans(df, [n], parts, lambda k, spans: most[k](*spans) if len(spans) > 1 else spans[0], close, by_key(key, date))
+    full = F.col("_row") >= n
+    return out.select(*df.columns, F.when(full, F.col(f"_max_{n}")).alias("high_n"), F.when(full, F.col(f"_min_{n}")).alias("low_n"))
 
 
 def returns(close: Column | str, w: WindowSpec) -> Column:

@@ -420,3 +420,23 @@ def test_no_python_worker_outside_name_scores(spark):
         assert "Python" not in plan and "CartesianProduct" not in plan, name
         # The factor job meets one-row tables (newest snapshot date, market rank); nothing else may loop.
         assert "NestedLoop" not in plan or name == "C1_factors_job", name
+
+
+def test_long_frames_sort_once(rows):
+    px = rows("symbol string, date date, close double", ("A", "2024-01-01", 1.0))
+    for df in (W.sma(px), W.high_low(px)):
+        assert _plan(df).count("Sort [") == 1
+
+
+def test_long_frames_at_other_lengths(rows):
+    rnd = random.Random(6)
+    values = [None if rnd.random() < 0.5 else rnd.uniform(1, 9) for _ in range(70)]
+    px = rows("symbol string, date date, close double", *[("A", d, x) for d, x in zip(days(70), values, strict=True)])
+    lengths = (3, 7, 23, 31, 64)
+    got = W.high_low(W.sma(px, lengths), 23).orderBy("date").collect()
+    for i, r in enumerate(got):
+        for n in lengths:
+            last = [x for x in values[max(0, i - n + 1) : i + 1] if x is not None]
+            assert r[f"sma{n}"] == (pytest.approx(sum(last) / len(last)) if i + 1 >= n and last else None), (n, i)
+        last = [x for x in values[max(0, i - 22) : i + 1] if x is not None]
+        assert (r.high_n, r.low_n) == ((max(last), min(last)) if i + 1 >= 23 else (None, None))
