@@ -18,7 +18,7 @@ from quarterdeck.plans import factors as P
 from quarterdeck.plans import ingest as I
 from quarterdeck.plans import quality as Q
 from quarterdeck.plans import universe as U
-from quarterdeck.session import scratch_path
+from quarterdeck.session import materialise, scratch_path
 from quarterdeck.sources.xbrl import read_concept_records
 
 # ---- C1 ------------------------------------------------------------------------------------------------------
@@ -291,13 +291,14 @@ def c4_counts(spark, sf):
 
 
 def landed_facts(spark, sf):
-    """Company documents with their landed names: every tenth cut off, every tenth missing, silent companies as empty ones."""
+    """Company documents with their landed names, as the job finds them: written once below the shared folder. Every tenth is cut off,
+    every tenth missing, and silent companies are empty ones."""
     cik = F.substring("symbol", 2, 9).cast("long")
     docs = B.documents(spark, sf).withColumn("key", F.concat(F.lit("2024-05-01/CIK"), F.lpad(cik.cast("string"), 10, "0"), F.lit(".json")))
     docs = docs.filter(cik % 10 < 9).select("key", F.when(cik % 10 == 8, F.substring("body", 1, 60)).otherwise(F.col("body")).alias("body"))
     # Companies that file nothing in these data count as landed empty documents.
     silent = listing(spark, sf).filter(F.col("cik") % 10 < 8).select(F.concat(F.lit("CIK"), "cik").alias("key"), F.format_string('{"cik": %d, "facts": {}}', F.col("cik").cast("long")).alias("body"))
-    return docs.unionByName(silent)
+    return materialise(docs.unionByName(silent), "landed")
 
 
 @query("C4_extraction_run", f"SELECT ticker, name, reason, coalesce(cik, '') AS cik FROM ({_REPORT})", "sup")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions import fixed
 
-_SPACES = " \t\n\r\x0b\x0c"
+SPACES = " \t\n\r\x0b\x0c"
 _NUMERIC = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)$"
 #: A day at the start; year 0 is none.
 _DAY = r"^((?!0000)\d{4}-\d{2}-\d{2})"
@@ -26,7 +26,7 @@ def col(c: Column | str) -> Column:
 
 def text(c: Column | str) -> Column:
     """Trimmed text, blank becomes NULL."""
-    t = F.trim(col(c).cast("string"), F.lit(_SPACES))
+    t = F.trim(col(c).cast("string"), F.lit(SPACES))
     return F.when(t != "", t)
 
 
@@ -36,7 +36,7 @@ def pick_text(*cs: Column | str) -> Column:
     Each alternate is looked up and trimmed once. A chain of CASEs repeats both in every use, and a row with twenty picks
     then makes a method that the JVM no longer compiles.
     """
-    trimmed = F.transform(F.array(*[col(c).cast("string") for c in cs]), lambda x: F.trim(x, F.lit(_SPACES)))
+    trimmed = F.transform(F.array(*[col(c).cast("string") for c in cs]), lambda x: F.trim(x, F.lit(SPACES)))
     return F.get(F.filter(trimmed, lambda x: x != ""), F.lit(0))
 
 
@@ -50,25 +50,30 @@ def pick_num(*cs: Column | str) -> Column:
     return _number(pick_text(*cs))
 
 
+def leading_day(t: Column) -> Column:
+    """Date of the first ten characters of a text."""
+    # The cast gives NULL for a day that does not exist; a parser with a pattern raises and catches for each of them.
+    return F.regexp_extract(t, _DAY, 1).try_cast("date")
+
+
 def pick_date(*cs: Column | str) -> Column:
     """First non-blank alternate, cut to ten characters and read as a date."""
-    # The cast gives NULL for a day that does not exist; a parser with a pattern raises and catches for each of them.
-    return F.regexp_extract(pick_text(*cs), _DAY, 1).try_cast("date")
+    return leading_day(pick_text(*cs))
 
 
 def to_number(c: Column | str) -> Column:
     """Number that may carry thousands commas; blank, text and NaN become NULL."""
-    return _number(F.regexp_replace(F.trim(col(c).cast("string"), F.lit(_SPACES)), ",", ""))
+    return _number(F.regexp_replace(F.trim(col(c).cast("string"), F.lit(SPACES)), ",", ""))
 
 
 def norm_period(c: Column | str) -> Column:
     """Reporting period with every spelling of missing mapped to the empty string."""
-    t = F.trim(col(c).cast("string"), F.lit(_SPACES))
+    t = F.trim(col(c).cast("string"), F.lit(SPACES))
     return F.when(t.isNull() | t.isin(*fixed.MISSING_PERIOD_TEXTS), F.lit("")).otherwise(t)
 
 
 def norm_symbol(c: Column | str) -> Column:
-    return F.upper(F.trim(col(c).cast("string"), F.lit(_SPACES)))
+    return F.upper(F.trim(col(c).cast("string"), F.lit(SPACES)))
 
 
 def norm_key(c: Column | str) -> Column:
@@ -251,7 +256,7 @@ def flow_period_ok(start: Column | str, end: Column | str, low: int = 60, high:
 
 
 def unit_matches(unit: Column | str, candidates: list[str], reject: list[str] | None = None) -> Column:
-    u = F.lower(F.trim(col(unit), F.lit(_SPACES)))
+    u = F.lower(F.trim(col(unit), F.lit(SPACES)))
     ok = u.isin(*[c.strip().lower() for c in candidates])
     for r in reject or []:
         ok = ok & ~u.contains(r.lower())

@@ -115,8 +115,10 @@ def document_ids(docs: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, universe: DataFrame, ciks: DataFrame, docs: DataFrame, out: str, strategy: str = "copy", n_out: int = fixed.SLOTS_OUT, report_only: bool = False) -> None:
-    """Universe lines, ticker map and landed documents (body, and key for broken ones) to the report and the quarterly CSV."""
-    facts = materialise(explode_xbrl_facts(docs, tags=used_tags()), "facts")
+    """Universe lines, ticker map and landed documents (body, and key for broken ones) to the report and the quarterly CSV.
+
+    The report needs the ids of the documents and whether they parse; facts are made for the quarterly file alone.
+    """
     names = resolve_companies(universe, ciks)
     ids = materialise(document_ids(docs), "documents")
     report = materialise(
@@ -124,6 +126,7 @@ def run(spark: SparkSession, universe: DataFrame, ciks: DataFrame, docs: DataFra
     )
     write_csv_null_blank(report.orderBy("pos"), f"{out}/universe_extraction_report", ["ticker", "name", "reason", "cik", "error", "http_status", "last_err", "attempts_used"], sanitise=False)
     if not report_only:
+        facts = materialise(explode_xbrl_facts(docs, tags=used_tags()), "facts")
         rows = universe_rows(report, quarters(spark, facts, n_out))
         write_csv_null_blank(rows.orderBy("pos", F.col("slot")), f"{out}/universe_metrics_quarterly", [*BASE, *metric_columns(), *CHECKS])
 

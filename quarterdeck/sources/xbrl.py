@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import fixed
-from quarterdeck.functions.scalars import pad_cik, text, unit_matches
+from quarterdeck.functions.scalars import SPACES, leading_day, pad_cik, text, unit_matches
 
 _FACT = "struct<start:string,end:string,val:string,accn:string,fy:string,fp:string,form:string,filed:string,frame:string>"
 _UNITS = f"map<string,array<{_FACT}>>"
@@ -17,7 +17,7 @@ _SRC_NS, _SRC_UNIT = 1_000_000_000_000, 1_000_000_000
 
 
 def _day(c: Column) -> Column:
-    return F.try_to_date(F.substring(text(c), 1, 10), "yyyy-MM-dd")
+    return leading_day(F.trim(c, F.lit(SPACES)))
 
 
 def _fact_columns() -> list[Column]:
