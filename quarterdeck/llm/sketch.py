@@ -23,6 +23,8 @@ ROWS = 2
 #: Log of the counters in the smallest block, and of the most blocks: a task's rows grow with its hashes, not with the sketch.
 _BLOCK = 16
 _MOST_BLOCKS = 12
+#: Bytes of text handled at once: hashes of a text take many times its bytes, and a worker holds the sketch beside them.
+PIECE = 1 << 18
 #: Hashes of a task that are sorted together.
 _AT_ONCE = 1 << 21
 _U = np.uint64
@@ -47,8 +49,8 @@ def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 def encode_gaps(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gaps between sorted offsets as bytes (255 means 255 and more to come), and where the bytes of each gap begin."""
-    sizes = gaps // 255 + 1
-    at = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.zeros(len(gaps) + 1, np.int64)
+    np.cumsum(gaps // 255 + 1, out=at[1:])
     out = np.full(at[-1], 255, np.uint8)
     out[at[1:] - 1] = gaps % 255
     return out, at
@@ -68,17 +70,24 @@ def _gaps(h: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     """(block, offsets) of the hashes: sorted offsets within each block as gaps."""
     wide = block_bits(bits)
     for row in range(ROWS):
-        cells = np.sort(_cells(h, row, bits))
-        block = (cells >> _U(wide)).astype(np.int64)
-        starts = np.flatnonzero(np.diff(block, prepend=-1))
-        ends = np.append(starts[1:], len(cells))
+        cells = _cells(h, row, bits)
+        cells.sort()
+        # Where each block of the row begins: few numbers, so that of all hashes only cells and offsets are held.
+        first = row << (bits - wide)
+        edges = np.searchsorted(cells, np.arange(first, first + (1 << (bits - wide)) + 1, dtype=_U) << _U(wide))
+        block = np.flatnonzero(np.diff(edges))
+        starts, ends = edges[block], edges[block + 1]
+        block += first
         offsets = (cells & _U((1 << wide) - 1)).astype(np.int32)
-        gaps = np.diff(offsets, prepend=0)
+        del cells
+        gaps = np.empty_like(offsets)
+        np.subtract(offsets[1:], offsets[:-1], out=gaps[1:])
         gaps[starts] = offsets[starts]
+        del offsets
         coded, at = encode_gaps(gaps)
         for i in range(0, len(starts), 4096):
             raw = [coded[at[x] : at[y]].tobytes() for x, y in zip(starts[i : i + 4096], ends[i : i + 4096], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(block[starts[i : i + 4096]], pa.int32()), pa.array(raw, pa.binary())], ["block", "offsets"])
+            yield pa.RecordBatch.from_arrays([pa.array(block[i : i + 4096], pa.int32()), pa.array(raw, pa.binary())], ["block", "offsets"])
 
 
 def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray], bits: int) -> np.ndarray:
@@ -86,12 +95,13 @@ def _twice(docs: DataFrame, hashes: Callable[[list[bytes | None]], np.ndarray],
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for _, texts in pieces(batches):
+        for _, texts in pieces(batches, limit=PIECE):
             held.append(hashes(texts))
             size += len(held[-1])
             if size >= _AT_ONCE:
-                yield from _gaps(np.concatenate(held), bits)
-                held, size = [], 0
+                h, held, size = np.concatenate(held), [], 0
+                yield from _gaps(h, bits)
+                del h
         if size:
             yield from _gaps(np.concatenate(held), bits)
 

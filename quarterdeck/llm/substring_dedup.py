@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.arrow_text import Words, column, pieces
 from quarterdeck.llm.flags import flagged
-from quarterdeck.llm.sketch import Sketch
+from quarterdeck.llm.sketch import PIECE, Sketch
 from quarterdeck.session import materialise
 
 WINDOW = 13
@@ -39,7 +39,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     sketch = Sketch.of(docs, _window_hashes, BYTES_PER_WORD)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, limit=PIECE):
             w = Words(texts)
             at, owner = w.places(WINDOW)
             h = w.joined(at, WINDOW)
@@ -73,7 +73,7 @@ def remove(docs: DataFrame) -> DataFrame:
     joined = touched.unionByName(rows.where("NOT _flag").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("hashes")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, limit=PIECE):
             w = Words(texts)
             h, owner = w.windows(WINDOW)
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
