@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,29 +99,46 @@ def _minimise(f, x: np.ndarray, steps: int = 60, memory: int = 8) -> np.ndarray:
     return x
 
 
+#: Rows that one step of the loss takes; the arrays of a step have an entry per feature of these rows.
+_BLOCK = 128
+
+
 def fit_rows(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ridge: float = 1.0) -> Model:
-    """Model of rows of distinct features."""
-    ids = np.concatenate(rows).astype(np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    share = [(np.bincount(ids[labels[row] == c], minlength=1 << BITS) + 1.0) / ((labels == c).sum() + 2.0) for c in (1, 0)]
+    """Model of rows of distinct features.
+
+    Features are counted row by row and those that don't count are dropped at once, so besides `rows` the driver holds
+    four bytes per feature that counts.
+    """
+    count = np.zeros((2, 1 << BITS), np.int32)
+    for r, y in zip(rows, labels, strict=True):
+        count[int(y == 1), r] += 1
+    share = [(count[c] + 1.0) / ((labels == c).sum() + 2.0) for c in (1, 0)]
     ratio = np.log(share[0] / share[1])
-    ratio[(np.bincount(ids, minlength=1 << BITS) < LEAST_ROWS) | (np.abs(ratio) < LEAST_RATIO)] = 0
-    keep = ratio[ids] != 0
-    ids, row = ids[keep], row[keep]
-    used, dense = np.unique(ids, return_inverse=True)
-    value = ratio[used][dense]
-    starts = np.searchsorted(row, np.arange(len(rows) + 1))
+    ratio[(count.sum(axis=0) < LEAST_ROWS) | (np.abs(ratio) < LEAST_RATIO)] = 0
+    used = np.flatnonzero(ratio)
+    scale = ratio[used]
+    place = np.full(1 << BITS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    kept = [d[d >= 0] for d in (place[r] for r in rows)]
+    ends = np.cumsum([0] + [len(d) for d in kept])
+    dense = np.concatenate([*kept, np.zeros(0, np.int32)])
+    del kept
     sign = np.where(labels == 1, 1.0, -1.0)
     weights = weights * (len(weights) / weights.sum())
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         w, b = x[:-1], x[-1]
-        sums = np.concatenate([[0.0], np.cumsum(w[dense] * value)])
-        z = (sums[starts[1:]] - sums[starts[:-1]] + b) * sign
-        total = (weights * np.logaddexp(0, -z)).sum() + 0.5 * ridge * (w @ w)
-        pull = -weights * sign / (1 + np.exp(np.clip(z, -500, 500)))
-        grad = np.bincount(dense, weights=value * pull[row], minlength=len(used)) + ridge * w
-        return float(total), np.append(grad, pull.sum())
+        scaled, grad, pulls, total = w * scale, np.zeros(len(used)), 0.0, 0.5 * ridge * (w @ w)
+        for i in range(0, len(rows), _BLOCK):
+            at = ends[i : i + _BLOCK + 1]
+            own = dense[at[0] : at[-1]]
+            sums = np.concatenate([[0.0], np.cumsum(scaled[own])])[at - at[0]]
+            z = (np.diff(sums) + b) * sign[i : i + _BLOCK]
+            total += (weights[i : i + _BLOCK] * np.logaddexp(0, -z)).sum()
+            pull = -weights[i : i + _BLOCK] * sign[i : i + _BLOCK] / (1 + np.exp(np.clip(z, -500, 500)))
+            grad += np.bincount(own, weights=np.repeat(pull, np.diff(at)), minlength=len(used))
+            pulls += pull.sum()
+        return float(total), np.append(grad * scale + ridge * w, pulls)
 
     x = _minimise(loss, np.zeros(len(used) + 1))
     full = np.zeros(1 << BITS)
@@ -152,9 +170,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "toxic"), pa.array(rows, pa.binary())], ["doc_id", "toxic", "features"])
 
     got = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInArrow(run, "doc_id bigint, toxic int, features binary").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("features", "ascending")])
-    y = got.column("toxic").to_numpy()
-    rows = [np.frombuffer(b, np.int32) for b in got.column("features").to_pylist()]
+    order = pc.sort_indices(got, [("doc_id", "ascending"), ("features", "ascending")]).to_pylist()
+    y = got.column("toxic").to_numpy()[order]
+    found = got.column("features")
+    rows = [np.frombuffer(found[i].as_buffer(), np.int32) for i in order]  # views, no copies
     share = {c: counts[c] / max(1, int((y == c).sum())) for c in (0, 1)}
     return fit_rows(rows, y, np.where(y == 1, share[1], share[0]))
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -79,3 +80,13 @@ def test_very_long_lines(spark):
     long = " ".join(f"w{i}" for i in range(20000))
     docs = spark.createDataFrame([(1, long), (2, long + " tail"), (3, " ".join(f"v{i}" for i in range(20000)))], "doc_id long, text string")
     assert {r.doc_id: len(r.text) for r in line_dedup.remove(docs).collect()} == {1: len(long), 2: 0, 3: len(long)}
+
+
+def test_counters_are_not_made_into_python_objects(spark):
+    """A dictionary per counter took hundreds of MB of the driver."""
+    docs = spark.range(200).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 2000), i -> concat('w', id * 2000 + i)), ' ') AS text")
+    tracemalloc.start()
+    table = line_dedup.rarity(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(v > 0 for v in table) > 250_000 and peak < 40_000_000

@@ -1,7 +1,9 @@
 """Held-out accuracy and odd rows of the toxicity classifier."""
 
 import os
+import tracemalloc
 
+import numpy as np
 import pytest
 from conftest import SF
 
@@ -38,3 +40,18 @@ def test_held_out_accuracy(spark):
     out = toxicity.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels).where("held_out").join(labels, "doc_id")
     r = out.selectExpr("avg(if(toxic = 1, predicted, null)) AS found", "avg(if(toxic = 0, predicted, null)) AS wrong").first()
     assert r.found > 0.65 and r.wrong < 0.01
+
+
+def test_fit_holds_little_besides_its_rows():
+    """The driver's memory: once it held eight arrays with an entry of eight bytes per feature of the sample."""
+    rnd = np.random.default_rng(2)
+    rows = [np.unique(rnd.integers(0, 1 << toxicity.BITS, 4000)).astype(np.int32) for _ in range(600)]
+    labels = np.arange(600) % 2
+    rows = [np.unique(np.append(r, np.arange(50) + 100 * y)).astype(np.int32) for r, y in zip(rows, labels, strict=True)]
+    tracemalloc.start()
+    model = toxicity.fit_rows(rows, labels, np.ones(600))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * sum(r.nbytes for r in rows)
+    z = np.array([model.bias + model.weights[r].sum() for r in rows])
+    assert ((z > 0) == (labels == 1)).mean() > 0.99
