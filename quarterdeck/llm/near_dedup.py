@@ -34,6 +34,8 @@ MISSED = 1e-4
 ROUNDS = 4
 #: Counters of the table by which the last join tells rare shingles.
 RARITY_BITS = 20
+#: Longs of a set's parity: bit i tells whether an odd number of its shingles has hash i.
+PARITY = [f"q{i}" for i in range(4)]
 _U = np.uint64
 _BINS = 1 << BIN_BITS
 _SCHEMA = "doc_id bigint, n_shingles bigint, cls binary, bands array<bigint>"
@@ -113,6 +115,13 @@ def signatures(docs: DataFrame, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SCHEMA)
 
 
+def parity(h: np.ndarray) -> np.ndarray:
+    """Parity of a set of shingles. Two sets differ in at least as many shingles as their parities do in bits."""
+    bits = len(PARITY) * 64
+    odd = np.bincount((h.view(_U) >> _U(RARITY_BITS) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, shingles) of the classes in `wanted` (cls, doc)."""
 
@@ -160,6 +169,8 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Of two sets the longer has at least percent of its shingles in common with the shorter one, and the shorter at
     least 2 * percent / (100 + percent) of its own. So in any common order of shingles, here the rarest first, the two
     share one among those that may come before such an overlap ends. Shingles counted once are shared with none.
+    Members of one template share most of their shingles without being similar enough; their parities tell that most of
+    these pairs differ in too many, before a row is made of them.
     """
     held = only_flagged(sets, rest, ["cls"]).join(rest, "cls")
     held = materialise(held.select("cls", "doc", "n", "component", "shingles"), "rest_sets")
@@ -174,30 +185,34 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for i in range(0, whole.num_rows, 1024):
                 batch = whole.slice(i, 1024)
-                owner, shingle, place, short = [], [], [], []
+                owner, shingle, place, short, odd = [], [], [], [], []
                 for k, s in enumerate(column(batch, "shingles")):
                     h = s.values.to_numpy()
                     c = count[h & (size - 1)]
                     n = len(h)
                     at = np.arange(n + (-percent * n // 100) + 1)
+                    odd.append(parity(h))
                     order = np.lexsort((h, c))[at]
                     some = c[order] > 1
                     owner.append(np.full(int(some.sum()), k))
                     shingle.append(h[order][some])
                     place.append(at[some])
                     short.append(at[some] <= n + (-2 * percent * n // (100 + percent)))
-                take = batch.select(["cls", "doc", "n", "component"]).take(pa.array(np.concatenate(owner), pa.int64()))
+                whose = np.concatenate(owner)
+                take = batch.select(["cls", "doc", "n", "component"]).take(pa.array(whose, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*take.columns, pa.array(np.concatenate(shingle), pa.int64()), pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(short), pa.bool_())],
-                    ["cls", "doc", "n", "component", "shingle", "place", "short"],
+                    [*take.columns, pa.array(np.concatenate(shingle), pa.int64()), pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(short), pa.bool_()), *(pa.array(q) for q in np.stack(odd)[whose].T)],
+                    ["cls", "doc", "n", "component", "shingle", "place", "short", *PARITY],
                 )
 
-    rows = materialise(held.mapInArrow(run, "cls binary, doc bigint, n bigint, component bigint, shingle bigint, place int, short boolean"), "prefixes")
+    rows = materialise(held.mapInArrow(run, "cls binary, doc bigint, n bigint, component bigint, shingle bigint, place int, short boolean, " + ", ".join(f"{q} bigint" for q in PARITY)), "prefixes")
     shared.destroy()
-    y = rows.where("short").select("shingle", *(F.col(c).alias(f"{c}2") for c in ("cls", "doc", "n", "component", "place")))
+    y = rows.where("short").select("shingle", *(F.col(c).alias(f"{c}2") for c in ("cls", "doc", "n", "component", "place", *PARITY)))
     longer = "(n2 < n OR n2 = n AND doc2 < doc) AND n2 * 100 >= n * {0} AND component <> component2"
     room = "(least(place, place2) + 1 + least(n - place - 1, n2 - place2 - 1)) * (100 + {0}) >= {0} * (n + n2)"
-    return rows.join(y, "shingle").where(f"{longer} AND {room}".format(percent)).select("cls", "doc", "n", "cls2", "doc2", "n2")
+    differ = " + ".join(f"bit_count({q} ^ {q}2)" for q in PARITY)
+    few = f"({differ}) * (100 + {{0}}) <= (100 - {{0}}) * (n + n2)"
+    return rows.join(y, "shingle").where(f"{longer} AND {room} AND {few}".format(percent)).select("cls", "doc", "n", "cls2", "doc2", "n2")
 
 
 def link(docs: DataFrame, percent: int = 85, exhaustive: bool = True) -> DataFrame:

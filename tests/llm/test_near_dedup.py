@@ -114,3 +114,25 @@ def test_chain_of_links(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200)], "a long, b long")
     got = {r.doc: r.component for r in near_dedup.components(links).collect()}
     assert set(got.values()) == {0, 100} and got[60] == 0 and got[200] == 100
+
+
+def test_last_join_makes_few_rows_of_a_template(spark):
+    """Members that each lack a part of the template: most pairs differ in too many shingles, which their parities tell."""
+    rows = [(d, " ".join(f"t{i}" for i in range(120) if not d <= i < d + 16)) for d in range(1, 101)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = near_dedup.signatures(docs, 85).selectExpr("cls", "doc_id AS doc", "n_shingles AS n", "doc_id AS component")
+    pairs = near_dedup._prefix_pairs(classes, near_dedup._sets(docs, classes.select("cls", "doc")), 85).collect()
+    found = {(min(r.doc, r.doc2), max(r.doc, r.doc2)) for r in pairs}
+    w = {d: t.split() for d, t in rows}
+    sets = {d: {tuple(x[i : i + 5]) for i in range(len(x) - 4)} for d, x in w.items()}
+    similar = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert similar and similar <= found and len(found) < 2 * len(similar)
+
+
+def test_parity_differs_in_no_more_bits_than_sets_do():
+    rnd = np.random.default_rng(5)
+    bits = lambda a, b: sum(int(x).bit_count() for x in (near_dedup.parity(a) ^ near_dedup.parity(b)).view(np.uint64))
+    for n in (1, 5, 100, 3000):
+        h = rnd.integers(0, 2**63, n + 40)
+        for k in (0, 1, 7, 40):
+            assert bits(h[:n], h[k : n + k]) <= 2 * min(n, k)
