@@ -14,6 +14,8 @@ changes the cost only, never the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +25,12 @@ from quarterdeck.session import materialise
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
-#: Counters of word rarity: the bytes of the literal.
-COUNTERS = 1 << 20
+#: Counters of word rarity: the bytes of the literal, which is also in each text that the driver keeps of the plan.
+COUNTERS = 1 << 19
 #: Similarity 4 / 5; lines of fewer words than LEAST match equal sets only.
 LEAST = 4
+#: Sets of so many words and more are compared by a parity of 128 bits; one of 64 tells little about sets of over 120 words.
+WIDE = 64
 #: Rarest words of a class that are tried for its first partner; more of them only move work between the two joins.
 HUB_WORDS = 3
 _NO_ID = -(1 << 63)
@@ -49,7 +53,8 @@ def rarity(docs: DataFrame) -> bytes:
 
 def lines(docs: DataFrame, table: bytes) -> DataFrame:
     """did, th, line_no, n (distinct words), k1, k2 (128-bit name of the word set), parity (bit i: whether an odd
-    number of its words has hash i modulo 64), prefix (codes of its rarest words)."""
+    number of its words has hash i modulo 64), half (the same of about half of the words, 0 below WIDE), prefix (codes of
+    its rarest words)."""
     split = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"), F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     split = split.where(F.col("line").rlike(WORD))
     words = F.array_distinct(_words(F.col("line")))
@@ -62,11 +67,17 @@ def lines(docs: DataFrame, table: bytes) -> DataFrame:
         n.alias("n"),
         F.xxhash64("codes").alias("k1"),
         F.xxhash64(F.lit(1), "codes").alias("k2"),
-        F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).alias("parity"),
+        _parity(lambda c: F.lit(1).cast("long")).alias("parity"),
+        F.when(n >= WIDE, _parity(lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(1)))).otherwise(F.lit(0).cast("long")).alias("half"),
         F.transform(F.slice("codes", 1, (n - F.ceil(n * 4 / 5) + 1).cast("int")), lambda c: F.hash(c)).alias("prefix"),
     )
 
 
+def _parity(bit: Callable[[Column], Column]) -> Column:
+    """Each code flips the bit of its last six binary digits, where `bit` of the code is 1."""
+    return F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", bit(c), c.bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def _rank(h: Column, table: bytes) -> Column:
     """Rarity in the high bits, then the hash of the word: ascending order is rarest first."""
     byte = F.substring(F.lit(table), F.pmod(h, F.lit(COUNTERS)).cast("int") + 1, F.lit(1))
@@ -74,38 +85,53 @@ def _rank(h: Column, table: bytes) -> Column:
 
 
 #: Length, prefix and positional filters for a word shared at pa and pb, and the parity filter: two sets differ in at least
-#: as many words as their parity bits do, and at similarity 0.8 in (na + nb) / 9 at most.
-_FILTERS = """5 * na >= 4 * nb AND 5 * nb >= 4 * na
-  AND 9 * bit_count(qa ^ qb) <= na + nb
+#: as many words as their parity bits do, and at similarity 0.8 in (na + nb) / 9 at most. Parities of both halves tell more than their sum.
+_FILTERS = f"""5 * na >= 4 * nb AND 5 * nb >= 4 * na
+  AND 9 * IF(least(na, nb) >= {WIDE}, bit_count(ha ^ hb) + bit_count(qa ^ ha ^ qb ^ hb), bit_count(qa ^ qb)) <= na + nb
   AND pa + ceil((na + nb) * 4 / 9) <= na AND pb + ceil((na + nb) * 4 / 9) <= nb
   AND least(pa, pb) + least(na - pa, nb - pb) >= ceil((na + nb) * 4 / 9)"""
 
 
 def _named(rows: DataFrame, k: str) -> DataFrame:
-    names = {"id": k, "did": f"d{k}", "n": f"n{k}", "p": f"p{k}", "parity": f"q{k}", "open": f"o{k}"}
+    names = {"id": k, "did": f"d{k}", "n": f"n{k}", "p": f"p{k}", "parity": f"q{k}", "half": f"h{k}", "open": f"o{k}"}
     return rows.withColumnsRenamed(names)
 
 
 def entries(classes: DataFrame, *more: str) -> DataFrame:
-    """One row per class and word of its prefix: id, did, n, parity, p (place in the prefix), code."""
-    return classes.where(F.col("n") >= LEAST).select("id", "did", "n", "parity", *more, F.posexplode("prefix").alias("p", "code"))
+    """One row per class and word of its prefix: id, did, n, parity, half, p (place in the prefix), code."""
+    return classes.where(F.col("n") >= LEAST).select("id", "did", "n", "parity", "half", *more, F.posexplode("prefix").alias("p", "code"))
 
 
 def hub_pairs(classes: DataFrame) -> DataFrame:
     """Candidates (a, b): each class with the earliest class of its rarest words and its length, at most one pair a word."""
     rows = entries(classes).where(F.col("p") < HUB_WORDS).withColumn("band", F.floor(4 * F.log2("n")).cast("int"))
-    hubs = rows.groupBy("code", "band").agg(F.min(F.struct("did", "id", "n", "p", "parity")).alias("h"), F.count("*").alias("m")).where("m > 1")
+    # One exchange for both sides: both have all columns, and the tests for null that a join adds to its own side.
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in rows.columns)).repartition("code", "band")
+    hubs = rows.groupBy("code", "band").agg(F.min(F.struct("did", "id", "n", "p", "parity", "half")).alias("h"), F.count("*").alias("m")).where("m > 1")
     hubs = _named(hubs.select("code", "band", "h.*"), "a")
-    pairs = _named(rows, "b").join(hubs, ["code", "band"]).where(f"a <> b AND {_FILTERS}")
+    pairs = _named(rows, "b").join(hubs, ["code", "band"]).where(f"a <> b AND da <= db AND {_FILTERS}")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def opened(classes: DataFrame, gone: DataFrame) -> DataFrame:
+    """`classes` with `open`: whether the id is not in `gone`. Only classes that the bitmap takes for gone are shuffled."""
+    marked = flagged(classes, gone, ["id"])
+    told = marked.where("_flag").drop("_flag").join(gone.select("id", F.lit(False).alias("open")), "id", "left").withColumn("open", F.coalesce("open", F.lit(True)))
+    return told.unionByName(marked.where("NOT _flag").drop("_flag").withColumn("open", F.lit(True)))
+
+
 def open_pairs(classes: DataFrame) -> DataFrame:
     """Candidates (a, b) among `classes`, which have a column `open`; a pair needs an open class on its later side.
 
     Both sides of the join have the same columns and no filter of their own, so one exchange of the entries serves both.
     """
-    rows = entries(classes, "open")
+    # A pair meets in the octave of its longer line; a shorter line near the end of its octave is in the next one too, with the
+    # words of its prefix that it can share with a longer line.
+    octave = lambda n: F.floor(F.log2(n)).cast("int")
+    both = F.array_distinct(F.array(octave(F.col("n")), octave(F.floor(F.col("n") * 5 / 4))))
+    rows = entries(classes.withColumn("octave", F.explode(both)), "open", "octave")
+    rows = rows.where((F.col("octave") == octave(F.col("n"))) | (F.col("p") + F.ceil(F.col("n") * 8 / 9) <= F.col("n")))
+    rows = rows.withColumn("code", F.hash("code", "octave")).drop("octave")
     later = "((da <= db AND ob) OR (db <= da AND oa))"
     return _named(rows, "a").join(_named(rows, "b"), "code").where(f"a < b AND {later} AND {_FILTERS}").select("a", "b").distinct()
 
@@ -125,8 +151,8 @@ def _later(pairs: DataFrame, words: DataFrame) -> DataFrame:
 def _resembling(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Ids of the classes that are the later side of a similar pair; words are read from the documents again."""
     spot = ["did", "th", "line_no"]
-    places = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", *spot), "id")
-    places = materialise(places, "line-places")
+    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
+    places = materialise(only_flagged(classes.select("id", *spot), ids, ["id"]).join(ids, "id"), "line-places")
     texts = only_flagged(keyed(docs).select("did", "th", "text"), places.select("did", "th").distinct(), ["did", "th"])
     # Lines are filtered before the exchange, so whole texts are not shuffled.
     found = only_flagged(texts.select("did", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line")), places.select(*spot), spot)
@@ -139,15 +165,12 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """did, th and `kept`: the numbers of the lines of a document that stay, wordless lines not counted."""
     docs = docs.select("doc_id", "text")
     found = lines(docs, rarity(docs))
-    classes = found.groupBy("k1", "k2").agg(F.min(F.struct("did", "th", "line_no", "n", "parity", "prefix")).alias("f"))
+    classes = found.groupBy("k1", "k2").agg(F.min(F.struct("did", "th", "line_no", "n", "parity", "half", "prefix")).alias("f"))
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("id"), "f.*"), "line-classes")
     # Classes of a template go by its earliest class, so only what is left after that is joined with all.
     first = _resembling(docs, classes, materialise(hub_pairs(classes), "hub-pairs"))
-    still = materialise(classes.select("id").join(first, "id", "left_anti"), "open-lines")
-    # The flag may call a class open that is not, which costs a candidate and changes no result; classes aren't shuffled.
-    marked = flagged(classes, still, ["id"]).withColumnRenamed("_flag", "open")
-    rest = _resembling(docs, classes, materialise(open_pairs(marked), "open-pairs"))
-    stay = classes.join(first.unionByName(rest).distinct(), "id", "left_anti")
+    rest = _resembling(docs, classes, materialise(open_pairs(opened(classes, first)), "open-pairs"))
+    stay = opened(classes, materialise(first.unionByName(rest).distinct(), "later-lines")).where("open")
     return stay.groupBy("did", "th").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
 

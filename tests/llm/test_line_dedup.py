@@ -7,6 +7,7 @@ import tracemalloc
 from pyspark.sql import functions as F
 
 from quarterdeck.llm import line_dedup
+from quarterdeck.session import materialise
 
 
 def plain(rows):
@@ -90,3 +91,53 @@ def test_counters_are_not_made_into_python_objects(spark):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert sum(v > 0 for v in table) > 250_000 and peak < 40_000_000
+
+
+def _with_ids(docs):
+    return line_dedup.lines(docs, line_dedup.rarity(docs)).withColumn("id", F.col("did")).withColumn("open", F.lit(True))
+
+
+def test_long_lines_that_differ_are_no_candidates(spark):
+    """Lines of 130 words that share their two rarest only: a parity of 64 bits let one pair in four through, and words of each were shuffled."""
+    rnd = random.Random(11)
+    rows = [(i, " ".join(["rare1", "rare2", *rnd.sample([f"w{k}" for k in range(1000)], 128)])) for i in range(120)]
+    docs = spark.createDataFrame([*rows, *((1000 + i, " ".join(f"w{k}" for k in range(1000))) for i in range(200))], "doc_id long, text string").repartition(4)
+    found = _with_ids(docs).where("id < 1000")
+    assert found.where("parity <> 0 AND half <> 0").count() == 120
+    assert line_dedup.open_pairs(found).count() <= 20
+
+
+def test_pairs_across_octaves_are_candidates(spark):
+    """A line and the same line with up to a quarter more words, at every length from 5 to 70."""
+    rows, want = [], set()
+    for n in range(5, 71):
+        words = [f"l{n}w{k}" for k in range(n)]
+        rows += [(10 * n, " ".join(words)), (10 * n + 1, " ".join(words + [f"x{n}y{k}" for k in range(n // 4)]))]
+        want |= {(10 * n, 10 * n + 1)} if n >= 4 and n // 4 else set()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = _with_ids(docs)
+    assert want <= {tuple(r) for r in line_dedup.open_pairs(found).collect()}
+    assert sorted(r.doc_id for r in line_dedup.remove(docs).where("text <> ''").collect()) == [10 * n for n in range(5, 71)]
+
+
+def test_hubs_take_one_exchange(spark):
+    """Both sides of the join of hubs read the same shuffle."""
+    docs = spark.createDataFrame([(i, f"alpha beta gamma delta x{i}") for i in range(20)], "doc_id long, text string")
+    classes = materialise(_with_ids(docs).drop("open"), "classes")  # as stored, where every column may be null
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        plan = line_dedup.hub_pairs(classes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("ReusedExchange") == 1
+
+
+def test_settled_lines_are_told_without_a_shuffle_of_all(spark):
+    classes = spark.range(5000).withColumn("n", F.lit(7))
+    gone = spark.range(0, 5000, 50)
+    got = line_dedup.opened(classes, gone)
+    assert got.count() == 5000 and sorted(r.id for r in got.where("NOT open").collect()) == list(range(0, 5000, 50))
