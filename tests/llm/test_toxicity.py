@@ -1,6 +1,7 @@
 """Held-out accuracy and odd rows of the toxicity classifier."""
 
 import os
+import re
 import tracemalloc
 
 import numpy as np
@@ -55,3 +56,19 @@ def test_fit_holds_little_besides_its_rows():
     assert peak < 4 * sum(r.nbytes for r in rows)
     z = np.array([model.bias + model.weights[r].sum() for r in rows])
     assert ((z > 0) == (labels == 1)).mean() > 0.99
+
+
+def test_freed_memory_of_a_fit_goes_back(spark):
+    """The driver kept what the fit had freed, for all later stages of the pipeline."""
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("Linux only")
+    held = lambda: int(re.search(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+    docs = spark.createDataFrame([(d, ("vile grobnik " if d % 2 else "mild remark ") + str(d)) for d in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d in range(60)], "doc_id long, toxic int")
+    before = held()
+    blocks = [np.ones(12_000, np.int32) for _ in range(4000)]
+    between = blocks[::100]
+    del blocks
+    assert held() > before + 100
+    toxicity.fit(docs, labels)
+    assert held() < before + 60 and len(between) == 40
